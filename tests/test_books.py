@@ -1,0 +1,249 @@
+"""Scores worked out by hand with a separate plain BM25 (FIXTURES.md F1)."""
+
+import pytest
+from conftest import scores
+
+from wordmill import (
+    Bool,
+    Match,
+    MatchAll,
+    MultiMatch,
+    PhrasePrefix,
+    QueryString,
+    Term,
+    Wildcard,
+    contains,
+    explain,
+    extract,
+    highlight,
+    hits,
+    make_query,
+    normalized,
+    search,
+    search_many,
+    search_named,
+    uri_query,
+)
+
+
+def test_field_lengths(books):
+    found = {(r["field"], r["_id"]): r["dl"] for r in books.lengths.collect()}
+    assert [found["title", i] for i in (1, 2, 3, 4)] == [4, 9, 3, 3]
+    assert [found["summary", i] for i in (1, 2, 3, 4)] == [8, 18, 20, 11]
+    assert [found["_all", i] for i in (1, 2, 3, 4)] == [21, 38, 35, 23]
+
+
+def test_catch_all(books):
+    assert scores(search(books, MultiMatch(("_all",), "guide"))) == [(1, 0.7836), (4, 0.7595)]
+
+
+def test_match_with_source_and_tie(books):
+    result = search(books, Match("title", "in action"), size=2, source=["title", "publish_date"])
+    assert scores(result) == [(3, 1.6323), (4, 1.6323)]
+    assert result.hits.columns == ["_id", "score", "title", "publish_date"]
+    assert [r["title"] for r in result.hits.collect()] == ["Searchlight in Action", "Solr in Action"]
+    assert result.totals.first()["total"] == 2
+
+
+def test_best_most_and_boost(books):
+    text = "searchlight guide"
+    assert scores(search(books, MultiMatch(("title", "summary"), text))) == [
+        (1, 2.0281),
+        (4, 1.3279),
+        (3, 1.0334),
+    ]
+    assert scores(search(books, MultiMatch(("title", "summary^3"), text))) == [
+        (4, 3.9836),
+        (3, 3.1002),
+        (1, 2.0281),
+    ]
+    assert scores(search(books, MultiMatch(("title", "summary"), text, kind="most_fields"))) == [
+        (1, 2.0281),
+        (3, 1.8495),
+        (4, 1.3279),
+    ]
+
+
+def test_highlight(books):
+    query = Match("title", "in action")
+    marked = {r["_id"]: r["highlight"] for r in highlight(books, hits(books, query), query, "title").collect()}
+    assert marked == {
+        3: "Searchlight <em>in</em> <em>Action</em>",
+        4: "Solr <em>in</em> <em>Action</em>",
+    }
+
+
+def test_highlight_patterns(books):
+    for query in (PhrasePrefix(("title",), "in act"), Bool(should=(Wildcard("title", "*cti*"), Term("title", "in")))):
+        marked = highlight(books, hits(books, query), query, "title").collect()
+        assert "Solr <em>in</em> <em>Action</em>" in [r["highlight"] for r in marked]
+
+
+def test_paging(books):
+    query = MultiMatch(("title", "summary"), "searchlight guide search")
+    both = scores(search(books, query, size=4))
+    assert scores(search(books, query, size=2)) + scores(search(books, query, size=2, offset=2)) == both
+
+
+def test_operator_and(books):
+    assert scores(search(books, Match("summary", "search engine", operator="and"))) and {
+        i for i, _ in scores(search(books, Match("summary", "search engine", operator="and")))
+    } == {1, 4}
+    assert {i for i, _ in scores(search(books, Match("summary", "search engine")))} == {1, 2, 3, 4}
+    assert scores(search(books, Match("summary", "search nosuchword", operator="and"))) == []
+
+
+def test_phrase_prefix(books):
+    assert [i for i, _ in scores(search(books, PhrasePrefix(("summary",), "search eng")))] == [4]
+    assert [i for i, _ in scores(search(books, PhrasePrefix(("title", "summary"), "scalable sea")))] == [4, 3]
+    # one word: the sum over its expansions
+    one = dict(scores(search(books, PhrasePrefix(("summary",), "su"))))
+    assert one == dict(scores(search(books, Match("summary", "such summarization"))))
+    assert scores(search(books, PhrasePrefix(("summary",), "engine search"))) == []
+    assert scores(search(books, PhrasePrefix(("summary",), "..."))) == []
+
+
+def test_term_wildcard_match_all(books):
+    assert scores(search(books, Term("title", "action"))) == scores(search(books, Match("title", "Action")))
+    assert scores(search(books, Term("title", "Action"))) == []
+    assert scores(search(books, Term("publisher", "oreilly"))) == [(1, 1.0)]
+    assert scores(search(books, Term("authors", "roy russo"))) == [(3, 1.0)]
+    assert scores(search(books, Wildcard("title", contains("ct")))) == [(3, 1.0), (4, 1.0)]
+    assert scores(search(books, Wildcard("title", "s?lr"))) == [(4, 1.0)]
+    assert scores(search(books, Wildcard("title", contains("in action")))) == []
+    assert scores(search(books, MatchAll())) == [(i, 1.0) for i in (1, 2, 3, 4)]
+
+
+def test_bool(books):
+    search_books = dict(scores(search(books, Match("summary", "search"))))
+    engine = dict(scores(search(books, Match("summary", "engine"))))
+    query = Bool(
+        must=(Match("summary", "search"),),
+        must_not=(Term("publisher", "oreilly"), Match("title", "text")),
+        should=(Match("summary", "engine"),),
+    )
+    got = dict(scores(search(books, query)))
+    assert set(got) == {3, 4}
+    assert got[3] == search_books[3]
+    assert got[4] == pytest.approx(search_books[4] + engine[4], abs=1e-4)
+    only_not = Bool(must_not=(Match("title", "action"),))
+    assert scores(search(books, only_not)) == [(1, 0.0), (2, 0.0)]
+    on_columns = Bool(must=(Term("publisher", "manning"),), must_not=(Term("authors", "roy russo"),))
+    assert scores(search(books, on_columns)) == [(2, 1.0), (4, 1.0)]
+
+
+def test_query_strings(books):
+    fields = ("title", "summary")
+    best = lambda word: MultiMatch(fields, word)
+    same = [
+        ("+(engine | text) -solr", Bool(must=(Bool(should=(best("engine"), best("text"))),), must_not=(best("solr"),))),
+        ("engine guide", Bool(should=(best("engine"), best("guide")))),
+        ("+engine guide", Bool(must=(best("engine"),), should=(best("guide"),))),
+        ("engine -guide", Bool(should=(best("engine"),), must_not=(best("guide"),))),
+    ]
+    for text, query in same:
+        assert scores(search(books, QueryString(fields, text))) == scores(search(books, query)), text
+    # left to right: (apache AND guide) OR text
+    both = Bool(must=(best("apache"), best("guide")))
+    got = scores(search(books, QueryString(fields, "apache guide | text", default_operator="and")))
+    assert got == scores(search(books, Bool(should=(both, best("text")))))
+    # (text OR apache) AND guide
+    either = Bool(should=(best("text"), best("apache")))
+    got = scores(search(books, QueryString(fields, "text | apache guide", default_operator="and")))
+    assert got == scores(search(books, Bool(must=(either, best("guide")))))
+    got = scores(search(books, QueryString(fields, "+(apache guide | text) -taming", default_operator="AND")))
+    assert [i for i, _ in got] == [4]
+
+
+def test_uri_query(books):
+    assert scores(search(books, uri_query("guide"))) == [(1, 0.7836), (4, 0.7595)]
+    got = dict(scores(search(books, uri_query("title:in action"))))
+    title = dict(scores(search(books, Match("title", "in"))))
+    rest = dict(scores(search(books, Match("_all", "action"))))
+    assert got == {i: pytest.approx(title[i] + rest[i], abs=2e-4) for i in (3, 4)}
+
+
+def test_query_string_fields(books):
+    with pytest.raises(ValueError):
+        search(books, QueryString(("publisher",), "manning"))
+    assert scores(search(books, QueryString(("title", "nosuch"), "solr", lenient=True))) == scores(
+        search(books, Match("title", "solr"))
+    )
+
+
+def test_explain_adds_up(books):
+    query = MultiMatch(("title", "summary"), "searchlight guide guide", kind="most_fields")
+    parts = {}
+    for r in explain(books, query).collect():
+        parts[r["_id"]] = parts.get(r["_id"], 0.0) + r["contribution"]
+    assert {i: round(s, 4) for i, s in parts.items()} == dict(scores(search(books, query)))
+
+
+def test_min_score_totals_and_extract(books):
+    query = MultiMatch(("title", "summary"), "searchlight guide")
+    result = search(books, query, min_score=1.1)
+    assert [i for i, _ in scores(result)] == [1, 4]
+    row = result.totals.first()
+    assert (row["total"], round(row["max_score"], 4), round(row["sum_score"], 4)) == (3, 2.0281, 4.3894)
+    got = extract(books, result.every_hit, "publisher", min_score=1.1)
+    assert sorted((r["document_id"], r["entry_id"]) for r in got.hits.collect()) == [("manning", 4), ("oreilly", 1)]
+    row = got.scores.first()
+    assert (round(row["max_score"], 4), round(row["sum_score"], 4)) == (2.0281, 3.356)
+    page = normalized(result.hits, result.every_hit).collect()
+    assert round(page[0]["norm_score"], 4) == round(2.02811 / 3.02811, 4)
+
+
+def test_sort_and_type(books):
+    result = search(books, Term("publisher", "manning"), sort=[("publish_date", "desc")], size=2, source=["title"])
+    assert [r["_id"] for r in result.hits.collect()] == [3, 4]
+    assert result.hits.columns == ["_id", "score", "title"]
+    by_reviews = search(books, Match("title", "action"), sort=[("num_reviews", "asc")])
+    assert [r["_id"] for r in by_reviews.hits.collect()] == [3, 4]
+
+
+def test_named(spark, books):
+    got = search_named(spark, "bookdb", "most_fields", "guide", ["title", "summary"], page={"size": 1})
+    assert scores(got) == scores(search(books, MultiMatch(("title", "summary"), "guide", kind="most_fields"), size=1))
+    assert search_named(spark, "nosuch", "match", "guide", ["title"]) is None
+    with pytest.raises(ValueError):
+        make_query("nosuch", "guide")
+
+
+BATCH_TEXTS = ["searchlight guide", "in action", "search engine", "searchlight guide", "nosuchword", "text"]
+
+
+@pytest.mark.parametrize(
+    "make",
+    [
+        lambda t: Match("summary", t),
+        lambda t: Match("summary", t, operator="and"),
+        lambda t: MultiMatch(("title", "summary^3"), t),
+        lambda t: MultiMatch(("title", "summary"), t, kind="most_fields"),
+        lambda t: PhrasePrefix(("title", "summary"), t),
+        lambda t: QueryString(("title", "summary"), t, default_operator="and"),
+        lambda t: Bool(must=(Match("summary", t),), must_not=(Match("title", "text"),)),
+        lambda t: Wildcard("title", t),
+        lambda t: Term("publisher", t),
+        lambda t: Term("title", t),
+    ],
+)
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_batches_equal_single_queries(spark, books, monkeypatch, make, broadcast):
+    from pyspark.sql import functions as F
+
+    from wordmill.operators import scoring
+
+    if not broadcast:
+        monkeypatch.setattr(scoring, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(scoring, "SLICE_ROWS", 2)
+    texts = list(BATCH_TEXTS)
+    if isinstance(make("x"), Wildcard):
+        texts = ["*ct*", "s?lr", "*", "t*g", "*nosuch*", "a*"]
+    if isinstance(make("x"), Term):
+        texts = ["manning", "oreilly", "action", "guide"]
+    queries = spark.createDataFrame(list(enumerate(texts)), "query_id bigint, text string")
+    got = {}
+    for r in search_many(books, queries, make(F.col("text")), size=3).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["_id"], round(r["score"], 4)))
+    expected = {n: scores(search(books, make(t), size=3)) for n, t in enumerate(texts)}
+    assert got == {n: found for n, found in expected.items() if found}
