@@ -165,7 +165,11 @@ def test_uri_query(books):
 
 def test_query_string_fields(books):
     with pytest.raises(ValueError):
-        search(books, QueryString(("publisher",), "manning"))
+        search(books, QueryString(("nosuch",), "manning"))
+    assert scores(search(books, QueryString(("publisher",), "oreilly"))) == [(1, 1.0)]
+    named = scores(search(books, QueryString(("title",), "publisher:manning -solr text")))
+    text = dict(scores(search(books, Match("title", "text"))))
+    assert named == [(2, pytest.approx(1 + text[2], abs=2e-4)), (3, 1.0)]
     assert scores(search(books, QueryString(("title", "nosuch"), "solr", lenient=True))) == scores(
         search(books, Match("title", "solr"))
     )

@@ -159,6 +159,9 @@ class Chain:
 
     def split(self, df: DataFrame, text: Column, keep: Sequence[str]) -> DataFrame:
         """The standard tokenizer: rows of `keep`, `position`, `token`, `protected`."""
+        taken = {"position", "token", "protected"} & set(keep)
+        if taken:
+            raise ValueError(f"rename the columns {sorted(taken)}: token rows use these names")
         found = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
         rows = df.select(*keep, F.posexplode(found).alias("position", "token"))
         return rows.withColumn("protected", F.lit(False))

@@ -257,19 +257,16 @@ def _query_terms(batch: Batch, slots: list[TermSlot]) -> DataFrame:
 def _column_hits(batch: Batch, query: Term) -> DataFrame:
     """Documents whose column has a value, or whose array column contains it."""
     index = batch.index
-    docs, value, is_array = _value_column(index, query.field)
-    wanted = query.value if isinstance(query.value, Column) else F.lit(query.value)
-    normalized = (spec := index.mapping.get(query.field)) is not None and spec.normalized
-    if normalized:
-        wanted = lower_ascii(wanted)
     if batch.single:
-        return docs.where(_equals(value, wanted, is_array)).select(index.key)
-    if is_array:
-        held = docs.select(index.key, F.explode(F.array_distinct(value)).alias("_value"))
-    else:
-        held = docs.select(index.key, value.alias("_value"))
-    asked = batch.rows.select(*batch.keys, wanted.alias("_value"))
-    return held.join(small(asked), "_value").select(*batch.keys, index.key)
+        return index.docs.where(column_predicate(index, query)).select(index.key)
+    asked = batch.rows.select(*batch.keys, _wanted(index, query).alias("_value"))
+    return _held_values(index, query.field).join(small(asked), "_value").select(*batch.keys, index.key)
+
+
+def _wanted(index: Index, query: Term) -> Column:
+    wanted = query.value if isinstance(query.value, Column) else F.lit(query.value)
+    spec = index.mapping.get(query.field)
+    return lower_ascii(wanted) if spec is not None and spec.normalized else wanted
 
 
 def _value_column(index: Index, name: str) -> tuple[DataFrame, Column, bool]:
@@ -282,18 +279,17 @@ def _value_column(index: Index, name: str) -> tuple[DataFrame, Column, bool]:
     return index.docs, value, is_array
 
 
-def _equals(value: Column, wanted: Column, is_array: bool) -> Column:
-    return F.array_contains(value, wanted) if is_array else value == wanted
+def _held_values(index: Index, name: str) -> DataFrame:
+    """Rows of the key and `_value`, one per element of an array column."""
+    docs, value, is_array = _value_column(index, name)
+    return docs.select(index.key, (F.explode(F.array_distinct(value)) if is_array else value).alias("_value"))
 
 
 def column_predicate(index: Index, query: Term) -> Column:
     """`Term` on a document column, as a filter over the documents."""
     _, value, is_array = _value_column(index, query.field)
-    spec = index.mapping.get(query.field)
-    wanted = F.lit(query.value)
-    if spec is not None and spec.normalized:
-        wanted = lower_ascii(wanted)
-    return _equals(value, wanted, is_array)
+    wanted = _wanted(index, query)
+    return F.array_contains(value, wanted) if is_array else value == wanted
 
 
 # ---- wildcard ---------------------------------------------------------------------
@@ -468,17 +464,17 @@ def query_string_hits(batch: Batch, query: QueryString) -> DataFrame:
     read = batch.rows.select(*keys, clauses.alias("clauses"))
     words = F.flatten(F.transform("clauses", lambda c: c["pieces"]))
     words = read.select(*keys, F.explode(F.array_distinct(words)).alias("word")).where("word != '|'")
-    scored, terms = _word_scores(batch, query, words)
+    scored, known = _word_scores(batch, query, words)
     # one map per query and document, of at most the query's words
     by_doc = scored.groupBy(*keys, index.key).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "score"))).alias("scores")
     )
     if batch.single:
-        known = [F.lit(w) for w in sorted({row["word"] for row in terms})]
-        known = F.array(*known) if known else F.array().cast("array<string>")
-        joined = by_doc.withColumns({"clauses": clauses, "known": known})
+        seen = [F.lit(row["word"]) for row in known.collect()]
+        seen = F.array(*seen) if seen else F.array().cast("array<string>")
+        joined = by_doc.withColumns({"clauses": clauses, "known": seen})
     else:
-        known = terms.groupBy(*keys).agg(F.collect_set("word").alias("known"))
+        known = known.groupBy(*keys).agg(F.collect_set("word").alias("known"))
         joined = by_doc.join(read.join(known, keys), keys)
     joined = joined.select(*keys, index.key, _clause_values(query.default_operator.lower()).alias("values"))
     folded = joined.select(*keys, index.key, _fold_clauses(query.default_operator.lower()).alias("r"))
@@ -494,57 +490,63 @@ def _clause(raw: Column) -> Column:
 
 
 def _word_scores(batch: Batch, query: QueryString, words: DataFrame):
-    """Best-fields score of every word, and the terms that analysis makes of the words.
+    """Best-fields score of every word, and the words that analysis leaves non-empty.
 
-    A word may name its field: `title:in`.
+    A word may name its field: `title:in`. On a keyword field it is an exact value.
     """
     index, keys = batch.index, batch.keys
-    every = [f.name for f in index.mapping.text_fields]
     boosts = _query_string_fields(index, query)
-    prefix = "^(" + "|".join(re.escape(n) for n in every) + "):."
-    named = F.regexp_extract("word", prefix, 1)
-    word = F.col("word")
+    prefix = "^(" + "|".join(re.escape(f.name) for f in index.mapping.fields) + "):."
+    named, word = F.regexp_extract("word", prefix, 1), F.col("word")
     words = words.withColumn("_named", named).withColumn(
         "_text", F.substring(word, F.when(named != "", F.length(named) + 2).otherwise(1), F.length(word))
     )
-    parts = []
-    for name in every:
-        spec = index.mapping.field(name)
-        chain = analyzer(query.analyzer) if query.analyzer is not None else spec.chain
-        mine = F.col("_named").isin([name, ""] if name in boosts else [name])
-        tokens = chain.tokens(words.where(mine), F.col("_text"), [*keys, "word"])
-        counted = tokens.groupBy(*keys, "word", F.col("token").alias("term")).agg(
-            F.count("*").cast("int").alias("qtf")
-        )
-        boost = F.lit(boosts.get(name, spec.boost))
-        parts.append(counted.withColumns({"field": F.lit(name), "boost": boost}))
+    parts, values, valued = [], [], []
+    for spec in index.mapping.fields:
+        asked = words.where(F.col("_named").isin([spec.name, ""] if spec.name in boosts else [spec.name]))
+        boost = F.lit(boosts.get(spec.name, spec.boost))
+        if spec.is_text:
+            chain = analyzer(query.analyzer) if query.analyzer is not None else spec.chain
+            tokens = chain.tokens(asked, F.col("_text"), [*keys, "word"])
+            counted = tokens.groupBy(*keys, "word", F.col("token").alias("term")).agg(
+                F.count("*").cast("int").alias("qtf")
+            )
+            parts.append(counted.withColumns({"field": F.lit(spec.name), "boost": boost}))
+        else:
+            held = _held_values(index, spec.name).withColumn("_text", F.col("_value").cast("string"))
+            met = held.join(small(asked.select(*keys, "word", "_text")), "_text")
+            values.append(met.select(*keys, index.key, "word", F.lit(spec.name).alias("field"), boost.alias("score")))
+            valued.append(asked.select(*keys, "word"))
     terms = reduce(DataFrame.unionByName, parts)
     if batch.single:
         # as many rows as the caller wrote words
-        terms = [row.asDict() for row in terms.collect()]
-        literal = sorted({row["term"] for row in terms})
-        asked = sorted({row["field"] for row in terms})
-        weights = weigh(index, F.broadcast(literal_rows(index, terms, WORD_SCHEMA)), literal)
-        scored = contributions(index, weights, asked, literal)
+        rows = [row.asDict() for row in terms.collect()]
+        literal = sorted({row["term"] for row in rows})
+        fields = sorted({row["field"] for row in rows})
+        terms = literal_rows(index, rows, WORD_SCHEMA)
+        scored = contributions(index, weigh(index, F.broadcast(terms), literal), fields, literal)
     else:
-        scored = contributions(index, weigh(index, terms), every)
+        scored = contributions(index, weigh(index, terms), [f.name for f in index.mapping.text_fields])
     by_field = scored.groupBy(*keys, index.key, "word", "field").agg(F.sum("score").alias("score"))
-    return by_field.groupBy(*keys, index.key, "word").agg(F.max("score").alias("score")), terms
+    by_field = reduce(DataFrame.unionByName, [by_field, *values])
+    best = by_field.groupBy(*keys, index.key, "word").agg(F.max("score").alias("score"))
+    known = reduce(DataFrame.unionByName, [terms.select(*keys, "word"), *valued]).distinct()
+    return best, known
 
 
 WORD_SCHEMA = "word string, term string, qtf int, field string, boost double"
 
 
 def _query_string_fields(index: Index, query: QueryString) -> dict[str, float]:
-    """The searched fields and their boosts; others are an error unless `lenient`."""
+    """The searched fields and their boosts; unknown ones are an error unless `lenient`."""
     found = {}
     for name in query.fields:
         bare, factor = boosted(name)
         spec = index.mapping.get(bare)
-        if spec is not None and spec.is_text:
+        if spec is not None:
             found[bare] = spec.boost * factor
         elif not query.lenient:
-            raise ValueError(f"{bare!r} is not a text field of the index")
+            raise ValueError(f"no field {bare!r}")
     return found
 
 

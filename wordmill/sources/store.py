@@ -277,6 +277,10 @@ def postings_of(docs: DataFrame, mapping: Mapping) -> DataFrame:
                 F.lit(spec.name).alias("field"),
             )
         )
+    if not parts:
+        kind = docs.schema[key].dataType.simpleString()
+        schema = f"term string, `{key}` {kind}, tf int, dl int, positions array<int>, field string"
+        return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, parts)
 
 
