@@ -17,8 +17,7 @@ from pyspark.sql import types as T
 
 from wordmill.functions.chains import Chain, analyzer
 from wordmill.functions.folding import lower_ascii
-from wordmill.operators import scoring
-from wordmill.operators.scoring import contributions, meet_postings, tf_norm, weigh
+from wordmill.operators.scoring import contributions, meet_postings, small, tf_norm, weigh
 from wordmill.plans.mapping import FieldSpec
 from wordmill.plans.query import (
     Match,
@@ -52,7 +51,7 @@ class Batch:
 
     @property
     def rows(self) -> DataFrame:
-        return self.index.spark.range(1) if self.single else self.queries
+        return self.index.spark.range(0, 1, 1, 1) if self.single else self.queries
 
     def check(self, text: Text) -> None:
         if self.single and isinstance(text, Column):
@@ -66,7 +65,7 @@ class Batch:
 
     def literal_tokens(self, text: str, chain: Chain) -> list[tuple[int, str]]:
         """The tokens of one query's text: as many as the caller wrote."""
-        return [tuple(r) for r in self.tokens(text, chain).orderBy("position").collect()]
+        return sorted(tuple(r) for r in self.tokens(text, chain).collect())
 
 
 @dataclass
@@ -160,17 +159,17 @@ class Slots:
 
     def term_contributions(self) -> DataFrame:
         """The score parts of all text clauses, from one scan of the postings."""
-        weights, names, literal = self.term_weights()
-        return contributions(self.batch.index, weights, names, literal)
-
-    def term_weights(self) -> tuple[DataFrame, list[str], list[str] | None]:
-        names = sorted({s.name for s in self.terms})
+        index = self.batch.index
+        fields = sorted({s.name for s in self.terms})
         if self.batch.single:
             rows = _literal_query_terms(self.batch, self.terms)
             literal = sorted({row["term"] for row in rows})
-            query_terms = literal_rows(self.batch.index, rows, TERM_SCHEMA)
-            return weigh(self.batch.index, F.broadcast(query_terms), literal), names, literal
-        return weigh(self.batch.index, _query_terms(self.batch, self.terms)), names, None
+            query_terms = literal_rows(index, rows, TERM_SCHEMA)
+            weights = weigh(index, query_terms, len(rows), literal)
+            return contributions(index, weights, len(rows), fields, literal)
+        query_terms = _query_terms(self.batch, self.terms)
+        count = query_terms.count()
+        return contributions(index, weigh(index, query_terms, count), count, fields)
 
 
 def _constant(slot: int, score: float) -> list[Column]:
@@ -216,11 +215,6 @@ def literal_rows(index: Index, rows: list[dict], schema: str) -> DataFrame:
     return index.spark.createDataFrame(rows, schema)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Mark a table for broadcast if a count shows that it is small."""
-    return F.broadcast(df) if df.count() <= scoring.BROADCAST_ROWS else df
-
-
 def _query_terms(batch: Batch, slots: list[TermSlot]) -> DataFrame:
     """Query terms of a DataFrame of queries, repeated words counted together."""
     parts = []
@@ -260,7 +254,8 @@ def _column_hits(batch: Batch, query: Term) -> DataFrame:
     if batch.single:
         return index.docs.where(column_predicate(index, query)).select(index.key)
     asked = batch.rows.select(*batch.keys, _wanted(index, query).alias("_value"))
-    return _held_values(index, query.field).join(small(asked), "_value").select(*batch.keys, index.key)
+    held = _held_values(index, query.field)
+    return held.join(small(asked, asked.count()), "_value").select(*batch.keys, index.key)
 
 
 def _wanted(index: Index, query: Term) -> Column:
@@ -315,7 +310,7 @@ def wildcard_hits(batch: Batch, query: Wildcard) -> DataFrame:
         found = terms.where(F.col("term").like(like_pattern(query.pattern)))
     else:
         found = _batch_wildcard_terms(batch, query, terms)
-    hits = meet_postings(index, found, [], [spec.name])
+    hits = meet_postings(index, found, found.count(), [], [spec.name])
     # a document may hold several of the terms
     return hits.groupBy(*batch.keys, index.key).agg(F.max(F.lit(1.0)).alias("score"))
 
@@ -340,7 +335,7 @@ def _batch_wildcard_terms(batch: Batch, query: Wildcard, terms: DataFrame) -> Da
         F.transform(starts, lambda i: F.transform(sizes, lambda n: F.substring(F.col("term"), i, n)))
     )
     held = terms.withColumn("_gram", F.explode(F.array_append(F.array_distinct(grams), F.lit(""))))
-    return held.join(small(asked), "_gram").where("term LIKE _like").select(*batch.keys, "field", "term", "df")
+    return held.join(small(asked, asked.count()), "_gram").where("term LIKE _like").select(*batch.keys, "field", "term", "df")
 
 
 # ---- phrase prefix -----------------------------------------------------------------
@@ -355,17 +350,27 @@ def phrase_hits(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float
     batch.check(query.text)
     if batch.single:
         return _literal_phrase(batch, query, spec, boost)
-    keys = batch.keys
+    keys, index = batch.keys, batch.index
     words = _phrase_words(batch, query.text, spec.chain)
+    count, longest = words.agg(F.count("*"), F.max(F.length("token"))).first()
+    # every word is looked up once, the last one of a query as its expansions
+    rows = count * max(query.max_expansions, 1)
     fixed = words.where("slot_no < n - 1").select(*keys, "n", "offset", F.col("token").alias("term"))
     last = words.where("slot_no = n - 1").select(*keys, "n", "offset", "token")
-    expanded = _expansions(batch, last, spec.name, query.max_expansions)
+    expanded = _expansions(batch, small(last, count), longest or 1, spec.name, query.max_expansions)
     looked_up = fixed.unionByName(expanded).withColumn("field", F.lit(spec.name))
-    weights = weigh(batch.index, looked_up).withColumns({"boost": F.lit(boost), "qtf": F.lit(1)})
-    one = _sum_scores(batch, contributions(batch.index, weights.where("n = 1"), [spec.name]))
-    several = weights.where("n > 1")
-    total = several.groupBy(*keys).agg(F.sum("idf").alias("idf_sum"))
-    return one.unionByName(_occurrences(batch, several.join(total, keys), spec.name))
+    weights = weigh(index, looked_up, rows).withColumns({"boost": F.lit(boost), "qtf": F.lit(1)})
+    # one window per query: as large as its words and expansions
+    total = F.sum("idf").over(Window.partitionBy(*keys))
+    weights = weights.withColumn("idf_sum", total)
+    met = meet_postings(index, weights, rows, ["tf", "dl", "positions"], [spec.name])
+    one = met.where("n = 1").withColumn("score", _bm25("tf", "idf"))
+    one = one.groupBy(*keys, index.key).agg(F.sum("score").alias("score"))
+    return one.unionByName(_occurrences(batch, met.where("n > 1")))
+
+
+def _bm25(tf: str, idf: str) -> Column:
+    return F.col("boost") * F.col(idf) * tf_norm(F.col(tf), F.col("dl"), F.col("avgdl"))
 
 
 def _literal_phrase(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float) -> DataFrame:
@@ -387,20 +392,18 @@ def _literal_phrase(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: f
     constants = {"field": spec.name, "n": len(tokens), "boost": boost, "qtf": 1}
     looked_up = literal_rows(index, [{**row, **constants} for row in rows], PHRASE_SCHEMA)
     literal = sorted({row["term"] for row in rows})
-    weights = weigh(index, F.broadcast(looked_up), literal)
+    weights = weigh(index, looked_up, len(rows), literal)
     if not fixed:
-        return _sum_scores(batch, contributions(index, weights, [spec.name], literal))
+        scored = contributions(index, weights, len(rows), [spec.name], literal)
+        return scored.groupBy(index.key).agg(F.sum("score").alias("score"))
     weights = weights.withColumn("idf_sum", weights.agg(F.sum("idf")).scalar())
-    return _occurrences(batch, weights, spec.name, literal)
+    met = meet_postings(index, weights, len(rows), ["dl", "positions"], [spec.name], literal)
+    return _occurrences(batch, met)
 
 
 PHRASE_SCHEMA = "term string, offset int, field string, n int, boost double, qtf int"
 
 
-def _sum_scores(batch: Batch, scored: DataFrame) -> DataFrame:
-    return scored.groupBy(*batch.keys, batch.index.key).agg(F.sum("score").alias("score"))
-
-
 def _phrase_words(batch: Batch, text: Text, chain: Chain) -> DataFrame:
     """Rows of keys, `slot_no`, `offset`, `token`, `n`."""
     # one window per query: as large as the query's text
@@ -414,36 +417,33 @@ def _phrase_words(batch: Batch, text: Text, chain: Chain) -> DataFrame:
     )
 
 
-def _expansions(batch: Batch, last: DataFrame, name: str, limit: int) -> DataFrame:
+def _expansions(batch: Batch, last: DataFrame, longest: int, name: str, limit: int) -> DataFrame:
     """The first `limit` dictionary terms, in binary order, that begin with the prefix."""
     terms = batch.index.terms.where(F.col("field") == name).select("term")
-    longest = last.agg(F.max(F.length("token"))).first()[0] or 1
     # an equality join: every term offers its beginnings, up to the longest prefix asked
     sizes = F.sequence(F.lit(1), F.least(F.length("term"), F.lit(longest)))
     held = terms.withColumn("_size", F.explode(sizes)).withColumn(
         "token", F.substring(F.col("term"), F.lit(1), F.col("_size"))
     )
     per_query = Window.partitionBy(*batch.keys).orderBy("term")
-    ranked = held.join(small(last), "token").withColumn("_rank", F.row_number().over(per_query))
+    ranked = held.join(last, "token").withColumn("_rank", F.row_number().over(per_query))
     return ranked.where(F.col("_rank") <= limit).select(*batch.keys, "n", "offset", "term")
 
 
-def _occurrences(batch: Batch, weights: DataFrame, name: str, literal=None) -> DataFrame:
+def _occurrences(batch: Batch, met: DataFrame) -> DataFrame:
     """A phrase occurs at a start where every one of its words stands at its offset."""
-    index, keys = batch.index, batch.keys
-    met = meet_postings(index, weights, ["dl", "positions"], [name], literal)
+    keys = [*batch.keys, batch.index.key]
     per_document = ["n", "idf_sum", "avgdl", "dl", "boost"]
     starts = F.explode(F.transform("positions", lambda p: p - F.col("offset")))
     found = (
-        met.select(*keys, index.key, *per_document, starts.alias("start"))
-        .groupBy(*keys, index.key, *per_document, "start")
+        met.select(*keys, *per_document, starts.alias("start"))
+        .groupBy(*keys, *per_document, "start")
         .agg(F.count("*").alias("words"))
         .where("words = n")
-        .groupBy(*keys, index.key, *per_document)
+        .groupBy(*keys, *per_document)
         .agg(F.count("*").alias("tf"))
     )
-    score = F.col("boost") * F.col("idf_sum") * tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"))
-    return found.select(*keys, index.key, score.alias("score"))
+    return found.select(*keys, _bm25("tf", "idf_sum").alias("score"))
 
 
 # ---- query strings ------------------------------------------------------------------
@@ -460,24 +460,37 @@ def query_string_hits(batch: Batch, query: QueryString) -> DataFrame:
     batch.check(query.text)
     text = F.lit(query.text) if isinstance(query.text, str) else query.text
     raw = F.regexp_extract_all(text, F.lit(CLAUSE), F.lit(0))
-    clauses = F.transform(raw, _clause)
-    read = batch.rows.select(*keys, clauses.alias("clauses"))
+    read = batch.rows.select(*keys, F.transform(raw, _clause).alias("clauses"))
     words = F.flatten(F.transform("clauses", lambda c: c["pieces"]))
     words = read.select(*keys, F.explode(F.array_distinct(words)).alias("word")).where("word != '|'")
-    scored, known = _word_scores(batch, query, words)
+    terms, values = _word_terms(batch, query, words)
+    if batch.single:
+        # as many rows as the caller wrote words
+        rows = [row.asDict() for row in terms.collect()]
+        count, literal = len(rows), sorted({row["term"] for row in rows})
+        terms = literal_rows(index, rows, WORD_SCHEMA)
+    else:
+        count, literal = terms.count(), None
+    fields = [f.name for f in index.mapping.text_fields]
+    scored = contributions(index, weigh(index, terms, count, literal), count, fields, literal)
+    by_field = scored.groupBy(*keys, index.key, "word", "field").agg(F.sum("score").alias("score"))
+    by_field = reduce(DataFrame.unionByName, [by_field, *[hits for _, hits in values]])
+    best = by_field.groupBy(*keys, index.key, "word").agg(F.max("score").alias("score"))
     # one map per query and document, of at most the query's words
-    by_doc = scored.groupBy(*keys, index.key).agg(
+    by_doc = best.groupBy(*keys, index.key).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "score"))).alias("scores")
     )
+    known = reduce(DataFrame.unionByName, [terms.select(*keys, "word"), *[asked for asked, _ in values]])
     if batch.single:
-        seen = [F.lit(row["word"]) for row in known.collect()]
-        seen = F.array(*seen) if seen else F.array().cast("array<string>")
-        joined = by_doc.withColumns({"clauses": clauses, "known": seen})
+        seen = sorted({row["word"] for row in known.collect()})
+        seen = F.array(*[F.lit(word) for word in seen]).cast("array<string>")
+        joined = by_doc.withColumns({"clauses": F.transform(raw, _clause), "known": seen})
     else:
         known = known.groupBy(*keys).agg(F.collect_set("word").alias("known"))
         joined = by_doc.join(read.join(known, keys), keys)
-    joined = joined.select(*keys, index.key, _clause_values(query.default_operator.lower()).alias("values"))
-    folded = joined.select(*keys, index.key, _fold_clauses(query.default_operator.lower()).alias("r"))
+    operator = query.default_operator.lower()
+    joined = joined.select(*keys, index.key, _clause_values(operator).alias("values"))
+    folded = joined.select(*keys, index.key, _fold_clauses(operator).alias("r"))
     return folded.where("r.matched").select(*keys, index.key, F.col("r.score").alias("score"))
 
 
@@ -489,8 +502,9 @@ def _clause(raw: Column) -> Column:
     return F.struct(sign.alias("sign"), F.regexp_extract_all(body, F.lit(PIECE), F.lit(0)).alias("pieces"))
 
 
-def _word_scores(batch: Batch, query: QueryString, words: DataFrame):
-    """Best-fields score of every word, and the words that analysis leaves non-empty.
+def _word_terms(batch: Batch, query: QueryString, words: DataFrame):
+    """The terms that analysis makes of the words, in every field they are asked of; and
+    for each keyword field the words asked of it, and the documents that hold them.
 
     A word may name its field: `title:in`. On a keyword field it is an exact value.
     """
@@ -501,9 +515,19 @@ def _word_scores(batch: Batch, query: QueryString, words: DataFrame):
     words = words.withColumn("_named", named).withColumn(
         "_text", F.substring(word, F.when(named != "", F.length(named) + 2).otherwise(1), F.length(word))
     )
-    parts, values, valued = [], [], []
+    if batch.single:
+        # the caller's words, cut once
+        rows = [tuple(row) for row in words.collect()]
+        words = index.spark.createDataFrame(rows, "word string, _named string, _text string")
+        names = {named for _, named, _ in rows}
+    else:
+        names = {f.name for f in index.mapping.fields} | {""}
+    terms, values = [], []
     for spec in index.mapping.fields:
-        asked = words.where(F.col("_named").isin([spec.name, ""] if spec.name in boosts else [spec.name]))
+        wanted = {spec.name, ""} if spec.name in boosts else {spec.name}
+        if not wanted & names:
+            continue
+        asked = words.where(F.col("_named").isin(sorted(wanted)))
         boost = F.lit(boosts.get(spec.name, spec.boost))
         if spec.is_text:
             chain = analyzer(query.analyzer) if query.analyzer is not None else spec.chain
@@ -511,27 +535,18 @@ def _word_scores(batch: Batch, query: QueryString, words: DataFrame):
             counted = tokens.groupBy(*keys, "word", F.col("token").alias("term")).agg(
                 F.count("*").cast("int").alias("qtf")
             )
-            parts.append(counted.withColumns({"field": F.lit(spec.name), "boost": boost}))
+            terms.append(counted.withColumns({"field": F.lit(spec.name), "boost": boost}))
         else:
+            asked = asked.select(*keys, "word", "_text")
             held = _held_values(index, spec.name).withColumn("_text", F.col("_value").cast("string"))
-            met = held.join(small(asked.select(*keys, "word", "_text")), "_text")
-            values.append(met.select(*keys, index.key, "word", F.lit(spec.name).alias("field"), boost.alias("score")))
-            valued.append(asked.select(*keys, "word"))
-    terms = reduce(DataFrame.unionByName, parts)
-    if batch.single:
-        # as many rows as the caller wrote words
-        rows = [row.asDict() for row in terms.collect()]
-        literal = sorted({row["term"] for row in rows})
-        fields = sorted({row["field"] for row in rows})
-        terms = literal_rows(index, rows, WORD_SCHEMA)
-        scored = contributions(index, weigh(index, F.broadcast(terms), literal), fields, literal)
-    else:
-        scored = contributions(index, weigh(index, terms), [f.name for f in index.mapping.text_fields])
-    by_field = scored.groupBy(*keys, index.key, "word", "field").agg(F.sum("score").alias("score"))
-    by_field = reduce(DataFrame.unionByName, [by_field, *values])
-    best = by_field.groupBy(*keys, index.key, "word").agg(F.max("score").alias("score"))
-    known = reduce(DataFrame.unionByName, [terms.select(*keys, "word"), *valued]).distinct()
-    return best, known
+            met = held.join(small(asked, asked.count()), "_text")
+            hits = met.select(*keys, index.key, "word", F.lit(spec.name).alias("field"), boost.alias("score"))
+            values.append((asked.select(*keys, "word"), hits))
+    if not terms:
+        nothing = words.where(F.lit(False)).select(*keys, "word", F.col("word").alias("term"))
+        constants = {"qtf": F.lit(0), "field": F.lit(""), "boost": F.lit(1.0)}
+        terms.append(nothing.withColumns(constants))
+    return reduce(DataFrame.unionByName, terms), values
 
 
 WORD_SCHEMA = "word string, term string, qtf int, field string, boost double"

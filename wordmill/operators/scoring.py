@@ -18,7 +18,7 @@ from wordmill.sources.store import Index
 K1 = 1.2
 B = 0.75
 
-# A table of query terms up to this size is broadcast, after it was counted.
+# A table of query terms is broadcast up to this size, counted or proven.
 BROADCAST_ROWS = 500_000
 # Beyond it, the postings of a term are spread over slices of about this many rows.
 SLICE_ROWS = 1_000_000
@@ -32,38 +32,48 @@ def tf_norm(tf: Column, dl: Column, avgdl: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
 
 
-def weigh(index: Index, query_terms: DataFrame, literal_terms: Sequence[str] | None = None) -> DataFrame:
-    """Add `df`, `idf` and `avgdl` to query terms; terms not in the index drop out."""
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a table for broadcast if its counted or proven size allows it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def weigh(
+    index: Index, query_terms: DataFrame, rows: int, literal_terms: Sequence[str] | None = None
+) -> DataFrame:
+    """Add `df`, `idf` and `avgdl` to query terms; terms not in the index drop out.
+
+    `rows` is an upper bound of the query terms, counted or known.
+    """
     # one row per field: bounded by the mapping
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
     terms = index.terms.select("field", "term", "df")
     if literal_terms is not None:
         # reaches the file scan, which then reads only the buckets of these terms
         terms = terms.where(F.col("term").isin(list(literal_terms)))
-    found = terms.join(query_terms, ["field", "term"]).join(stats, "field")
+    found = terms.join(small(query_terms, rows), ["field", "term"]).join(stats, "field")
     return found.withColumn("idf", idf(F.col("df"), F.col("n_docs"))).drop("n_docs")
 
 
 def meet_postings(
     index: Index,
     query_terms: DataFrame,
+    rows: int,
     columns: Sequence[str],
-    literal_fields: Sequence[str],
+    fields: Sequence[str],
     literal_terms: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join query terms, which carry `df`, to the postings on field and term.
 
-    A single query's terms are as few as its words and are broadcast. A table of queries
-    is counted first and broadcast if it is small. Otherwise both sides are shuffled by
-    term, with the postings of frequent terms cut into slices.
+    Query terms are broadcast if they are few, as those of a single query always are.
+    Otherwise both sides are shuffled by term, with the postings of frequent terms cut
+    into slices.
     """
-    postings = index.postings.where(F.col("field").isin(list(literal_fields))).select(
+    postings = index.postings.where(F.col("field").isin(list(fields))).select(
         "field", "term", index.key, *columns
     )
     if literal_terms is not None:
         postings = postings.where(F.col("term").isin(list(literal_terms)))
-        return postings.join(F.broadcast(query_terms), ["field", "term"])
-    if query_terms.count() <= BROADCAST_ROWS:
+    if rows <= BROADCAST_ROWS:
         return postings.join(F.broadcast(query_terms), ["field", "term"])
     return _sliced(index, postings, query_terms)
 
@@ -85,9 +95,15 @@ def _sliced(index: Index, postings: DataFrame, query_terms: DataFrame) -> DataFr
     return cut.drop("_slices").join(spread, ["field", "term", "_slice"]).drop("_slice")
 
 
-def contributions(index: Index, weights: DataFrame, literal_fields, literal_terms=None) -> DataFrame:
+def contributions(
+    index: Index,
+    weights: DataFrame,
+    rows: int,
+    fields: Sequence[str],
+    literal_terms: Sequence[str] | None = None,
+) -> DataFrame:
     """One row per query term and document, with the parts of its score."""
-    met = meet_postings(index, weights, ["tf", "dl"], literal_fields, literal_terms)
+    met = meet_postings(index, weights, rows, ["tf", "dl"], fields, literal_terms)
     norm = tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"))
     return met.withColumn("tf_norm", norm).withColumn(
         "score", F.col("qtf") * F.col("boost") * F.col("idf") * F.col("tf_norm")

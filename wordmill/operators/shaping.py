@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from wordmill.functions.chains import GAP, TOKEN, WORD, analyzer
 from wordmill.operators.clauses import Batch, Slots, like_pattern
-from wordmill.operators.scoring import contributions
 from wordmill.plans.query import (
     Bool,
     Match,
@@ -72,9 +71,7 @@ def explain(index: Index, query: Match | MultiMatch | Term) -> DataFrame:
         slots.add_multi_match(query)
     else:
         slots.add_term(query)
-    weights, names, literal = slots.term_weights()
-    parts = contributions(index, weights, names, literal)
-    return parts.select(
+    return slots.term_contributions().select(
         index.key, "field", "term", "tf", "df", "dl", "idf", "tf_norm", "boost",
         F.col("score").alias("contribution"),
     )
