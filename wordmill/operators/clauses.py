@@ -352,12 +352,13 @@ def phrase_hits(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float
         return _literal_phrase(batch, query, spec, boost)
     keys, index = batch.keys, batch.index
     words = _phrase_words(batch, query.text, spec.chain)
-    count, longest = words.agg(F.count("*"), F.max(F.length("token"))).first()
+    size = F.when(F.col("slot_no") == F.col("n") - 1, F.length("token"))
+    count, sizes = words.agg(F.count("*"), F.collect_set(size)).first()
     # every word is looked up once, the last one of a query as its expansions
     rows = count * max(query.max_expansions, 1)
     fixed = words.where("slot_no < n - 1").select(*keys, "n", "offset", F.col("token").alias("term"))
     last = words.where("slot_no = n - 1").select(*keys, "n", "offset", "token")
-    expanded = _expansions(batch, small(last, count), longest or 1, spec.name, query.max_expansions)
+    expanded = _expansions(batch, small(last, count), sizes, spec.name, query.max_expansions)
     looked_up = fixed.unionByName(expanded).withColumn("field", F.lit(spec.name))
     weights = weigh(index, looked_up, rows).withColumns({"boost": F.lit(boost), "qtf": F.lit(1)})
     # one window per query: as large as its words and expansions
@@ -417,14 +418,13 @@ def _phrase_words(batch: Batch, text: Text, chain: Chain) -> DataFrame:
     )
 
 
-def _expansions(batch: Batch, last: DataFrame, longest: int, name: str, limit: int) -> DataFrame:
+def _expansions(batch: Batch, last: DataFrame, sizes: list[int], name: str, limit: int) -> DataFrame:
     """The first `limit` dictionary terms, in binary order, that begin with the prefix."""
     terms = batch.index.terms.where(F.col("field") == name).select("term")
-    # an equality join: every term offers its beginnings, up to the longest prefix asked
-    sizes = F.sequence(F.lit(1), F.least(F.length("term"), F.lit(longest)))
-    held = terms.withColumn("_size", F.explode(sizes)).withColumn(
-        "token", F.substring(F.col("term"), F.lit(1), F.col("_size"))
-    )
+    # an equality join: every term offers its beginnings of the lengths that are asked
+    offered = F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>")
+    held = terms.withColumn("_size", F.explode(offered)).where(F.col("_size") <= F.length("term"))
+    held = held.withColumn("token", F.substring(F.col("term"), F.lit(1), F.col("_size")))
     per_query = Window.partitionBy(*batch.keys).orderBy("term")
     ranked = held.join(last, "token").withColumn("_rank", F.row_number().over(per_query))
     return ranked.where(F.col("_rank") <= limit).select(*batch.keys, "n", "offset", "term")
@@ -433,16 +433,20 @@ def _expansions(batch: Batch, last: DataFrame, longest: int, name: str, limit: i
 def _occurrences(batch: Batch, met: DataFrame) -> DataFrame:
     """A phrase occurs at a start where every one of its words stands at its offset."""
     keys = [*batch.keys, batch.index.key]
-    per_document = ["n", "idf_sum", "avgdl", "dl", "boost"]
-    starts = F.explode(F.transform("positions", lambda p: p - F.col("offset")))
-    found = (
-        met.select(*keys, *per_document, starts.alias("start"))
-        .groupBy(*keys, *per_document, "start")
-        .agg(F.count("*").alias("words"))
-        .where("words = n")
-        .groupBy(*keys, *per_document)
-        .agg(F.count("*").alias("tf"))
+    starts = F.transform("positions", lambda p: p - F.col("offset"))
+    # one list per query and document, of at most the phrase's words and expansions
+    words = met.groupBy(*keys, "n", "idf_sum", "avgdl", "dl", "boost").agg(
+        F.collect_list(F.struct("offset", starts.alias("starts"))).alias("words"),
+        F.collect_set("offset").alias("offsets"),
     )
+
+    def starts_at(offset):
+        same = F.filter("words", lambda word: word["offset"] == offset)
+        return F.flatten(F.transform(same, lambda word: word["starts"]))
+
+    first = starts_at(F.element_at("offsets", 1))
+    common = F.aggregate("offsets", first, lambda kept, offset: F.array_intersect(kept, starts_at(offset)))
+    found = words.where(F.size("offsets") == F.col("n")).withColumn("tf", F.size(common)).where("tf > 0")
     return found.select(*keys, _bm25("tf", "idf_sum").alias("score"))
 
 

@@ -33,8 +33,9 @@ def tf_norm(tf: Column, dl: Column, avgdl: Column) -> Column:
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a table for broadcast if its counted or proven size allows it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """Broadcast a table if its counted or proven size allows it, and only then: Spark's
+    own estimate does not see that an `explode` makes many rows of one."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
 def weigh(
@@ -92,7 +93,7 @@ def _sliced(index: Index, postings: DataFrame, query_terms: DataFrame) -> DataFr
     spread = query_terms.withColumn(
         "_slice", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
     )
-    return cut.drop("_slices").join(spread, ["field", "term", "_slice"]).drop("_slice")
+    return cut.drop("_slices").join(spread.hint("merge"), ["field", "term", "_slice"]).drop("_slice")
 
 
 def contributions(
