@@ -135,7 +135,7 @@ def _boolean(must: list[Value], must_not: list[Value], should: list[Value]) -> V
     else:
         matched = reduce(Column.__or__, [v.matched for v in should])
     for v in must_not:
-        matched = matched & ~v.matched
+        matched = matched & ~F.coalesce(v.matched, F.lit(False))
     score = reduce(Column.__add__, [v.score for v in [*must, *should]])
     return Value(matched, F.when(matched, score).otherwise(F.lit(0.0)))
 
@@ -148,7 +148,8 @@ def _document_filter(index: Index, query: Query) -> Value | None:
         spec = index.mapping.get(query.field)
         if spec is not None and spec.is_text:
             return None
-        matched = F.coalesce(column_predicate(index, query), F.lit(False))
+        # left bare, so that it reaches the file scan; null means no match
+        matched = column_predicate(index, query)
         return Value(matched, F.when(matched, F.lit(1.0)).otherwise(F.lit(0.0)))
     if isinstance(query, Bool):
         groups = [[_document_filter(index, q) for q in part] for part in (query.must, query.must_not, query.should)]

@@ -193,7 +193,7 @@ def index_all(
     # both sides lie in the same buckets: matched bucket by bucket, with no shuffle
     ids = batch.select(key).hint("shuffle_hash")
     kept_docs = old.docs.join(ids, key, "left_anti")
-    kept_postings = old.postings.join(ids, key, "left_anti")
+    kept_postings = old.postings.join(ids, key, "left_anti").select(*old.postings.columns)
     _write(new, kept_docs.unionByName(batch), kept_postings.unionByName(postings_of(batch, new.mapping)))
     spark.sql(f"DROP TABLE {new.table_name('batch')}")
     if old.version > 0:
