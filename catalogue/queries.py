@@ -85,42 +85,46 @@ def _tokens(df: DataFrame) -> DataFrame:
     return df.withColumn("position", F.col("position").cast("bigint"))
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    return w.spread(table(spark, folder, "documents"))
+
+
 # ---- analysis ----------------------------------------------------------------------
 
 
 def analyze_standard(spark, folder):
-    return _tokens(w.analyze(table(spark, folder, "documents"), "text", "standard", ["doc_id"]))
+    return _tokens(w.analyze(texts(spark, folder), "text", "standard", ["doc_id"]))
 
 
 def analyze_folding(spark, folder):
-    return _tokens(w.analyze(table(spark, folder, "documents"), "text", FOLDING_CHAIN, ["doc_id"]))
+    return _tokens(w.analyze(texts(spark, folder), "text", FOLDING_CHAIN, ["doc_id"]))
 
 
 def normalize_value(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", lower_ascii(F.col("text")).alias("folded"))
+    return texts(spark, folder).select("doc_id", lower_ascii(F.col("text")).alias("folded"))
 
 
 def analyze_porter(spark, folder):
-    words = w.analyze(table(spark, folder, "documents"), "text", "standard")
+    words = w.analyze(texts(spark, folder), "text", "standard")
     words = words.select(F.col("token").alias("term")).distinct()
     stems = w.analyze(words, "term", w.Chain((w.PorterStem(),)), ["term"])
     return stems.select("term", F.col("token").alias("stem"))
 
 
 def analyze_light(spark, folder):
-    return _tokens(w.analyze(table(spark, folder, "documents"), "text", "case_sensitive_text", ["doc_id"]))
+    return _tokens(w.analyze(texts(spark, folder), "text", "case_sensitive_text", ["doc_id"]))
 
 
 def analyze_english(spark, folder):
-    return _tokens(w.analyze(table(spark, folder, "documents"), "text", "english", ["doc_id"]))
+    return _tokens(w.analyze(texts(spark, folder), "text", "english", ["doc_id"]))
 
 
 def analyze_chain(spark, folder):
-    return _tokens(w.analyze(table(spark, folder, "documents"), "text", SAMPLE_CHAIN, ["doc_id"]))
+    return _tokens(w.analyze(texts(spark, folder), "text", SAMPLE_CHAIN, ["doc_id"]))
 
 
 def analyze_explain(spark, folder):
-    stages = w.analyze_stages(table(spark, folder, "documents"), "text", SAMPLE_CHAIN, ["doc_id"])
+    stages = w.analyze_stages(texts(spark, folder), "text", SAMPLE_CHAIN, ["doc_id"])
     return stages.groupBy(F.col("stage_no").cast("bigint").alias("stage_no"), "stage", "token").agg(
         F.count("*").alias("tokens"), F.sum("position").cast("bigint").alias("positions")
     )
@@ -419,7 +423,7 @@ def suggest(spark, folder):
 
 def suggest_many(spark, folder):
     """Suggestions for every word of the conversations that no document holds."""
-    asked = turns(spark, folder).select(F.col("doc_id").alias("name"), F.lit("text").alias("field"), "text")
+    asked = w.spread(turns(spark, folder)).select(F.col("doc_id").alias("name"), F.lit("text").alias("field"), "text")
     return _ranked(w.suggest(documents(spark, folder), asked))
 
 

@@ -201,6 +201,9 @@ def test_sort_and_type(books):
     result = search(books, Term("publisher", "manning"), sort=[("publish_date", "desc")], size=2, source=["title"])
     assert [r["_id"] for r in result.hits.collect()] == [3, 4]
     assert result.hits.columns == ["_id", "score", "title"]
+    assert search(books, Term("publisher", "manning"), sort=[("num_reviews", "desc")]).hits.columns == ["_id", "score"]
+    large = search(books, MatchAll(), sort=[("num_reviews", "desc")], size=20_000, source=["num_reviews"])
+    assert [r["num_reviews"] for r in large.hits.collect()] == [23, 20, 18, 12]
     by_reviews = search(books, Match("title", "action"), sort=[("num_reviews", "asc")])
     assert [r["_id"] for r in by_reviews.hits.collect()] == [3, 4]
 

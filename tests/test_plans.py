@@ -100,6 +100,21 @@ def test_column_queries_are_filters(index):
     assert "Join" not in text and "Exchange" not in text and "EqualTo(group,1)" in text
 
 
+@pytest.mark.parametrize("clause", [{"must_not": (Term("group", "1"),)}, {"must": (Match("text", "hot"), Term("group", "1"))}])
+def test_column_clauses_are_filters_in_the_same_buckets(index, clause):
+    query = Bool(**{"must": (Match("text", "hot"),), **clause})
+    text = plan(hits(index, query))
+    assert "ShuffledHashJoin" in text and "EqualTo(group,1)" in text
+    assert "Exchange hashpartitioning" not in text and "Union" not in text
+    found = {r["doc_id"]: r["score"] for r in hits(index, query).collect()}
+    plain = {r["doc_id"]: r["score"] for r in hits(index, Match("text", "hot")).collect()}
+    ones = {d for d in plain if d % 5 == 1}
+    if "must_not" in clause:
+        assert found == {d: s for d, s in plain.items() if d not in ones}
+    else:
+        assert found == {d: s + 1 for d, s in plain.items() if d in ones}
+
+
 def test_pages_are_fetched_by_key(index):
     result = search(index, Match("text", "w1"), size=3, source=["group"])
     text = plan(result.hits)

@@ -36,6 +36,7 @@ from wordmill.sources.bulk import bulk_lines, read_bulk
 from wordmill.sources.store import (
     Index,
     build_index,
+    clear_workspace,
     create_index,
     delete_index,
     describe_index,
@@ -43,4 +44,5 @@ from wordmill.sources.store import (
     index_exists,
     numbered_index,
     open_index,
+    spread,
 )

@@ -46,6 +46,10 @@ def hits(index: Index, query: Query, queries: DataFrame | None = None, id_column
         on_docs = _document_filter(index, query)
         if on_docs is not None:
             return index.docs.where(on_docs.matched).select(index.key, on_docs.score.alias("score"))
+    rest, wanted, unwanted = _split_filters(index, query)
+    if wanted or unwanted:
+        found = hits(index, rest, queries, id_column)
+        return _filtered(index, found, wanted, unwanted)
     slots = Slots(batch)
     value = _read(query, slots)
     group = [*batch.keys, index.key]
@@ -65,6 +69,39 @@ def hits(index: Index, query: Query, queries: DataFrame | None = None, id_column
     return found.select(*group, value.score.alias("score"))
 
 
+def _split_filters(index: Index, query: Query) -> tuple[Query, list[Column], list[Column]]:
+    """Take the clauses about document columns out of a bool query that also has text
+    clauses which must match; they become filters over the documents."""
+    if not isinstance(query, Bool):
+        return query, [], []
+    on_docs = {id(q): _document_filter(index, q) for q in (*query.must, *query.must_not)}
+    must = [q for q in query.must if on_docs[id(q)] is None]
+    must_not = [q for q in query.must_not if on_docs[id(q)] is None]
+    wanted = [on_docs[id(q)] for q in query.must if on_docs[id(q)] is not None]
+    if wanted and (not must or any(not isinstance(q, Term) for q in query.must if on_docs[id(q)] is not None)):
+        must, wanted = list(query.must), []
+    if not must and not query.should:
+        return query, [], []
+    unwanted = [on_docs[id(q)].matched for q in query.must_not if on_docs[id(q)] is not None]
+    rest = Bool(tuple(must), tuple(must_not), query.should)
+    return rest, [v.matched for v in wanted], unwanted
+
+
+def _filtered(index: Index, found: DataFrame, wanted: list[Column], unwanted: list[Column]) -> DataFrame:
+    """Keep hits by filters over the documents, which lie in the same buckets: no shuffle.
+
+    Each clause that must match adds its constant score of 1.
+    """
+    key = index.key
+    if wanted:
+        kept = index.docs.where(reduce(Column.__and__, wanted)).select(key).hint("shuffle_hash")
+        found = found.join(kept, key, "left_semi").withColumn("score", F.col("score") + float(len(wanted)))
+    if unwanted:
+        dropped = index.docs.where(reduce(Column.__or__, unwanted)).select(key).hint("shuffle_hash")
+        found = found.join(dropped, key, "left_anti")
+    return found
+
+
 # ---- the structure of a query, as expressions over its slots -----------------------
 
 
@@ -146,7 +183,7 @@ def _document_filter(index: Index, query: Query) -> Value | None:
         return Value(F.lit(True), F.lit(1.0))
     if isinstance(query, Term):
         spec = index.mapping.get(query.field)
-        if spec is not None and spec.is_text:
+        if (spec is not None and spec.is_text) or isinstance(query.value, Column):
             return None
         # left bare, so that it reaches the file scan; null means no match
         matched = column_predicate(index, query)
@@ -195,13 +232,15 @@ def search(
     if digits is not None:
         found = found.withColumn("score", F.round("score", digits))
     wanted = found if min_score is None else found.where(F.col("score") >= min_score)
+    order = ranking(index.key)
     if sort:
-        page = _sorted(index, wanted, sort)
-    else:
-        page = wanted.orderBy(*ranking(index.key))
+        wanted, order = _sort_columns(index, wanted, sort)
+    page = wanted.orderBy(*order)
     page = page.offset(offset).limit(size) if offset else page.limit(size)
-    if source is not None:
-        page = _with_source(index, page.select(index.key, "score"), source, size, sort)
+    if source is None:
+        page = page.select(index.key, "score")
+    else:
+        page = _with_source(index, page, source, size, order)
     return SearchResult(page, totals(found), found)
 
 
@@ -217,32 +256,33 @@ def _of_type(index: Index, found: DataFrame, doc_type: str | None) -> DataFrame:
     return found.join(of_type.hint("shuffle_hash"), index.key, "left_semi")
 
 
-def _sorted(index: Index, found: DataFrame, sort: Sequence[tuple[str, str]]) -> DataFrame:
+def _sort_columns(index: Index, found: DataFrame, sort: Sequence[tuple[str, str]]):
+    """Hits with the document columns to sort by, and the order."""
     columns = [F.col(name).alias(f"_sort{n}") for n, (name, _) in enumerate(sort)]
-    joined = found.join(index.docs.select(index.key, *columns), index.key)
     order = []
     for n, (_, direction) in enumerate(sort):
         column = F.col(f"_sort{n}")
         order.append(column.desc_nulls_last() if direction == "desc" else column.asc_nulls_last())
-    return joined.orderBy(*order, F.col(index.key).asc())
+    documents = index.docs.select(index.key, *columns)
+    # both sides lie in the buckets of the key
+    return found.join(documents.hint("merge"), index.key), [*order, F.col(index.key).asc()]
 
 
-def _with_source(index: Index, page: DataFrame, source: Sequence[str], size: int, sort) -> DataFrame:
+def _with_source(index: Index, page: DataFrame, source: Sequence[str], size: int, order: list[Column]) -> DataFrame:
     """Fetch the documents of a page. The keys of a page are few, and as literals they
     let the scan skip every bucket and page of the table that holds none of them."""
     wanted = index.docs.columns if list(source) == ["*"] else list(source)
-    columns = [c for c in wanted if c != index.key]
+    names = [c for c in wanted if c != index.key]
+    docs = index.docs.select(index.key, *[F.col(c).alias(c) for c in names])
+    shown = [index.key, "score", *[f"`{c}`" for c in names]]
     if size > FETCH_ROWS:
-        fetched = index.docs.select(index.key, *columns)
-        return page.join(fetched, index.key).orderBy(*ranking(index.key))
+        return page.join(docs, index.key).orderBy(*order).select(*shown)
     rows = [(row[index.key], row["score"], n) for n, row in enumerate(page.collect())]
     kind = index.docs.schema[index.key].dataType.simpleString()
     ranked = index.spark.createDataFrame(rows, f"`{index.key}` {kind}, score double, _rank int")
-    docs = index.docs.where(F.col(index.key).isin([row[0] for row in rows]))
-    named = [F.col(c).alias(c) for c in columns]
+    docs = docs.where(F.col(index.key).isin([row[0] for row in rows]))
     # at most FETCH_ROWS keys
-    joined = docs.select(index.key, *named).join(F.broadcast(ranked), index.key)
-    return joined.orderBy("_rank").select(index.key, "score", *[f"`{c}`" for c in columns])
+    return docs.join(F.broadcast(ranked), index.key).orderBy("_rank").select(*shown)
 
 
 # ---- entry points --------------------------------------------------------------------

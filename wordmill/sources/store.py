@@ -26,6 +26,7 @@ from wordmill.plans.mapping import Mapping, entry_mapping
 
 TABLES = ("docs", "postings", "terms", "lengths", "stats")
 BYTES_PER_SHARD = 256 * 1024 * 1024
+BYTES_PER_SPLIT = 128 * 1024 * 1024
 
 
 def workspace(spark: SparkSession) -> str:
@@ -45,6 +46,11 @@ def workspace(spark: SparkSession) -> str:
     return name
 
 
+def clear_workspace(spark: SparkSession) -> None:
+    """Drop every index of this application."""
+    spark.sql(f"DROP DATABASE IF EXISTS {workspace(spark)} CASCADE")
+
+
 def numbered_index(number: int, prefix: str = "zot") -> str:
     """The customary index name for a numbered collection."""
     return f"{prefix}{number:d}"
@@ -230,16 +236,30 @@ def _flat(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
 # ---- building -------------------------------------------------------------------
 
 
+def input_bytes(docs: DataFrame) -> int | None:
+    """Size of the files that a DataFrame reads; None if it reads none."""
+    files = docs.inputFiles()
+    if not files:
+        return None
+    # only the file status is read: the content column is pruned
+    return docs.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+
+
 def shard_count(docs: DataFrame) -> int:
     """One shard per 256 MB of input files, and at least one per core."""
     spark = docs.sparkSession
     least = max(1, spark.sparkContext.defaultParallelism)
-    files = docs.inputFiles()
-    if not files:
+    size = input_bytes(docs)
+    if size is None:
         return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # only the file status is read: the content column is pruned
-    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    return max(least, -(-(size or 0) // BYTES_PER_SHARD))
+    return max(least, -(-size // BYTES_PER_SHARD))
+
+
+def spread(docs: DataFrame) -> DataFrame:
+    """Spread a small input, which is read in few splits, over all cores."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    size = input_bytes(docs)
+    return docs.repartition(cores) if size is not None and size < cores * BYTES_PER_SPLIT else docs
 
 
 def latest(docs: DataFrame, key: str, order_by: Column | None = None) -> DataFrame:
