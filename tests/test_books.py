@@ -211,7 +211,8 @@ def test_sort_and_type(books):
 def test_named(spark, books):
     got = search_named(spark, "bookdb", "most_fields", "guide", ["title", "summary"], page={"size": 1})
     assert scores(got) == scores(search(books, MultiMatch(("title", "summary"), "guide", kind="most_fields"), size=1))
-    assert search_named(spark, "nosuch", "match", "guide", ["title"]) is None
+    missing = search_named(spark, "nosuch", "match", "guide", ["title"])
+    assert missing.hits.collect() == [] and missing.totals.first()["total"] == 0
     with pytest.raises(ValueError):
         make_query("nosuch", "guide")
 

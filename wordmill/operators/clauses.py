@@ -525,7 +525,8 @@ def _word_terms(batch: Batch, query: QueryString, words: DataFrame):
         words = index.spark.createDataFrame(rows, "word string, _named string, _text string")
         names = {named for _, named, _ in rows}
     else:
-        names = {f.name for f in index.mapping.fields} | {""}
+        # at most the fields of the mapping
+        names = {row["_named"] for row in words.select("_named").distinct().collect()}
     terms, values = [], []
     for spec in index.mapping.fields:
         wanted = {spec.name, ""} if spec.name in boosts else {spec.name}

@@ -290,10 +290,11 @@ def _with_source(index: Index, page: DataFrame, source: Sequence[str], size: int
 
 def search_named(
     spark, name: str, kind: str, text: str, fields: Sequence[str], *, page: dict | None = None, **options
-) -> SearchResult | None:
-    """Search an index by name with a query type by name; None if there is no index."""
+) -> SearchResult:
+    """Search an index by name with a query type by name; no hits if there is no index."""
     if not index_exists(spark, name):
-        return None
+        nothing = spark.createDataFrame([], "_id string, score double")
+        return SearchResult(nothing, totals(nothing), nothing)
     return search(open_index(spark, name), make_query(kind, text, fields, **options), **(page or {}))
 
 
