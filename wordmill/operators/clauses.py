@@ -488,14 +488,16 @@ def query_string_hits(batch: Batch, query: QueryString) -> DataFrame:
     if batch.single:
         seen = sorted({row["word"] for row in known.collect()})
         seen = F.array(*[F.lit(word) for word in seen]).cast("array<string>")
-        joined = by_doc.withColumns({"clauses": F.transform(raw, _clause), "known": seen})
+        joined = by_doc.withColumn("clauses", _seen_clauses(F.transform(raw, _clause), seen))
     else:
         known = known.groupBy(*keys).agg(F.collect_set("word").alias("known"))
-        joined = by_doc.join(read.join(known, keys), keys)
+        read = read.join(known, keys).select(*keys, _seen_clauses(F.col("clauses"), F.col("known")).alias("clauses"))
+        joined = by_doc.join(read, keys)
     operator = query.default_operator.lower()
-    joined = joined.select(*keys, index.key, _clause_values(operator).alias("values"))
-    folded = joined.select(*keys, index.key, _fold_clauses(operator).alias("r"))
-    return folded.where("r.matched").select(*keys, index.key, F.col("r.score").alias("score"))
+    # bound one after the other: a lambda would compute them again at every use
+    joined = joined.select(*keys, index.key, _clause_scores(operator).alias("found"))
+    joined = joined.select(*keys, index.key, "found", _rest(operator).alias("rest"))
+    return joined.where(_clauses_match(operator)).select(*keys, index.key, _clauses_score().alias("score"))
 
 
 def _clause(raw: Column) -> Column:
@@ -570,65 +572,65 @@ def _query_string_fields(index: Index, query: QueryString) -> dict[str, float]:
     return found
 
 
-def _fold(values: Column, operator: str) -> Column:
-    """Fold `(bar, seen, matched, score)` items from left to right."""
+def _seen_clauses(clauses: Column, known: Column) -> Column:
+    """Clauses without the words that analysis empties, and without those left empty."""
 
-    def item(bar, seen, matched, score):
-        return F.struct(
-            bar.alias("bar"), seen.alias("seen"), matched.alias("matched"), score.alias("score")
-        )
+    def keep(c):
+        kept = F.filter(c["pieces"], lambda p: (p == "|") | F.array_contains(known, p))
+        return F.struct(c["sign"].alias("sign"), kept.alias("pieces"))
+
+    return F.filter(F.transform(clauses, keep), lambda c: F.size(c["pieces"]) > 0)
+
+
+def _fold(items: Column, operator: str) -> Column:
+    """Join `(bar, score)` items from left to right; a null score stands for no match."""
+
+    def state(bar, seen, score):
+        return F.struct(bar.alias("bar"), seen.alias("seen"), score.alias("score"))
 
     def combine(acc, x):
-        either = acc["matched"] | x["matched"]
-        both = acc["matched"] & x["matched"]
+        a, b = acc["score"], x["score"]
+        either, both = F.coalesce(a + b, a, b), a + b
         joined = either if operator == "or" else F.when(acc["bar"], either).otherwise(both)
-        matched = F.when(acc["seen"], joined).otherwise(x["matched"])
-        score = F.when(matched, acc["score"] + x["score"]).otherwise(F.lit(0.0))
-        bar = item(F.lit(True), acc["seen"], acc["matched"], acc["score"])
-        value = item(F.lit(False), F.lit(True), matched, score)
-        return F.when(x["bar"], bar).when(x["seen"], value).otherwise(acc)
+        value = F.when(acc["seen"], joined).otherwise(b)
+        return F.when(x["bar"], state(F.lit(True), acc["seen"], a)).otherwise(
+            state(F.lit(False), F.lit(True), value)
+        )
 
-    start = item(F.lit(False), F.lit(False), F.lit(False), F.lit(0.0))
-    return F.aggregate(values, start, combine)
+    start = state(F.lit(False), F.lit(False), F.lit(None).cast("double"))
+    return F.aggregate(items, start, combine)
 
 
-def _clause_values(operator: str) -> Column:
-    """What each clause is worth for one document; words that analysis empties are unseen."""
+def _clause_scores(operator: str) -> Column:
+    """`sign` and `score` of each clause for one document; null where it does not match."""
 
     def piece(p):
-        score = F.try_element_at(F.col("scores"), p)
-        return F.struct(
-            (p == "|").alias("bar"),
-            F.array_contains("known", p).alias("seen"),
-            score.isNotNull().alias("matched"),
-            F.coalesce(score, F.lit(0.0)).alias("score"),
-        )
+        return F.struct((p == "|").alias("bar"), F.try_element_at(F.col("scores"), p).alias("score"))
 
-    def value(c):
-        inner = _fold(F.transform(c["pieces"], piece), operator)
-        return F.struct(
-            c["sign"].alias("sign"),
-            (c["sign"] == "|").alias("bar"),
-            inner["seen"].alias("seen"),
-            inner["matched"].alias("matched"),
-            inner["score"].alias("score"),
-        )
+    def clause(c):
+        score = _fold(F.transform(c["pieces"], piece), operator)["score"]
+        return F.struct(c["sign"].alias("sign"), score.alias("score"))
+
+    return F.transform("clauses", clause)
+
+
+def _rest(operator: str) -> Column:
+    """The clauses without a sign, joined."""
+    plain = F.filter("found", lambda v: v["sign"].isin("", "|"))
+    items = F.transform(plain, lambda v: F.struct((v["sign"] == "|").alias("bar"), v["score"].alias("score")))
+    return _fold(items, operator)
 
-    return F.transform("clauses", value)
-
-
-def _fold_clauses(operator: str) -> Column:
-    """`matched` and `score` of a document, from the worth of the clauses."""
-    values = F.col("values")
-    required = F.filter(values, lambda v: (v["sign"] == "+") & v["seen"])
-    excluded = F.filter(values, lambda v: (v["sign"] == "-") & v["seen"])
-    rest = _fold(F.filter(values, lambda v: v["sign"].isin("", "|")), operator)
-    some = F.size(required) > 0
-    optional = some if operator == "or" else some & ~rest["seen"]
-    matched = (
-        F.forall(required, lambda v: v["matched"])
-        & ~F.exists(excluded, lambda v: v["matched"])
-        & (rest["matched"] | optional)
+
+def _clauses_match(operator: str) -> Column:
+    required = F.exists("found", lambda v: v["sign"] == "+")
+    failed = F.exists(
+        "found",
+        lambda v: ((v["sign"] == "+") & v["score"].isNull()) | ((v["sign"] == "-") & v["score"].isNotNull()),
     )
-    score = F.aggregate(required, F.lit(0.0), lambda acc, v: acc + v["score"]) + rest["score"]
-    return F.struct(matched.alias("matched"), score.alias("score"))
+    optional = required if operator == "or" else required & ~F.col("rest.seen")
+    return ~failed & (F.col("rest.score").isNotNull() | optional)
+
+
+def _clauses_score() -> Column:
+    signed = F.filter("found", lambda v: v["sign"] == "+")
+    return F.aggregate(signed, F.coalesce("rest.score", F.lit(0.0)), lambda acc, v: acc + v["score"])
