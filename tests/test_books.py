@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import scores
+from pyspark.sql import functions as F
 
 from wordmill import (
     Bool,
@@ -24,6 +25,7 @@ from wordmill import (
     search_named,
     uri_query,
 )
+from wordmill.operators import scoring
 
 
 def test_field_lengths(books):
@@ -217,37 +219,33 @@ def test_named(spark, books):
         make_query("nosuch", "guide")
 
 
-BATCH_TEXTS = ["searchlight guide", "in action", "search engine", "searchlight guide", "nosuchword", "text"]
-
-
-@pytest.mark.parametrize(
-    "make",
-    [
-        lambda t: Match("summary", t),
-        lambda t: Match("summary", t, operator="and"),
-        lambda t: MultiMatch(("title", "summary^3"), t),
-        lambda t: MultiMatch(("title", "summary"), t, kind="most_fields"),
-        lambda t: PhrasePrefix(("title", "summary"), t),
-        lambda t: QueryString(("title", "summary"), t, default_operator="and"),
-        lambda t: Bool(must=(Match("summary", t),), must_not=(Match("title", "text"),)),
-        lambda t: Wildcard("title", t),
-        lambda t: Term("publisher", t),
-        lambda t: Term("title", t),
-    ],
-)
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_batches_equal_single_queries(spark, books, monkeypatch, make, broadcast):
-    from pyspark.sql import functions as F
-
-    from wordmill.operators import scoring
-
+BATCH_TEXTS = ["searchlight guide", "in action", "searchlight guide", "nosuchword"]
+TEMPLATES = {
+    "match": lambda t: Match("summary", t),
+    "and": lambda t: Match("summary", t, operator="and"),
+    "best": lambda t: MultiMatch(("title", "summary^3"), t),
+    "most": lambda t: MultiMatch(("title", "summary"), t, kind="most_fields"),
+    "phrase": lambda t: PhrasePrefix(("title", "summary"), t),
+    "query string": lambda t: QueryString(("title", "summary"), t, default_operator="and"),
+    "bool": lambda t: Bool(must=(Match("summary", t),), must_not=(Match("title", "text"),)),
+    "bool column": lambda t: Bool(must=(Match("summary", t),), must_not=(Term("publisher", "oreilly"),)),
+    "wildcard": lambda t: Wildcard("title", t),
+    "column": lambda t: Term("publisher", t),
+    "term": lambda t: Term("title", t),
+}
+CASES = [(name, True) for name in TEMPLATES] + [(name, False) for name in ("best", "phrase", "query string", "wildcard")]
+
+
+@pytest.mark.parametrize(("name", "broadcast"), CASES)
+def test_batches_equal_single_queries(spark, books, monkeypatch, name, broadcast):
+    make = TEMPLATES[name]
     if not broadcast:
         monkeypatch.setattr(scoring, "BROADCAST_ROWS", 0)
         monkeypatch.setattr(scoring, "SLICE_ROWS", 2)
     texts = list(BATCH_TEXTS)
-    if isinstance(make("x"), Wildcard):
+    if name == "wildcard":
         texts = ["*ct*", "s?lr", "*", "t*g", "*nosuch*", "a*"]
-    if isinstance(make("x"), Term):
+    if name in ("column", "term"):
         texts = ["manning", "oreilly", "action", "guide"]
     queries = spark.createDataFrame(list(enumerate(texts)), "query_id bigint, text string")
     got = {}

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from wordmill.functions.chains import Chain, analyzer
 from wordmill.functions.folding import lower_ascii
-from wordmill.operators.scoring import contributions, meet_postings, small, tf_norm, weigh
+from wordmill.operators.scoring import contributions, measure, meet_postings, row_units, small, tf_norm, weigh
 from wordmill.plans.mapping import FieldSpec
 from wordmill.plans.query import (
     Match,
@@ -168,7 +168,7 @@ class Slots:
             weights = weigh(index, query_terms, len(rows), literal)
             return contributions(index, weights, len(rows), fields, literal)
         query_terms = _query_terms(self.batch, self.terms)
-        count = query_terms.count()
+        count = measure(query_terms)
         return contributions(index, weigh(index, query_terms, count), count, fields)
 
 
@@ -255,7 +255,7 @@ def _column_hits(batch: Batch, query: Term) -> DataFrame:
         return index.docs.where(column_predicate(index, query)).select(index.key)
     asked = batch.rows.select(*batch.keys, _wanted(index, query).alias("_value"))
     held = _held_values(index, query.field)
-    return held.join(small(asked, asked.count()), "_value").select(*batch.keys, index.key)
+    return held.join(small(asked, measure(asked)), "_value").select(*batch.keys, index.key)
 
 
 def _wanted(index: Index, query: Term) -> Column:
@@ -310,7 +310,7 @@ def wildcard_hits(batch: Batch, query: Wildcard) -> DataFrame:
         found = terms.where(F.col("term").like(like_pattern(query.pattern)))
     else:
         found = _batch_wildcard_terms(batch, query, terms)
-    hits = meet_postings(index, found, found.count(), [], [spec.name])
+    hits = meet_postings(index, found, measure(found), [], [spec.name])
     # a document may hold several of the terms
     return hits.groupBy(*batch.keys, index.key).agg(F.max(F.lit(1.0)).alias("score"))
 
@@ -335,7 +335,7 @@ def _batch_wildcard_terms(batch: Batch, query: Wildcard, terms: DataFrame) -> Da
         F.transform(starts, lambda i: F.transform(sizes, lambda n: F.substring(F.col("term"), i, n)))
     )
     held = terms.withColumn("_gram", F.explode(F.array_append(F.array_distinct(grams), F.lit(""))))
-    return held.join(small(asked, asked.count()), "_gram").where("term LIKE _like").select(*batch.keys, "field", "term", "df")
+    return held.join(small(asked, measure(asked)), "_gram").where("term LIKE _like").select(*batch.keys, "field", "term", "df")
 
 
 # ---- phrase prefix -----------------------------------------------------------------
@@ -353,13 +353,12 @@ def phrase_hits(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float
     keys, index = batch.keys, batch.index
     words = _phrase_words(batch, query.text, spec.chain)
     size = F.when(F.col("slot_no") == F.col("n") - 1, F.length("token"))
-    count, sizes = words.agg(F.count("*"), F.collect_set(size)).first()
-    # every word is looked up once, the last one of a query as its expansions
-    rows = count * max(query.max_expansions, 1)
+    count, sizes = words.agg(row_units(words), F.collect_set(size)).first()
     fixed = words.where("slot_no < n - 1").select(*keys, "n", "offset", F.col("token").alias("term"))
     last = words.where("slot_no = n - 1").select(*keys, "n", "offset", "token")
-    expanded = _expansions(batch, small(last, count), sizes, spec.name, query.max_expansions)
+    expanded = _expansions(batch, small(last, count or 0), sizes, spec.name, query.max_expansions)
     looked_up = fixed.unionByName(expanded).withColumn("field", F.lit(spec.name))
+    rows = measure(looked_up)
     weights = weigh(index, looked_up, rows).withColumns({"boost": F.lit(boost), "qtf": F.lit(1)})
     # one window per query: as large as its words and expansions
     total = F.sum("idf").over(Window.partitionBy(*keys))
@@ -474,7 +473,7 @@ def query_string_hits(batch: Batch, query: QueryString) -> DataFrame:
         count, literal = len(rows), sorted({row["term"] for row in rows})
         terms = literal_rows(index, rows, WORD_SCHEMA)
     else:
-        count, literal = terms.count(), None
+        count, literal = measure(terms), None
     fields = [f.name for f in index.mapping.text_fields]
     scored = contributions(index, weigh(index, terms, count, literal), count, fields, literal)
     by_field = scored.groupBy(*keys, index.key, "word", "field").agg(F.sum("score").alias("score"))
@@ -546,7 +545,7 @@ def _word_terms(batch: Batch, query: QueryString, words: DataFrame):
         else:
             asked = asked.select(*keys, "word", "_text")
             held = _held_values(index, spec.name).withColumn("_text", F.col("_value").cast("string"))
-            met = held.join(small(asked, asked.count()), "_text")
+            met = held.join(small(asked, measure(asked)), "_text")
             hits = met.select(*keys, index.key, "word", F.lit(spec.name).alias("field"), boost.alias("score"))
             values.append((asked.select(*keys, "word"), hits))
     if not terms:

@@ -8,9 +8,11 @@ tables, and only then meet the postings, in a single join for all clauses.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordmill.sources.store import Index
 
@@ -18,8 +20,10 @@ from wordmill.sources.store import Index
 K1 = 1.2
 B = 0.75
 
-# A table of query terms is broadcast up to this size, counted or proven.
+# A table is broadcast up to this size, measured or proven. A long string counts as
+# several rows, one more for every ROW_BYTES.
 BROADCAST_ROWS = 500_000
+ROW_BYTES = 64
 # Beyond it, the postings of a term are spread over slices of about this many rows.
 SLICE_ROWS = 1_000_000
 
@@ -32,8 +36,20 @@ def tf_norm(tf: Column, dl: Column, avgdl: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
 
 
+def row_units(df: DataFrame) -> Column:
+    """The rows of a table as a sum, with long strings counted by their bytes."""
+    strings = [F.col(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    more = [F.coalesce(F.floor(F.octet_length(c) / ROW_BYTES), F.lit(0)) for c in strings]
+    return F.sum(reduce(Column.__add__, more, F.lit(1).cast("bigint")))
+
+
+def measure(df: DataFrame) -> int:
+    """Size of a table in rows of at most ROW_BYTES of text, from one pass over it."""
+    return df.agg(row_units(df)).first()[0] or 0
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table if its counted or proven size allows it, and only then: Spark's
+    """Broadcast a table if its measured or proven size allows it, and only then: Spark's
     own estimate does not see that an `explode` makes many rows of one."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
@@ -43,7 +59,7 @@ def weigh(
 ) -> DataFrame:
     """Add `df`, `idf` and `avgdl` to query terms; terms not in the index drop out.
 
-    `rows` is an upper bound of the query terms, counted or known.
+    `rows` is the size of the query terms, measured or known.
     """
     # one row per field: bounded by the mapping
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordmill.operators.scoring import small
+from wordmill.operators.scoring import measure, small
 
 ACTION = "struct<index:struct<_id:string,_type:string>>"
 
@@ -50,7 +50,7 @@ def read_bulk(
         "*",
         F.row_number().over(in_split).alias("line"),
         F.lag("value").over(in_split).alias("previous"),
-    ).join(small(counts, counts.count()), split, "left")
+    ).join(small(counts, measure(counts)), split, "left")
     # a split that was not counted means that the two reads disagree: fail, lose nothing
     number = F.when(F.col("before").isNotNull(), F.col("before") + F.col("line")).otherwise(
         F.raise_error(F.lit("the input files changed while they were read")).cast("bigint")
