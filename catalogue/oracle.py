@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wordmill.functions.chains import ENGLISH_STOP, GAP, TOKEN
 from wordmill.functions.folding import MULTI_LETTER, SINGLE_LETTER
+from wordmill.functions.stemming import STEP_2, STEP_3, STEP_4
 
 PATTERN = "'" + TOKEN.replace("'", "''") + "'"
 PIECES = "'" + f"{TOKEN}|{GAP}".replace("'", "''") + "'"
@@ -74,18 +75,6 @@ def swap(table):
     return f"CASE WHEN e <> '' AND {over_0('s')} THEN s || CASE e {cases} END ELSE w END"
 
 
-TWO = {
-    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize", "abli": "able",
-    "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous", "ization": "ize", "ation": "ate",
-    "ator": "ate", "alism": "al", "iveness": "ive", "fulness": "ful", "ousness": "ous", "aliti": "al",
-    "iviti": "ive", "biliti": "ble",
-}
-THREE = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
-FOUR = (
-    "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split()
-)
-
-
 def porter(source: str) -> str:
     """`term` and `stem` for a query with a column `term`."""
     doubles = "|".join(letter * 2 for letter in "bcdfghjkmnpqrtvwx")
@@ -101,11 +90,11 @@ def porter(source: str) -> str:
         f"WHEN {is_1('w')} AND {short('w')} THEN w || 'e' ELSE w END AS w FROM (%s)",
         f"SELECT term, CASE WHEN w LIKE '%%y' AND {vowel(cut('w', 1))} THEN {cut('w', 1)} || 'i' ELSE w END AS w "
         "FROM (%s)",
-        f"SELECT {ending(*TWO)} FROM (%s)",
-        f"SELECT term, {swap(TWO)} AS w FROM (%s)",
-        f"SELECT {ending(*THREE)} FROM (%s)",
-        f"SELECT term, {swap(THREE)} AS w FROM (%s)",
-        f"SELECT {ending(*FOUR)} FROM (%s)",
+        f"SELECT {ending(*STEP_2)} FROM (%s)",
+        f"SELECT term, {swap(STEP_2)} AS w FROM (%s)",
+        f"SELECT {ending(*STEP_3)} FROM (%s)",
+        f"SELECT term, {swap(STEP_3)} AS w FROM (%s)",
+        f"SELECT {ending(*STEP_4)} FROM (%s)",
         f"SELECT term, CASE WHEN e <> '' AND {over_1('s')} AND (e <> 'ion' OR regexp_matches(s, '[st]$')) "
         "THEN s ELSE w END AS w FROM (%s)",
         f"SELECT term, CASE WHEN w LIKE '%%e' AND ({over_1(cut('w', 1))} OR "

@@ -152,3 +152,25 @@ def test_type_restriction(spark):
     result = search(index, Match("text", "fix"), doc_type="repo")
     assert [r["id"] for r in result.hits.collect()] == [2]
     assert result.totals.first()["total"] == 1
+
+
+def test_one_file_per_bucket(spark):
+    """The documents are shuffled once, and a bucket is one file."""
+    rows = spark.range(3000).select("id", F.concat(F.lit("w"), F.col("id").cast("string")).alias("text"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    index = build_index(spark, name(), rows, TEXT, shards=5)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    for kind in ("docs", "postings", "lengths", "terms"):
+        files = [path.rsplit("/", 1)[1] for path in index.table(kind).inputFiles()]
+        assert len(files) == 5, kind
+        assert len({path.split("_")[1] for path in files}) == 5, kind
+
+
+def test_documents_are_shuffled_once(spark, tmp_path):
+    from wordmill.sources.store import latest
+
+    docs(spark, (1, "a"), (2, "b")).write.parquet(str(tmp_path / "d"))
+    read = spark.read.parquet(str(tmp_path / "d"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    written = latest(read, "id").repartition(partitions, "id").sortWithinPartitions("id")
+    assert written._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1

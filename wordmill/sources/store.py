@@ -164,7 +164,7 @@ def build_index(
     shards = shards or shard_count(docs)
     index = Index(spark, workspace(spark), name, 0, shards, mapping)
     # written first, so that the analysis reads documents already in their buckets
-    _save(index, "docs", latest(docs, mapping.key, order_by), bucket_by=mapping.key)
+    _save_latest(index, "docs", docs, order_by, docs.columns)
     _write(index, None, postings_of(index.docs, mapping))
     return index
 
@@ -193,8 +193,7 @@ def index_all(
         raise ValueError("the mapping differs from that of the index; build a new one")
     key = old.key
     new = Index(spark, old.database, name, old.version + 1, old.shards, old.mapping)
-    batch = latest(docs, key, order_by).select(*old.docs.columns)
-    _save(new, "batch", batch, bucket_by=key)
+    _save_latest(new, "batch", docs, order_by, old.docs.columns)
     batch = new.table("batch")
     # both sides lie in the same buckets: matched bucket by bucket, with no shuffle
     ids = batch.select(key).hint("shuffle_hash")
@@ -262,17 +261,20 @@ def spread(docs: DataFrame) -> DataFrame:
     return docs.repartition(cores) if size is not None and size < cores * BYTES_PER_SPLIT else docs
 
 
-def latest(docs: DataFrame, key: str, order_by: Column | None = None) -> DataFrame:
+def latest(
+    docs: DataFrame, key: str, order_by: Column | None = None, columns: list[str] | None = None
+) -> DataFrame:
     """One row per key: the last by `order_by`, by default in the order of arrival.
 
     An aggregate, not a window: copies of a key are reduced in every task before the
     shuffle, however many there are.
     """
     order = F.monotonically_increasing_id() if order_by is None else order_by
-    rest = [c for c in docs.columns if c != key]
+    columns = columns or docs.columns
+    rest = [c for c in columns if c != key]
     rows = docs.select(key, F.struct(*rest).alias("_row"), order.alias("_order"))
     last = rows.groupBy(key).agg(F.max_by("_row", "_order").alias("_row"))
-    return last.select(key, "_row.*").select(*docs.columns)
+    return last.select(key, "_row.*").select(*columns)
 
 
 def postings_of(docs: DataFrame, mapping: Mapping) -> DataFrame:
@@ -333,8 +335,8 @@ def _save(
     partition_by: str | None = None,
     in_place: bool = False,
 ) -> None:
-    """Write one table. `in_place`: the rows come from a bucketed table and still lie in
-    their buckets, so they are written where they are, without a shuffle."""
+    """Write one table. `in_place`: the rows lie in their buckets already, so they are
+    written where they are, without a shuffle."""
     if bucket_by is None:
         df = df.coalesce(1)
     elif not in_place:
@@ -347,6 +349,23 @@ def _save(
     writer.saveAsTable(index.table_name(kind))
 
 
+def _save_latest(
+    index: Index, kind: str, docs: DataFrame, order_by: Column | None, columns: list[str]
+) -> None:
+    """Write the last row of every key into its bucket, in a single shuffle.
+
+    The shuffle of the aggregate is given as many partitions as there are buckets. Both
+    use the same hash of the key, so the repartitioning before the write is left out.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = index.spark.conf.get(setting)
+    index.spark.conf.set(setting, str(index.shards))
+    try:
+        _save(index, kind, latest(docs, index.key, order_by, columns), bucket_by=index.key)
+    finally:
+        index.spark.conf.set(setting, before)
+
+
 def _publish(index: Index) -> None:
     quoted = index.mapping.to_json().replace("\\", "\\\\").replace("'", "\\'")
     index.spark.sql(
