@@ -4,14 +4,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordmill import (
+    AsciiFolding,
     Bool,
+    Chain,
     FieldSpec,
+    LightEnglish,
+    Lowercase,
     Mapping,
     Match,
     MatchAll,
     MultiMatch,
     PhrasePrefix,
+    PorterStem,
+    Possessive,
     QueryString,
+    Stop,
     Term,
     Wildcard,
     build_index,
@@ -91,8 +98,11 @@ def test_no_python_and_no_cartesian_product(index, query):
 
 def test_build_needs_no_shuffle(index):
     """Postings are made where the bucketed documents lie."""
-    text = plan(postings_of(index.docs, index.mapping))
-    assert "Exchange" not in text
+    assert "Exchange" not in plan(postings_of(index.docs, index.mapping))
+    # nor with a chain that stems, stops and folds
+    chain = Chain((Lowercase(), AsciiFolding(), Possessive(), Stop(), PorterStem(), LightEnglish()))
+    stemmed = Mapping((FieldSpec("text", analyzer=chain),), "doc_id")
+    assert "Exchange" not in plan(postings_of(index.docs, stemmed))
 
 
 def test_column_queries_are_filters(index):

@@ -27,6 +27,9 @@ TOKEN = (
 )
 GAP = r"[^\p{L}\p{M}\p{N}_]+"
 
+# The columns of token rows, beside those of the caller.
+TOKEN_COLUMNS = ("position", "token", "protected")
+
 # The customary English stop words.
 ENGLISH_STOP = (
     "a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in",
@@ -107,17 +110,22 @@ class Stop(Filter):
 @dataclass(frozen=True)
 class PorterStem(Filter):
     def step(self, df):
-        # The row travels as one struct: with a single column between the steps, Spark
-        # compiles each step as a method of its own, small enough for the JIT compiler.
-        # One projection per step, because a single expression would double at each.
+        # One projection per step, because a single expression would double at each. Spark
+        # compiles a projection as a method of its own, small enough for the JIT compiler,
+        # if it uses every input twice: so the token travels as one struct, which also
+        # repeats the caller's columns. These stay columns too, to keep their partitioning.
         token, state = F.col("token"), F.col("_state")
+        kept = [c for c in df.columns if c not in TOKEN_COLUMNS and not c.startswith("_stage_")]
+        row = F.struct(*[c for c in df.columns if c not in kept])
         stems = ~F.col("protected") & (F.length(token) > 2)
-        work = F.when(stems, mark_y(token))
-        rows = df.select(F.struct(F.struct(*df.columns).alias("row"), work.alias("work")).alias("_state"))
+
+        def packed(row, work):
+            return F.struct(row.alias("row"), work.alias("work"), *kept).alias("_state")
+
+        rows = df.select(*kept, packed(row, F.when(stems, mark_y(token))))
         for one in porter_steps():
-            changed = F.struct(state["row"].alias("row"), one(state["work"]).alias("work"))
-            rows = rows.select(changed.alias("_state"))
-        rows = rows.select("_state.row.*", state["work"].alias("_work"))
+            rows = rows.select(*kept, packed(state["row"], one(state["work"])))
+        rows = rows.select(*kept, "_state.row.*", state["work"].alias("_work"))
         stem = F.coalesce(restore_y(F.col("_work"), token), token)
         return rows.select(*[stem.alias(c) if c == "token" else c for c in df.columns])
 
@@ -159,7 +167,7 @@ class Chain:
 
     def split(self, df: DataFrame, text: Column, keep: Sequence[str]) -> DataFrame:
         """The standard tokenizer: rows of `keep`, `position`, `token`, `protected`."""
-        taken = {"position", "token", "protected"} & set(keep)
+        taken = set(TOKEN_COLUMNS) & set(keep)
         if taken:
             raise ValueError(f"rename the columns {sorted(taken)}: token rows use these names")
         found = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
