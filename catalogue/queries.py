@@ -196,7 +196,7 @@ def describe_index(spark, folder):
 
 def create_delete(spark, folder):
     """The life of an index over all conversation turns."""
-    name = w.numbered_index(uuid.uuid4().int % 10**12)
+    name = w.numbered_index(uuid.uuid4().int >> 88)
     docs = turns(spark, folder)
     mapping = w.Mapping((w.FieldSpec("text"),), "doc_id")
     rows = []

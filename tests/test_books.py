@@ -116,6 +116,28 @@ def test_term_wildcard_match_all(books):
     assert scores(search(books, MatchAll())) == [(i, 1.0) for i in (1, 2, 3, 4)]
 
 
+def test_texts_without_words(books):
+    fields = ("title", "summary")
+    for query in (
+        Match("title", "..."),
+        Match("title", "...", operator="and"),
+        MultiMatch(fields, "?!"),
+        MultiMatch(fields, "", kind="most_fields"),
+        PhrasePrefix(fields, "-"),
+        QueryString(fields, "..."),
+        QueryString(fields, ""),
+        QueryString(fields, "-guide"),
+        Wildcard("title", "*nosuch*"),
+        Term("title", "nosuch"),
+        Bool(must=(Match("title", "action"), Match("title", "..."))),
+    ):
+        assert scores(search(books, query)) == [], query
+    # a word that analysis empties does not count
+    assert scores(search(books, QueryString(fields, "solr ...", default_operator="and"))) == scores(
+        search(books, QueryString(fields, "solr"))
+    )
+
+
 def test_bool(books):
     search_books = dict(scores(search(books, Match("summary", "search"))))
     engine = dict(scores(search(books, Match("summary", "engine"))))
