@@ -183,3 +183,48 @@ def run_hash(word_hashes: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + word_hashes[k : k + n])
     return out
+
+
+def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
+    """The least value of every window of `width` neighbours, by doubling."""
+    if len(x) < width:
+        return x[:0]
+    out, have = x, 1
+    while have < width:
+        step = min(have, width - have)
+        out = np.minimum(out[:-step], out[step:])
+        have += step
+    return out
+
+
+def sliding_max(x: np.ndarray, width: int) -> np.ndarray:
+    """The greatest value of every window of `width` neighbours."""
+    return ~sliding_min(~x, width)
+
+
+def winnowed(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The places whose hash is the least of a window of `width` hashes; ties are all taken.
+
+    Two sequences that share a window share its least hash, so each marks that place. A
+    sequence shorter than a window is one window.
+    """
+    if not len(hashes):
+        return np.zeros(0, dtype=np.int64)
+    width = min(width, len(hashes))
+    least = sliding_min(hashes, width)
+    edge = np.zeros(width - 1, dtype=hashes.dtype)
+    over = sliding_max(np.concatenate([edge, least, edge]), width)
+    return np.flatnonzero(over == hashes)
+
+
+def rows_of(ends: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The row of each place, given the place where every row ends."""
+    return np.searchsorted(ends, places, side="right")
+
+
+def sample_ids(frame: DataFrame, id_column: str, n: int) -> DataFrame:
+    """`n` ids at most, the first by hash: a sample that does not depend on the layout."""
+    from pyspark.sql import functions as F
+
+    ids = frame.select(F.col(id_column).alias("_id")).where(F.col(id_column).isNotNull()).distinct()
+    return ids.orderBy(F.xxhash64("_id"), "_id").limit(n)

@@ -5,20 +5,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe
+from wordmill.llm import bpe, decontam, quality
 from wordmill.llm.common import table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule counts and verdicts of all documents; the forest is fitted on labelled rows."""
+    docs = table(spark, folder, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded texts of all documents, as counts and digests."""
     return bpe.digests(table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents that lie in windows of the benchmark."""
+    return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
+    "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
+    "op10_decontam": op10_decontam,
 }
 
 ORACLE: dict[str, str] = {}
