@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, quality
+from wordmill.llm import bpe, decontam, quality, secrets
 from wordmill.llm.common import table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
@@ -23,6 +23,12 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents; the field is trained on windows of a sample of them."""
+    docs = table(spark, folder, "documents")
+    return secrets.digests(docs, secrets.fit(docs))
+
+
 def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
     """Words of all documents that lie in windows of the benchmark."""
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -31,6 +37,7 @@ def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
+    "op7_secrets": op7_secrets,
     "op10_decontam": op10_decontam,
 }
 
