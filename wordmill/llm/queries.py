@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, quality, secrets
+from wordmill.llm import bpe, decontam, html, quality, secrets
 from wordmill.llm.common import table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main texts of all pages."""
+    pages = table(spark, folder, "pages")
+    return html.extract(pages, html.fit(pages))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Rule counts and verdicts of all documents; the forest is fitted on labelled rows."""
     docs = table(spark, folder, "documents")
@@ -35,6 +41,7 @@ def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html": op1_html,
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
     "op7_secrets": op7_secrets,
