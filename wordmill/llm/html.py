@@ -42,7 +42,7 @@ MADE_PAGES = 700
 TRAIN_BLOCKS = 80
 PATH_SLOTS, WORD_SLOTS = 2048, 2048
 VECTOR, HIDDEN, FIGURES = 12, 16, 8
-EPOCHS = 6
+EPOCHS = 10
 
 # Fixed values of HTML: elements within a line, elements without content or text for readers,
 # and elements that an element of the same group ends.
@@ -395,8 +395,11 @@ def _made(rng: np.random.Generator, texts: list[str]) -> tuple[list[Block], list
     gold: list[int] = []
     base = ("html", "body") + (("div", *(f".{x}" for x in ("page", "wrapper", "container") if rng.random() < 0.3)) if rng.random() < 0.5 else ())
 
+    def any_text() -> str:
+        return texts[int(rng.integers(len(texts)))]
+
     def line() -> str:
-        words = str(rng.choice(texts)).split()
+        words = any_text().split()
         short = words[: int(rng.integers(1, 14))]
         if rng.random() < 0.5:
             short += [str(x) for x in rng.choice(SIDE_WORDS, int(rng.integers(1, 4)))]
@@ -407,7 +410,7 @@ def _made(rng: np.random.Generator, texts: list[str]) -> tuple[list[Block], list
         as_list = rng.random() < 0.45
         as_text = not as_list and rng.random() < 0.35
         for _ in range(int(rng.integers(1, 8 if as_list else 4))):
-            text = str(rng.choice(texts)) if as_text else line()
+            text = any_text() if as_text else line()
             inner = ("ul", "li") if as_list else tuple(x for x in ("p", "div") if rng.random() < 0.3)
             blocks.append(Block(own + inner, text, len(text) if as_list and rng.random() < 0.9 else 0))
             gold.append(0)
@@ -419,11 +422,11 @@ def _made(rng: np.random.Generator, texts: list[str]) -> tuple[list[Block], list
         main += ("div",) + (_part(rng, MAIN_PARTS)[1:] if rng.random() < 0.5 else ())
     if rng.random() < 0.8:
         head = main + (("header",) if rng.random() < 0.2 else ()) + (str(rng.choice(["h1", "h2"])),)
-        blocks.append(Block(head, " ".join(str(rng.choice(texts)).split()[:9]) or "title", 0))
+        blocks.append(Block(head, " ".join(any_text().split()[:9]) or "title", 0))
         gold.append(1)
     for _ in range(int(rng.integers(1, 14))):
         kind = rng.random()
-        text = str(rng.choice(texts))
+        text = any_text()
         if rng.random() < 0.25:
             text = " ".join(text.split()[: int(rng.integers(1, 8))]) or text
         inner = ("p",) if kind < 0.75 else ("ul", "li") if kind < 0.85 else ("blockquote", "p") if kind < 0.9 else (str(rng.choice(["h2", "h3", "pre", "div"])),)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, html, quality, secrets
+from wordmill.llm import bpe, decontam, html, jaccard, quality, secrets
 from wordmill.llm.common import table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
@@ -18,6 +18,11 @@ def op1_html(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(pages, html.fit(pages))
 
 
+def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents whose shingle sets link."""
+    return jaccard.join(table(spark, folder, "documents"))
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Rule counts and verdicts of all documents; the forest is fitted on labelled rows."""
     docs = table(spark, folder, "documents")
@@ -42,6 +47,7 @@ def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_html": op1_html,
+    "op2_jaccard": op2_jaccard,
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
     "op7_secrets": op7_secrets,
