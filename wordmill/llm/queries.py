@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, html, jaccard, quality, secrets
+from wordmill.llm import bpe, decontam, html, jaccard, quality, repeats, secrets
 from wordmill.llm.common import table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
@@ -40,6 +40,11 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(docs, secrets.fit(docs))
 
 
+def op9_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    """What repeated strings of 100 bytes leave of all documents."""
+    return repeats.remove(table(spark, folder, "documents"), digest=True)
+
+
 def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
     """Words of all documents that lie in windows of the benchmark."""
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -51,6 +56,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
     "op7_secrets": op7_secrets,
+    "op9_suffix": op9_suffix,
     "op10_decontam": op10_decontam,
 }
 
