@@ -5,12 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, html, jaccard, quality, repeats, secrets
+from wordmill.llm import bpe, decontam, html, jaccard, lattice, quality, repeats, secrets
 from wordmill.llm.common import table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Subword pieces and their scores.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def op1_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main texts of all pages."""
@@ -40,6 +43,11 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(docs, secrets.fit(docs))
 
 
+def op8_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents under a lattice of subword pieces."""
+    return lattice.score(table(spark, folder, "documents"), PIECES)
+
+
 def op9_suffix(spark: SparkSession, folder: str) -> DataFrame:
     """What repeated strings of 100 bytes leave of all documents."""
     return repeats.remove(table(spark, folder, "documents"), digest=True)
@@ -56,6 +64,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
     "op7_secrets": op7_secrets,
+    "op8_lattice": op8_lattice,
     "op9_suffix": op9_suffix,
     "op10_decontam": op10_decontam,
 }
