@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, html, jaccard, lattice, quality, repeats, secrets
+from wordmill.llm import bpe, decontam, html, jaccard, lattice, passages, quality, repeats, secrets
 from wordmill.llm.common import table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
@@ -37,6 +37,11 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op6_chaining(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of all documents that recur from an earlier one, exactly or with changes."""
+    return passages.find(table(spark, folder, "documents"))
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents; the field is trained on windows of a sample of them."""
     docs = table(spark, folder, "documents")
@@ -63,6 +68,7 @@ QUERIES = {
     "op2_jaccard": op2_jaccard,
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
+    "op6_chaining": op6_chaining,
     "op7_secrets": op7_secrets,
     "op8_lattice": op8_lattice,
     "op9_suffix": op9_suffix,
