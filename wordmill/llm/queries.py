@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, html, jaccard, lattice, passages, quality, repeats, secrets
-from wordmill.llm.common import table
+from wordmill.llm import bpe, decontam, html, idcoder, jaccard, lattice, passages, quality, repeats, secrets
+from wordmill.llm.common import scratch, table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,13 @@ def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.join(table(spark, folder, "documents"))
 
 
+def op3_idcoder(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents, written to files and read from them again."""
+    files = scratch(spark)
+    idcoder.write(table(spark, folder, "documents"), files, BYTE_BPE)
+    return idcoder.digests(spark, files)
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Rule counts and verdicts of all documents; the forest is fitted on labelled rows."""
     docs = table(spark, folder, "documents")
@@ -66,6 +73,7 @@ def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_html": op1_html,
     "op2_jaccard": op2_jaccard,
+    "op3_idcoder": op3_idcoder,
     "op4_quality": op4_quality,
     "op5_bpe": op5_bpe,
     "op6_chaining": op6_chaining,
