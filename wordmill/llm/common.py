@@ -66,6 +66,12 @@ def fused(frame: DataFrame, columns: Sequence[str], steps: Sequence[Step], schem
     return frame.select(*columns).mapInArrow(run, schema)
 
 
+def same_rows(frame: DataFrame, steps: Sequence[Step]) -> DataFrame:
+    """One pass of Python over all columns, which the steps give back."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
+    return fused(frame, [f"`{c}`" for c in frame.columns], steps, schema)
+
+
 def pieces(batches: Batches, column: str, limit: int = PIECE_BYTES) -> Batches:
     """The same rows in batches of a bounded amount of text, so that long texts stand alone."""
     for batch in batches:

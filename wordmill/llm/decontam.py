@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from wordmill.llm.common import (
     pieces,
     prefix_hash,
     run_hash,
+    same_rows,
     span_hash,
     winnowed,
     words,
@@ -262,7 +264,14 @@ def report(
 
 
 def _united(
-    docs: DataFrame, sent: list[Broadcast], id_column: str, text_column: str, window: int, gram: int, schema: str
+    docs: DataFrame,
+    sent: list[Broadcast],
+    id_column: str,
+    text_column: str,
+    window: int,
+    gram: int,
+    schema: str,
+    keep_key: bool = False,
 ) -> DataFrame:
     kind = docs.schema[id_column].dataType.simpleString()
     keyed = docs.select(
@@ -281,5 +290,39 @@ def _united(
         F.sum("_first").alias("_rows"),
     )
     rows = joined.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int"))))
+    if keep_key:
+        return fused(rows, ["_key", "n_words", "hit_words", "items"], [_report("_key")], schema)
     rows = rows.select(F.col("_key.id").alias(id_column), "n_words", "hit_words", "items")
     return fused(rows, [id_column, "n_words", "hit_words", "items"], [_report(id_column)], schema)
+
+
+def clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+) -> DataFrame:
+    """The rows, with all their columns, that `report` does not call contaminated."""
+    sent = [docs.sparkSession.sparkContext.broadcast(b) for b in blocks(benchmark, window, gram)]
+    if not sent:
+        return docs
+    if len(sent) == 1:
+        find, judge = _finding(sent[0], "_id", "_text", window, gram), _report("_id")
+
+        def step(batches: Batches) -> Batches:
+            for batch in pieces(batches, text_column):
+                texts = batch.column(text_column)
+                own = pa.record_batch([pa.nulls(len(texts), pa.int64()), texts], names=["_id", "_text"])
+                for verdict in judge(find(iter([own]))):
+                    yield batch.filter(pc.invert(verdict.column("contaminated")))
+
+        return same_rows(docs, [step])
+    kind = docs.schema[id_column].dataType.simpleString()
+    key = f"_key struct<id: {kind}, h: bigint>"
+    schema = f"{key}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    found = _united(docs, sent, id_column, text_column, window, gram, schema, keep_key=True)
+    found = found.where("contaminated").select(F.col("_key.id").alias("_id"), F.col("_key.h").alias("_h")).distinct()
+    same = docs[id_column].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text_column]) == found["_h"])
+    return docs.join(found, same, "left_anti")

@@ -83,4 +83,47 @@ QUERIES = {
     "op10_decontam": op10_decontam,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: DuckDB SQL with the same rows. The other operators fit models, tokenize or sort suffixes,
+#: which SQL cannot express; tests hold them against plain code.
+ORACLE = {
+    "op2_jaccard": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce({_LOWER}, ''), '[\\x20\\x09-\\x0D]+'),
+                lambda x: x <> '') AS ws FROM documents
+        ), s AS (
+            SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3),
+                    lambda i: array_to_string(ws[i:i + 4], ' ')))
+                WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w
+        ), one AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+        pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b FROM one x JOIN one y ON x.g = y.g AND x.doc_id <> y.doc_id
+            GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+        ), r AS (SELECT doc_id AS d, doc_id AS m FROM s UNION SELECT pairs.b, r.m FROM r JOIN pairs ON pairs.a = r.d)
+        SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, min(r.m) AS component_id
+        FROM s JOIN r ON r.d = s.doc_id GROUP BY s.doc_id, sh""",
+    "op10_decontam": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+            FROM documents
+        ), i AS (
+            SELECT item_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+            FROM benchmark
+        ), iw AS (
+            SELECT DISTINCT item_id, k, array_to_string(ws[p:p + k - 1], ' ') AS g FROM (
+                SELECT item_id, ws, least(13, len(ws)) AS k, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS p
+                FROM i WHERE len(ws) > 0)
+        ), dw AS (
+            SELECT doc_id, k, p, array_to_string(ws[p:p + k - 1], ' ') AS g FROM (
+                SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p
+                FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k)
+        ), m AS (SELECT doc_id, p, dw.k, item_id FROM dw JOIN iw ON dw.g = iw.g AND dw.k = iw.k),
+        h AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM m) GROUP BY 1),
+        t AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM m) GROUP BY 1)
+        SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+        FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id""",
+}

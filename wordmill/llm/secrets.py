@@ -27,6 +27,7 @@ from wordmill.llm.common import (
     mixed,
     pieces,
     prefix_hash,
+    same_rows,
     sample_ids,
     span_hash,
     words,
@@ -467,8 +468,7 @@ def redact(
     """The same rows and columns; every span of `scan` is replaced by the mark, null texts stay null."""
     sent = docs.sparkSession.sparkContext.broadcast(field)
     steps = [_scanning(sent, id_column, text_column), _redacting(text_column, mark)]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return fused(docs, [f"`{c}`" for c in docs.columns], steps, schema)
+    return same_rows(docs, steps)
 
 
 def _digest(id_column: str):
