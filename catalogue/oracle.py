@@ -238,15 +238,15 @@ def phrase(field, fixed, prefix, boost=1.0) -> str:
         for i in range(1, len(fixed) + 1)
     )
     last = len(fixed)
-    where = " AND ".join(f"t{i}.token = '{word}'" for i, word in enumerate(fixed))
+    where = " AND ".join(["TRUE", *(f"t{i}.token = '{word}'" for i, word in enumerate(fixed))])
+    begins = f"field = '{field}' AND starts_with(token, '{prefix}')"
     return (
-        f"SELECT doc_id, {boost} * idf_sum * {tf_norm()} AS score FROM ("
-        f"WITH ex AS (SELECT term FROM dic WHERE field = '{field}' AND starts_with(term, '{prefix}') ORDER BY term LIMIT 50) "
-        f"SELECT t0.doc_id, count(*) AS tf, (SELECT sum({IDF}) FROM ("
-        f"SELECT term FROM ex UNION ALL SELECT unnest({list(fixed)!r})) JOIN dic USING (term) JOIN st USING (field) "
-        f"WHERE field = '{field}') AS idf_sum FROM tok t0{joins} "
-        f"WHERE t0.field = '{field}' AND {where} AND t{last}.token IN (SELECT term FROM ex) GROUP BY t0.doc_id"
-        f") JOIN len USING (doc_id) JOIN st USING (field) WHERE field = '{field}'"
+        f"SELECT doc_id, {boost} * (idf_sum + {IDF}) * {tf_norm()} AS score FROM ("
+        f"SELECT t0.doc_id, count(*) AS tf, (SELECT coalesce(sum({IDF}), 0) FROM "
+        f"(SELECT unnest(CAST({list(fixed)!r} AS VARCHAR[])) AS term) JOIN dic USING (term) JOIN st USING (field) "
+        f"WHERE field = '{field}') AS idf_sum, (SELECT count(DISTINCT doc_id) FROM tok WHERE {begins}) AS df "
+        f"FROM tok t0{joins} WHERE t0.field = '{field}' AND {where} AND starts_with(t{last}.token, '{prefix}') "
+        f"GROUP BY t0.doc_id) JOIN len USING (doc_id) JOIN st USING (field) WHERE field = '{field}'"
     )
 
 
@@ -312,12 +312,12 @@ WORD_SCORES = (
     "JOIN dic USING (field, term) JOIN st USING (field) GROUP BY term, doc_id)"
 )
 MANY_PHRASES = (
-    "WITH e AS (SELECT query_id, w1, term, row_number() OVER (PARTITION BY query_id ORDER BY term) AS n "
-    "FROM r JOIN dic ON starts_with(term, left(w2, 2))), x AS (SELECT * FROM e WHERE n <= 50), "
-    f"i AS (SELECT query_id, sum({IDF}) AS idf_sum FROM (SELECT query_id, term FROM x UNION ALL "
-    "SELECT query_id, w1 FROM r) JOIN dic USING (term) JOIN st USING (field) GROUP BY query_id), "
-    "o AS (SELECT query_id, a.doc_id, count(*) AS tf FROM x JOIN tok b ON b.token = x.term "
-    "JOIN tok a ON a.doc_id = b.doc_id AND a.position = b.position - 1 AND a.token = x.w1 GROUP BY ALL) "
+    f"WITH e AS (SELECT left(w2, 2) AS p, count(DISTINCT doc_id) AS df FROM (SELECT DISTINCT left(w2, 2) AS w2 FROM r) "
+    "JOIN tok ON starts_with(token, w2) GROUP BY ALL), "
+    f"i AS (SELECT query_id, e.p, {IDF.replace('df', 'e.df')} + {IDF.replace('df', 'dic.df')} AS idf_sum "
+    "FROM r JOIN e ON e.p = left(w2, 2) JOIN dic ON dic.term = w1 JOIN st USING (field)), "
+    "o AS (SELECT query_id, a.doc_id, count(*) AS tf FROM r JOIN tok a ON a.token = w1 "
+    "JOIN tok b ON a.doc_id = b.doc_id AND a.position = b.position - 1 AND starts_with(b.token, left(w2, 2)) GROUP BY ALL) "
     f"SELECT query_id, doc_id, round(idf_sum * {tf_norm()}, 4) AS score FROM o JOIN i USING (query_id) "
     "JOIN len USING (doc_id) JOIN st USING (field)"
 )
@@ -426,9 +426,11 @@ ORACLE: dict[str, str] = {
         f"WITH {corpus(BOTH)} SELECT doc_id, round(max(score), 4) AS score FROM ("
         f"{phrase('text', ['is', 'the'], 'a')} UNION ALL {phrase('head', ['is', 'the'], 'a', 2.0)}) GROUP BY doc_id"
     ),
-    "phrase_prefix_word": (
-        f"WITH {corpus()}, q AS (SELECT 'text' AS field, term, 1 AS qtf, 1 AS boost FROM dic "
-        f"WHERE starts_with(term, 'thi') ORDER BY term LIMIT 50), {SCORED} {SUM}"
+    "phrase_prefix_word": f"WITH {corpus()} SELECT doc_id, round(score, 4) AS score FROM ({phrase('text', [], 'thi')})",
+    "phrase_prefix_first": (
+        f"WITH {corpus()}, x AS (SELECT doc_id, count(*) AS tf, count(*) OVER () AS df FROM tok WHERE token IN "
+        "(SELECT term FROM dic WHERE starts_with(term, 'thi') ORDER BY term LIMIT 20) GROUP BY doc_id) "
+        f"SELECT doc_id, round({IDF} * {tf_norm()}, 4) AS score FROM x JOIN len USING (doc_id) JOIN st USING (field)"
     ),
     "query_string": QUERY_STRING,
     "simple_query_string": SIMPLE_QUERY_STRING,

@@ -468,6 +468,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "phrase_prefix": _every(w.PhrasePrefix(("text",), "of th")),
     "phrase_prefix_fields": _every(w.PhrasePrefix(("text", "head^2"), "is the a")),
     "phrase_prefix_word": _every(w.PhrasePrefix(("text",), "thi")),
+    "phrase_prefix_first": _every(w.PhrasePrefix(("text",), "thi", max_expansions=20)),
     "query_string": _every(QUERY_STRING),
     "simple_query_string": _every(SIMPLE_QUERY_STRING),
     "uri_query": _every(w.uri_query("source:src0 the")),

@@ -98,9 +98,9 @@ def test_operator_and(books):
 def test_phrase_prefix(books):
     assert [i for i, _ in scores(search(books, PhrasePrefix(("summary",), "search eng")))] == [4]
     assert [i for i, _ in scores(search(books, PhrasePrefix(("title", "summary"), "scalable sea")))] == [4, 3]
-    # one word: the sum over its expansions
+    # one word: its expansions are one term, here twice in document 2 and in no other
     one = dict(scores(search(books, PhrasePrefix(("summary",), "su"))))
-    assert one == dict(scores(search(books, Match("summary", "such summarization"))))
+    assert one == {2: 1.5414}
     assert scores(search(books, PhrasePrefix(("summary",), "engine search"))) == []
     assert scores(search(books, PhrasePrefix(("summary",), "..."))) == []
 

@@ -17,7 +17,16 @@ from pyspark.sql import types as T
 
 from wordmill.functions.chains import Chain, analyzer
 from wordmill.functions.folding import lower_ascii
-from wordmill.operators.scoring import contributions, measure, meet_postings, row_units, small, tf_norm, weigh
+from wordmill.operators.scoring import (
+    contributions,
+    idf,
+    measure,
+    meet_postings,
+    row_units,
+    small,
+    tf_norm,
+    weigh,
+)
 from wordmill.plans.mapping import FieldSpec
 from wordmill.plans.query import (
     Match,
@@ -344,8 +353,9 @@ def _batch_wildcard_terms(batch: Batch, query: Wildcard, terms: DataFrame) -> Da
 def phrase_hits(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float) -> DataFrame:
     """Documents holding the phrase, scored by how often they do.
 
-    The last word is a prefix, expanded to the first dictionary terms in binary order.
-    A single word is scored as the sum over its expansions.
+    The last word is a prefix. It counts as one term: it stands wherever a term that begins
+    with it stands, and its document frequency is that of all those terms together. With
+    `max_expansions` only that many dictionary terms count, the first in binary order.
     """
     batch.check(query.text)
     if batch.single:
@@ -356,17 +366,33 @@ def phrase_hits(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float
     count, sizes = words.agg(row_units(words), F.collect_set(size)).first()
     fixed = words.where("slot_no < n - 1").select(*keys, "n", "offset", F.col("token").alias("term"))
     last = words.where("slot_no = n - 1").select(*keys, "n", "offset", "token")
-    expanded = _expansions(batch, small(last, count or 0), sizes, spec.name, query.max_expansions)
-    looked_up = fixed.unionByName(expanded).withColumn("field", F.lit(spec.name))
-    rows = measure(looked_up)
-    weights = weigh(index, looked_up, rows).withColumns({"boost": F.lit(boost), "qtf": F.lit(1)})
-    # one window per query: as large as its words and expansions
-    total = F.sum("idf").over(Window.partitionBy(*keys))
-    weights = weights.withColumn("idf_sum", total)
-    met = meet_postings(index, weights, rows, ["tf", "dl", "positions"], [spec.name])
-    one = met.where("n = 1").withColumn("score", _bm25("tf", "idf"))
-    one = one.groupBy(*keys, index.key).agg(F.sum("score").alias("score"))
-    return one.unionByName(_occurrences(batch, met.where("n > 1")))
+    last = last.withColumns({"boost": F.lit(boost), "field": F.lit(spec.name)})
+
+    expanded = _expansions(index, small(last.select("token").distinct(), count or 0), sizes, spec.name, query.max_expansions)
+    met = meet_postings(index, expanded, measure(expanded), ["tf", "dl", "positions"], [spec.name])
+    held = _as_one_term(met, ["token", index.key])
+    frequency = held.groupBy("token").agg(F.count("*").alias("df"))
+    # one row per field: bounded by the mapping
+    stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
+    asked = last.join(frequency, "token").join(stats, "field")
+    asked = asked.withColumn("idf", idf(F.col("df"), F.col("n_docs"))).drop("df", "n_docs", "field")
+    ends = held.join(asked, "token")
+    one = ends.where("n = 1").select(*keys, index.key, _bm25("tf", "idf").alias("score"))
+
+    looked_up = fixed.withColumns({"field": F.lit(spec.name), "boost": F.lit(boost), "qtf": F.lit(1)})
+    weights = weigh(index, looked_up, count or 0)
+    starts = meet_postings(index, weights, count or 0, ["tf", "dl", "positions"], [spec.name])
+    columns = [*keys, index.key, "n", "offset", "boost", "idf", "avgdl", "dl", "positions"]
+    return one.unionByName(_occurrences(batch, starts.select(*columns).unionByName(ends.where("n > 1").select(*columns))))
+
+
+def _as_one_term(postings: DataFrame, keys: list[str]) -> DataFrame:
+    """The postings of several terms as those of one."""
+    return postings.groupBy(*keys).agg(
+        F.sum("tf").alias("tf"),
+        F.max("dl").alias("dl"),
+        F.flatten(F.collect_list("positions")).alias("positions"),
+    )
 
 
 def _bm25(tf: str, idf: str) -> Column:
@@ -380,25 +406,33 @@ def _literal_phrase(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: f
         return index.docs.where(F.lit(False)).select(index.key, F.lit(0.0).alias("score"))
     start = tokens[0][0]
     *fixed, (position, prefix) = tokens
-    # the expansions are at most `max_expansions` dictionary terms
-    found = (
-        index.terms.where((F.col("field") == spec.name) & F.col("term").startswith(prefix))
-        .select("term")
-        .orderBy("term")
-        .limit(query.max_expansions)
+    # the range of the prefix reaches the file scan; postings are sorted by term
+    in_range = (F.col("field") == spec.name) & F.col("term").startswith(prefix)
+    postings = index.postings.where(in_range)
+    if query.max_expansions is not None:
+        first = index.terms.where(in_range).select("term").orderBy("term").limit(query.max_expansions)
+        postings = postings.join(first, "term", "left_semi")
+    held = _as_one_term(postings, [index.key])
+    stats = index.stats.where(F.col("field") == spec.name)
+    frequency = held.agg(F.count("*")).scalar()
+    ends = held.withColumns(
+        {
+            "idf": idf(frequency, stats.select("n_docs").scalar()),
+            "avgdl": stats.select("avgdl").scalar(),
+            "boost": F.lit(boost),
+            "n": F.lit(len(tokens)),
+            "offset": F.lit(position - start),
+        }
     )
-    rows = [{"term": t, "offset": p - start} for p, t in fixed]
-    rows += [{"term": r["term"], "offset": position - start} for r in found.collect()]
+    if not fixed:
+        return ends.select(index.key, _bm25("tf", "idf").alias("score"))
     constants = {"field": spec.name, "n": len(tokens), "boost": boost, "qtf": 1}
-    looked_up = literal_rows(index, [{**row, **constants} for row in rows], PHRASE_SCHEMA)
+    rows = [{"term": t, "offset": p - start, **constants} for p, t in fixed]
     literal = sorted({row["term"] for row in rows})
-    weights = weigh(index, looked_up, len(rows), literal)
-    if not fixed:
-        scored = contributions(index, weights, len(rows), [spec.name], literal)
-        return scored.groupBy(index.key).agg(F.sum("score").alias("score"))
-    weights = weights.withColumn("idf_sum", weights.agg(F.sum("idf")).scalar())
-    met = meet_postings(index, weights, len(rows), ["dl", "positions"], [spec.name], literal)
-    return _occurrences(batch, met)
+    weights = weigh(index, literal_rows(index, rows, PHRASE_SCHEMA), len(rows), literal)
+    starts = meet_postings(index, weights, len(rows), ["dl", "positions"], [spec.name], literal)
+    columns = [index.key, "n", "offset", "boost", "idf", "avgdl", "dl", "positions"]
+    return _occurrences(batch, starts.select(*columns).unionByName(ends.select(*columns)))
 
 
 PHRASE_SCHEMA = "term string, offset int, field string, n int, boost double, qtf int"
@@ -417,35 +451,33 @@ def _phrase_words(batch: Batch, text: Text, chain: Chain) -> DataFrame:
     )
 
 
-def _expansions(batch: Batch, last: DataFrame, sizes: list[int], name: str, limit: int) -> DataFrame:
-    """The first `limit` dictionary terms, in binary order, that begin with the prefix."""
-    terms = batch.index.terms.where(F.col("field") == name).select("term")
+def _expansions(index: Index, prefixes: DataFrame, sizes: list[int], name: str, limit: int | None) -> DataFrame:
+    """The dictionary terms that begin with a prefix (`token`), or the first `limit` in binary order."""
+    terms = index.terms.where(F.col("field") == name).select("field", "term", "df")
     # an equality join: every term offers its beginnings of the lengths that are asked
     offered = F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>")
     held = terms.withColumn("_size", F.explode(offered)).where(F.col("_size") <= F.length("term"))
     held = held.withColumn("token", F.substring(F.col("term"), F.lit(1), F.col("_size")))
-    per_query = Window.partitionBy(*batch.keys).orderBy("term")
-    ranked = held.join(last, "token").withColumn("_rank", F.row_number().over(per_query))
-    return ranked.where(F.col("_rank") <= limit).select(*batch.keys, "n", "offset", "term")
+    found = held.join(prefixes, "token")
+    if limit is not None:
+        ranked = F.row_number().over(Window.partitionBy("token").orderBy("term"))
+        found = found.withColumn("_rank", ranked).where(F.col("_rank") <= limit)
+    return found.select("token", "field", "term", "df")
 
 
 def _occurrences(batch: Batch, met: DataFrame) -> DataFrame:
     """A phrase occurs at a start where every one of its words stands at its offset."""
     keys = [*batch.keys, batch.index.key]
     starts = F.transform("positions", lambda p: p - F.col("offset"))
-    # one list per query and document, of at most the phrase's words and expansions
-    words = met.groupBy(*keys, "n", "idf_sum", "avgdl", "dl", "boost").agg(
-        F.collect_list(F.struct("offset", starts.alias("starts"))).alias("words"),
-        F.collect_set("offset").alias("offsets"),
+    # one list per query and document, of the phrase's words
+    words = met.groupBy(*keys).agg(
+        F.collect_list(starts).alias("starts"),
+        F.sum("idf").alias("idf_sum"),
+        *(F.max(c).alias(c) for c in ("n", "avgdl", "dl", "boost")),
     )
-
-    def starts_at(offset):
-        same = F.filter("words", lambda word: word["offset"] == offset)
-        return F.flatten(F.transform(same, lambda word: word["starts"]))
-
-    first = starts_at(F.element_at("offsets", 1))
-    common = F.aggregate("offsets", first, lambda kept, offset: F.array_intersect(kept, starts_at(offset)))
-    found = words.where(F.size("offsets") == F.col("n")).withColumn("tf", F.size(common)).where("tf > 0")
+    words = words.where(F.size("starts") == F.col("n"))
+    common = F.aggregate("starts", F.element_at("starts", 1), lambda kept, own: F.array_intersect(kept, own))
+    found = words.withColumn("tf", F.size(common)).where("tf > 0")
     return found.select(*keys, _bm25("tf", "idf_sum").alias("score"))
 
 

@@ -16,7 +16,6 @@ from wordmill.functions.chains import Chain
 from wordmill.plans.mapping import ALL_FIELD, FieldSpec, Mapping
 
 Text = str | Column
-MAX_EXPANSIONS = 50
 
 
 class Query:
@@ -54,11 +53,14 @@ class MultiMatch(Query):
 
 @dataclass(frozen=True)
 class PhrasePrefix(Query):
-    """The text as a phrase whose last word is a prefix; the best field counts."""
+    """The text as a phrase whose last word is a prefix; the best field counts.
+
+    All terms with the prefix count, unless `max_expansions` says how many.
+    """
 
     fields: tuple[str, ...]
     text: Text
-    max_expansions: int = MAX_EXPANSIONS
+    max_expansions: int | None = None
 
 
 @dataclass(frozen=True)
