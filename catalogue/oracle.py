@@ -432,6 +432,16 @@ ORACLE: dict[str, str] = {
         "(SELECT term FROM dic WHERE starts_with(term, 'thi') ORDER BY term LIMIT 20) GROUP BY doc_id) "
         f"SELECT doc_id, round({IDF} * {tf_norm()}, 4) AS score FROM x JOIN len USING (doc_id) JOIN st USING (field)"
     ),
+    "match_array": (
+        "WITH t AS (SELECT p_partkey AS doc_id, unnest(string_split(p_name, ' ')) AS term FROM part), "
+        "p AS (SELECT doc_id, lower(term) AS term, count(*) AS tf FROM t GROUP BY ALL), "
+        "l AS (SELECT doc_id, count(*) AS dl FROM t GROUP BY ALL), "
+        "s AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM l), "
+        "d AS (SELECT term, count(*) AS df FROM p GROUP BY ALL) "
+        f"SELECT doc_id, round(sum({IDF} * {tf_norm()}), 4) AS score FROM p JOIN d USING (term) JOIN l USING (doc_id), s "
+        "WHERE term IN ('small', 'gear') GROUP BY doc_id"
+    ),
+    "terms_all": "SELECT o_custkey AS key, count(*) AS doc_count FROM orders WHERE o_custkey IS NOT NULL GROUP BY ALL",
     "query_string": QUERY_STRING,
     "simple_query_string": SIMPLE_QUERY_STRING,
     "uri_query": bm25(
@@ -464,6 +474,11 @@ ORACLE: dict[str, str] = {
         "SELECT doc_id, field, term, tf, df, dl, round(idf, 4) AS idf, round(tf_norm, 4) AS tf_norm, "
         "round(boost, 4)::DOUBLE AS boost, round(part, 4) AS contribution FROM c",
     ),
+    "explain_bool": bm25(
+        asked(("text",), "the and", slot="must 0") + asked(("head",), "the", slot="should 0") + asked(("text",), "of", slot="no"),
+        "SELECT doc_id, slot AS clause, field, term, round(part, 4) AS contribution FROM c WHERE slot <> 'no' "
+        "AND doc_id IN (SELECT doc_id FROM c WHERE slot = 'must 0') AND doc_id NOT IN (SELECT doc_id FROM c WHERE slot = 'no')",
+    ),
     "min_score": f"SELECT * FROM ({MATCH_OR}) WHERE score >= 1.5{TOP} LIMIT 100",
     "match_all": "SELECT doc_id, CAST(1.0 AS DOUBLE) AS score FROM documents",
     "totals": (

@@ -190,6 +190,29 @@ def bulk_ingest(spark, folder):
     return w.read_bulk(spark, path, schema, key="p_partkey").drop("_order")
 
 
+def parts(spark: SparkSession, folder: str) -> w.Index:
+    """Parts, whose names are arrays of words."""
+
+    def make():
+        docs = table(spark, folder, "part").select(
+            F.col("p_partkey").cast("bigint").alias("doc_id"), F.split("p_name", " ").alias("names"), "p_brand"
+        )
+        return docs, w.Mapping((w.FieldSpec("names"),), "doc_id")
+
+    return _index(spark, folder, "parts", make)
+
+
+def match_array(spark, folder):
+    """Parts by words of their names, which are arrays."""
+    found = w.hits(parts(spark, folder), w.Match("names", "small gear"))
+    return found.withColumn("score", F.round("score", DIGITS))
+
+
+def terms_all(spark, folder):
+    """All customers of the orders, not only the ten with most."""
+    return w.terms(table(spark, folder, "orders"), "o_custkey", size=None).select("key", "doc_count")
+
+
 def describe_index(spark, folder):
     return w.describe_index(documents(spark, folder))
 
@@ -255,6 +278,15 @@ def explain(spark, folder):
     return parts.select("doc_id", "field", "term", *counts, *rounded)
 
 
+def explain_bool(spark, folder):
+    """The parts of the scores of a bool query, by clause."""
+    query = w.Bool(
+        must=(w.Match("text", "the and"),), should=(w.Match("head", "the"),), must_not=(w.Match("text", "of"),)
+    )
+    parts = w.explain(documents(spark, folder), query).where("counted")
+    return parts.select("doc_id", "clause", "field", "term", F.round("contribution", DIGITS).alias("contribution"))
+
+
 def totals(spark, folder):
     row = w.search(documents(spark, folder), MATCH, size=0).totals
     return row.select(
@@ -456,6 +488,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_stats": index_stats,
     "index_upsert": index_upsert,
     "bulk_ingest": bulk_ingest,
+    "match_array": match_array,
+    "terms_all": terms_all,
     "describe_index": describe_index,
     "create_delete": create_delete,
     "match_or": _page(MATCH),
@@ -479,6 +513,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bool_column": _every(BOOL_COLUMN),
     "bool_should": _every(BOOL_SHOULD),
     "explain": explain,
+    "explain_bool": explain_bool,
     "min_score": _page(MATCH, size=100, min_score=1.5),
     "match_all": _every(w.MatchAll()),
     "totals": totals,

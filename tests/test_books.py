@@ -275,3 +275,22 @@ def test_batches_equal_single_queries(spark, books, monkeypatch, name, broadcast
         got.setdefault(r["query_id"], []).append((r["_id"], round(r["score"], 4)))
     expected = {n: scores(search(books, make(t), size=3)) for n, t in enumerate(texts)}
     assert got == {n: found for n, found in expected.items() if found}
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        Bool(must=(Match("summary", "search engine"),), should=(MultiMatch(("title", "summary"), "guide search"), Wildcard("title", "*a*"))),
+        Bool(should=(Bool(must=(Match("title", "in action"),), must_not=(Match("title", "solr"),)), PhrasePrefix(("summary",), "sea"))),
+        Bool(must_not=(Match("title", "action"),)),
+        MultiMatch(("title", "summary"), "scalable search guide"),
+        QueryString(("title", "summary"), "+(guide | search) -solr"),
+        Term("publisher", "manning"),
+        MatchAll(),
+    ],
+)
+def test_any_query_is_explained(books, query):
+    total = {}
+    for r in explain(books, query).where("counted").collect():
+        total[r["_id"]] = total.get(r["_id"], 0) + r["contribution"]
+    assert {k: round(v, 6) for k, v in total.items()} == {r["_id"]: round(r["score"], 6) for r in hits(books, query).collect()}

@@ -51,7 +51,10 @@ def test_pairs_across_splits(spark, tmp_path):
 def test_last_pair_of_a_key_wins(spark, tmp_path):
     rows = [(1, {"text": "old words"}), (2, {"text": "other"}), (1, {"text": "new words"})]
     back = read_bulk(spark, write(tmp_path / "b.json", pairs(rows)), "text string")
-    assert index_all(spark, "bulk_books", back.drop("_order"), Mapping((FieldSpec("text"),), "_id"), shards=2) is True
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        index_all(spark, "bulk_books", back.drop("_order"), Mapping((FieldSpec("text"),), "_id"), shards=2)
+    one = back.where("_id = '2'").drop("_order")
+    assert index_all(spark, "bulk_books", one, Mapping((FieldSpec("text"),), "_id"), shards=2) is True
     again = read_bulk(spark, write(tmp_path / "c.json", pairs(rows)), "text string")
     from pyspark.sql import functions as F
 
@@ -65,5 +68,21 @@ def test_other_actions_are_refused(spark, tmp_path):
     with pytest.raises(Exception, match="not an index action"):
         read_bulk(spark, path, "text string").collect()
     path = write(tmp_path / "e.json", ["/books/book/_bulk", *pairs([(1, {"text": "x"})])])
-    with pytest.raises(Exception, match="not an index action"):
+    with pytest.raises(Exception, match="is missing"):
+        read_bulk(spark, path, "text string").collect()
+
+
+def test_a_field_may_be_called_index(spark, tmp_path):
+    rows = [(1, {"index": {"a": 1}, "rating": 4.5, "none": None}), (2, {"index": None, "tags": ["x"]})]
+    back = read_bulk(spark, write(tmp_path / "f.json", pairs(rows)))
+    assert dict(back.dtypes)["index"] == "struct<a:bigint>" and dict(back.dtypes)["rating"] == "double"
+    assert {r["_id"]: (r["index"], r["rating"], r["tags"]) for r in back.collect()} == {"1": ((1,), 4.5, None), "2": (None, None, ["x"])}
+
+
+def test_bad_lines_raise(spark, tmp_path):
+    path = write(tmp_path / "g.json", ['{"index": {"_id": 1}}', '{"text": '])
+    with pytest.raises(Exception):
         read_bulk(spark, path, "text string").collect()
+    for lines in (['{"index": {"_id": 1}}'], [*pairs([(1, {"text": "x"})]), '{"index": {"_id": 2}}']):
+        with pytest.raises(Exception, match="is missing"):
+            read_bulk(spark, write(tmp_path / "h.json", lines), "text string").collect()

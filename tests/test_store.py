@@ -10,6 +10,8 @@ from wordmill import (
     Mapping,
     Match,
     MultiMatch,
+    PhrasePrefix,
+    QueryString,
     Term,
     aggregate,
     build_index,
@@ -17,6 +19,7 @@ from wordmill import (
     delete_index,
     describe_index,
     entry_mapping,
+    highlight,
     hits,
     index_all,
     index_exists,
@@ -124,7 +127,7 @@ def test_last_row_of_a_hot_key_wins(spark):
 def test_reduction_precedes_the_shuffle(spark):
     from wordmill.sources.store import latest
 
-    text = latest(docs(spark, (1, "a")), "id")._jdf.queryExecution().executedPlan().toString()
+    text = latest(docs(spark, (1, "a")), "id", F.col("text"))._jdf.queryExecution().executedPlan().toString()
     exchange = text.index("Exchange hashpartitioning(id")
     assert "partial_max_by" in text[exchange:]
 
@@ -172,5 +175,57 @@ def test_documents_are_shuffled_once(spark, tmp_path):
     docs(spark, (1, "a"), (2, "b")).write.parquet(str(tmp_path / "d"))
     read = spark.read.parquet(str(tmp_path / "d"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    written = latest(read, "id").repartition(partitions, "id").sortWithinPartitions("id")
+    written = latest(read, "id", F.col("text")).repartition(partitions, "id").sortWithinPartitions("id")
     assert written._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_the_last_row_by_order_wins_in_any_layout(spark, tmp_path):
+    """Two files with the same key; Spark packs the larger file first."""
+    a = [(1, "early", 1), (2, "null order", None)] + [(k, "filler words " * 20, 1) for k in range(10, 400)]
+    b = [(1, "late", 2), (2, "given order", 0)]
+    for part, rows in enumerate((a, b)):
+        spark.createDataFrame(rows, "id bigint, text string, n int").coalesce(1).write.parquet(str(tmp_path / f"p={part}"))
+    both = spark.read.parquet(str(tmp_path)).drop("p")
+    index = name()
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        build_index(spark, index, both, TEXT)
+    found = build_index(spark, index, both, TEXT, order_by=F.col("n"))
+    assert {r.id: r.text for r in found.docs.where("id < 10").collect()} == {1: "late", 2: "given order"}
+
+
+def test_null_order_keeps_the_document(spark):
+    index = name()
+    found = build_index(spark, index, docs(spark, (1, "alpha")), TEXT, order_by=F.lit(None).cast("int"))
+    assert [tuple(r) for r in found.docs.collect()] == [(1, "alpha")]
+
+
+def test_null_keys_raise(spark):
+    for order in (None, F.col("text")):
+        with pytest.raises(ValueError, match="is null"):
+            build_index(spark, name(), docs(spark, (None, "a"), (None, "b"), (1, "c")), TEXT, order_by=order)
+
+
+def test_array_fields(spark):
+    rows = [(1, ["ann lee", "bob ray"]), (2, ["lee bob", None]), (3, []), (4, None)]
+    found = build_index(spark, name(), spark.createDataFrame(rows, "id bigint, members array<string>"), Mapping((FieldSpec("members"),), "id"))
+    assert set(as_dict(search(found, Match("members", "lee")).hits, "id")) == {1, 2}
+    # a phrase does not run from one element into the next
+    assert set(as_dict(search(found, PhrasePrefix(("members",), "lee b")).hits, "id")) == {2}
+    every = hits(found, Match("members", "lee"))
+    shown = {r.id: r.highlight for r in highlight(found, every, Match("members", "lee"), "members").collect()}
+    assert shown == {1: "ann <em>lee</em>\nbob ray", 2: "<em>lee</em> bob"}
+
+
+def test_all_buckets(spark):
+    rows = spark.createDataFrame([(k, str(k % 30)) for k in range(90)], "id bigint, text string")
+    found = build_index(spark, name(), rows, TEXT)
+    assert aggregate(found, "text", size=None).count() == 30
+    assert aggregate(found, "text").count() == 10
+
+
+def test_nested_groups_are_refused(spark):
+    found = build_index(spark, name(), docs(spark, (1, "a b")), TEXT)
+    for text in ("-(a (b | c))", "(a", "a)"):
+        with pytest.raises(Exception, match="nested or not closed"):
+            search(found, QueryString(("text",), text)).hits.collect()
+    assert set(as_dict(search(found, QueryString(("text",), "+(a | c) b")).hits, "id")) == {1}

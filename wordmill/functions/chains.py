@@ -13,6 +13,7 @@ from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordmill.functions.folding import ascii_fold
 from wordmill.functions.stemming import mark_y, porter_steps, restore_y, s_stem
@@ -159,6 +160,10 @@ FILTERS = {
 FILTER_NAMES = {kind: name for name, kind in FILTERS.items()}
 
 
+#: Positions between the last token of an array's element and the first of the next one.
+ELEMENT_GAP = 100
+
+
 @dataclass(frozen=True)
 class Chain:
     """The standard tokenizer and the filters that follow it, in order."""
@@ -170,8 +175,18 @@ class Chain:
         taken = set(TOKEN_COLUMNS) & set(keep)
         if taken:
             raise ValueError(f"rename the columns {sorted(taken)}: token rows use these names")
-        found = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-        rows = df.select(*keep, F.posexplode(found).alias("position", "token"))
+        if isinstance(df.select(text.alias("v")).schema["v"].dataType, T.ArrayType):
+            # the elements one after the other, with a gap that no phrase bridges
+            gap = F.array_repeat(F.lit(None).cast("string"), ELEMENT_GAP)
+            found = F.flatten(
+                F.transform(
+                    F.filter(text, lambda e: e.isNotNull()),
+                    lambda e: F.concat(F.regexp_extract_all(e, F.lit(TOKEN), F.lit(0)), gap),
+                )
+            )
+        else:
+            found = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+        rows = df.select(*keep, F.posexplode(found).alias("position", "token")).where("token IS NOT NULL")
         return rows.withColumn("protected", F.lit(False))
 
     def filter_tokens(self, rows: DataFrame) -> DataFrame:

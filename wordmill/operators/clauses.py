@@ -494,6 +494,11 @@ def query_string_hits(batch: Batch, query: QueryString) -> DataFrame:
     index, keys = batch.index, batch.keys
     batch.check(query.text)
     text = F.lit(query.text) if isinstance(query.text, str) else query.text
+    # a group within a group, or one that is not closed, is refused rather than misread
+    flat = F.regexp_replace(text, r"\([^()]*\)", "")
+    text = F.when(
+        flat.rlike(r"[()]"), F.raise_error(F.concat(F.lit("parentheses are nested or not closed: "), text))
+    ).otherwise(text)
     raw = F.regexp_extract_all(text, F.lit(CLAUSE), F.lit(0))
     read = batch.rows.select(*keys, F.transform(raw, _clause).alias("clauses"))
     words = F.flatten(F.transform("clauses", lambda c: c["pieces"]))

@@ -1,4 +1,4 @@
-"""Shaping of hits: totals, normalized scores, extraction, explanation, highlighting."""
+"""Shaping of hits: totals, normalized scores, extraction, highlighting."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordmill.functions.chains import GAP, TOKEN, WORD, analyzer
-from wordmill.operators.clauses import Batch, Slots, like_pattern
+from wordmill.operators.clauses import Batch, like_pattern
 from wordmill.plans.query import (
     Bool,
     Match,
@@ -62,21 +63,6 @@ def extract(index: Index, found: DataFrame, document_column: str, min_score: flo
     )
 
 
-def explain(index: Index, query: Match | MultiMatch | Term) -> DataFrame:
-    """The parts of every hit's score, one row per document, field and term."""
-    slots = Slots(Batch(index))
-    if isinstance(query, Match):
-        slots.add_match(query)
-    elif isinstance(query, MultiMatch):
-        slots.add_multi_match(query)
-    else:
-        slots.add_term(query)
-    return slots.term_contributions().select(
-        index.key, "field", "term", "tf", "df", "dl", "idf", "tf_norm", "boost",
-        F.col("score").alias("contribution"),
-    )
-
-
 # ---- highlighting --------------------------------------------------------------------
 
 
@@ -119,13 +105,15 @@ def highlight(
 ) -> DataFrame:
     """The text of every hit that holds a queried word, with those words marked.
 
-    The text is cut into words and the gaps between them; each word is analyzed like the
+    The elements of an array stand on lines of their own. The text is cut into words and the gaps between them; each word is analyzed like the
     field, marked if its term was asked for, and the pieces are put together again.
     Columns: the key and `highlight`.
     """
     spec, key = index.mapping.field(field), index.key
     marks = _marks(index, query, field)
     docs = index.docs.select(key, F.expr(spec.expression).alias("_text"))
+    if isinstance(docs.schema["_text"].dataType, T.ArrayType):
+        docs = docs.select(key, F.array_join("_text", "\n").alias("_text"))
     wanted = docs.join(found.select(key).hint("shuffle_hash"), key, "left_semi")
     cut = F.regexp_extract_all("_text", F.lit(f"{TOKEN}|{GAP}"), F.lit(0))
     pieces = wanted.select(key, F.posexplode(cut).alias("n", "piece")).withColumns(

@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,8 +27,6 @@ def read_bulk(
     tasks. An action and its document may lie in different splits: the first line of a
     split takes its action from the last line of the split before.
     """
-    if schema is None:
-        schema = inferred_schema(spark, path)
     lines = spark.read.text(path).where(F.trim("value") != "")
     lines = lines.select(
         "value",
@@ -42,6 +42,7 @@ def read_bulk(
     counts = counts.select(
         *split,
         before.alias("before"),
+        F.sum("lines").over(Window.partitionBy("file")).alias("in_file"),
         # only an action is carried over, not a document
         F.lag(F.when((before + F.col("lines")) % 2 == 1, F.col("last"))).over(in_file).alias("carried"),
     )
@@ -52,8 +53,10 @@ def read_bulk(
         F.lag("value").over(in_split).alias("previous"),
     ).join(small(counts, measure(counts)), split, "left")
     # a split that was not counted means that the two reads disagree: fail, lose nothing
-    number = F.when(F.col("before").isNotNull(), F.col("before") + F.col("line")).otherwise(
-        F.raise_error(F.lit("the input files changed while they were read")).cast("bigint")
+    number = (
+        F.when(F.col("before").isNull(), _refuse(F.lit("the input files changed while they were read")))
+        .when(F.col("in_file") % 2 == 1, _refuse(F.concat(F.lit("an action or a document is missing in "), "file")))
+        .otherwise(F.col("before") + F.col("line"))
     )
     pairs = numbered.withColumn("number", number).where("number % 2 = 0")
     action = F.from_json(F.coalesce("previous", "carried"), ACTION)
@@ -63,15 +66,24 @@ def read_bulk(
     )
     doc_id = F.coalesce(only_index, F.concat_ws(":", "file", "number"))
     order = F.struct("file", "number")
-    return pairs.select(
-        doc_id.alias(key), F.from_json("value", schema).alias("doc"), order.alias("_order")
-    ).select(key, "doc.*", "_order")
+    # a document that is no JSON object of this schema raises
+    doc = F.from_json("value", schema or inferred_schema(pairs), {"mode": "FAILFAST"})
+    return pairs.select(doc_id.alias(key), doc.alias("doc"), order.alias("_order")).select(key, "doc.*", "_order")
+
+
+def _refuse(message: Column) -> Column:
+    return F.raise_error(message).cast("bigint")
 
 
-def inferred_schema(spark: SparkSession, path: str) -> T.StructType:
-    """The document fields that occur in the files."""
-    found = spark.read.json(path).schema
-    return T.StructType([f for f in found if f.name != "index"])
+def inferred_schema(pairs: DataFrame) -> str:
+    """The fields of the documents, from one pass over the document lines alone."""
+    found = pairs.agg(F.schema_of_variant_agg(F.parse_json("value"))).first()[0]
+    if not found or not found.startswith("OBJECT<"):
+        raise ValueError("a document is not a JSON object")
+    # JSON has numbers and no decimals; a field without any value is read as text
+    kinds = re.sub(r"DECIMAL\(\d+,\s*0\)", "BIGINT", found)
+    kinds = re.sub(r"DECIMAL\(\d+,\s*\d+\)|FLOAT", "DOUBLE", kinds)
+    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", kinds).replace("OBJECT<", "STRUCT<")
 
 
 def bulk_lines(docs: DataFrame, key: str) -> DataFrame:

@@ -26,7 +26,8 @@ from wordmill.plans.mapping import Mapping, entry_mapping
 
 TABLES = ("docs", "postings", "terms", "lengths", "stats")
 BYTES_PER_SHARD = 256 * 1024 * 1024
-BYTES_PER_SPLIT = 128 * 1024 * 1024
+# Spark refuses more than 100,000 buckets; a lookup by key opens one.
+MAX_SHARDS = 20_000
 
 
 def workspace(spark: SparkSession) -> str:
@@ -158,10 +159,10 @@ def build_index(
     shards: int | None = None,
     order_by: Column | None = None,
 ) -> Index:
-    """Index a DataFrame under a new name, in one pass."""
+    """Index a DataFrame under a new name. Keys are checked as in `index_all`."""
     if index_exists(spark, name):
         raise ValueError(f"index {name!r} exists; add documents with index_all")
-    shards = shards or shard_count(docs)
+    shards = shards or shard_count(docs, mapping)
     index = Index(spark, workspace(spark), name, 0, shards, mapping)
     # written first, so that the analysis reads documents already in their buckets
     _save_latest(index, "docs", docs, order_by, docs.columns)
@@ -177,7 +178,9 @@ def index_all(
     shards: int | None = None,
     order_by: Column | None = None,
 ) -> bool:
-    """Add documents to an index, creating it if needed; the last row of a key wins.
+    """Add documents to an index, creating it if needed; the last row of a key by `order_by` wins.
+
+    Null keys raise, and without `order_by` so does a key that occurs twice in `docs`.
 
     Only the new documents are analyzed. They replace the rows of the same key in a new
     version of the tables; the view moves to it when it is complete. The version
@@ -235,44 +238,49 @@ def _flat(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
 # ---- building -------------------------------------------------------------------
 
 
-def input_bytes(docs: DataFrame) -> int | None:
-    """Size of the files that a DataFrame reads; None if it reads none."""
-    files = docs.inputFiles()
-    if not files:
-        return None
-    # only the file status is read: the content column is pruned
-    return docs.sparkSession.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-
+def shard_count(docs: DataFrame, mapping: Mapping) -> int:
+    """One shard per 256 MB of indexed text, at least one per core, and at most MAX_SHARDS.
 
-def shard_count(docs: DataFrame) -> int:
-    """One shard per 256 MB of input files, and at least one per core."""
+    The size comes from one pass over the indexed columns; no list of files is made. Beyond
+    the maximum shards grow, and each is written as several files by `maxRecordsPerFile`.
+    """
     spark = docs.sparkSession
     least = max(1, spark.sparkContext.defaultParallelism)
-    size = input_bytes(docs)
-    if size is None:
-        return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(least, -(-size // BYTES_PER_SHARD))
+    texts = [F.coalesce(F.octet_length(F.expr(f"CAST({f.expression} AS string)")), F.lit(0)) for f in mapping.text_fields]
+    size = docs.agg(F.sum(reduce(Column.__add__, texts, F.lit(0).cast("bigint")))).first()[0] or 0
+    return min(max(least, -(-size // BYTES_PER_SHARD)), MAX_SHARDS)
 
 
 def spread(docs: DataFrame) -> DataFrame:
-    """Spread a small input, which is read in few splits, over all cores."""
+    """Deal an input of fewer splits than cores over all cores; any other one stays as it is."""
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    size = input_bytes(docs)
-    return docs.repartition(cores) if size is not None and size < cores * BYTES_PER_SPLIT else docs
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+
+
+def checked(docs: DataFrame, key: str, order_by: Column | None) -> DataFrame:
+    """The documents, after a pass over their keys: none may be null, and without an order
+    none may occur twice, since nothing then says which row is the last."""
+    keys = docs.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
+    bad = keys.where("k IS NULL" if order_by is not None else "k IS NULL OR n > 1").orderBy("k").limit(3).collect()
+    if any(row["k"] is None for row in bad):
+        raise ValueError(f"{key!r} is null in some documents")
+    if bad:
+        raise ValueError(f"{key!r} {bad[0]['k']!r} occurs {bad[0]['n']} times; give order_by to say which row is the last")
+    return docs
 
 
-def latest(
-    docs: DataFrame, key: str, order_by: Column | None = None, columns: list[str] | None = None
-) -> DataFrame:
-    """One row per key: the last by `order_by`, by default in the order of arrival.
+def latest(docs: DataFrame, key: str, order_by: Column, columns: list[str] | None = None) -> DataFrame:
+    """One row per key: the last by `order_by`; a null order comes before all others.
 
-    An aggregate, not a window: copies of a key are reduced in every task before the
-    shuffle, however many there are.
+    Rows of one key that are equal in order are told apart by a hash of the row, so the
+    result does not depend on the layout. An aggregate, not a window: copies of a key are
+    reduced in every task before the shuffle, however many there are.
     """
-    order = F.monotonically_increasing_id() if order_by is None else order_by
     columns = columns or docs.columns
     rest = [c for c in columns if c != key]
-    rows = docs.select(key, F.struct(*rest).alias("_row"), order.alias("_order"))
+    whole = F.struct(*rest)
+    order = F.struct(order_by.isNotNull().alias("given"), order_by.alias("order"), F.xxhash64(F.to_json(whole)).alias("hash"))
+    rows = docs.select(key, whole.alias("_row"), order.alias("_order"))
     last = rows.groupBy(key).agg(F.max_by("_row", "_order").alias("_row"))
     return last.select(key, "_row.*").select(*columns)
 
@@ -361,7 +369,9 @@ def _save_latest(
     before = index.spark.conf.get(setting)
     index.spark.conf.set(setting, str(index.shards))
     try:
-        _save(index, kind, latest(docs, index.key, order_by, columns), bucket_by=index.key)
+        docs = checked(docs, index.key, order_by)
+        rows = docs.select(*columns) if order_by is None else latest(docs, index.key, order_by, columns)
+        _save(index, kind, rows, bucket_by=index.key)
     finally:
         index.spark.conf.set(setting, before)
 
