@@ -15,7 +15,8 @@ finds all pairs within radius r and gives the components that they link.
    points that are not within r of it, a point y within r of p can be near any of those only if
    d(y, p) >= m - r (triangle inequality): this window, and the points near no pivot, make the
    next region, which is joined in the same way until no region has two points left. Sizes are
-   distances to the empty set, and bound a pair's distance before its sets are read.
+   distances to the empty set, and sketches of the sets lie in a metric space onto which sets
+   are mapped without growth of distances; both bound a pair before its sets are read.
 
 So groups of copies make stars about pivots, not all pairs, and no link between components is
 lost: two points of one region within r are both near one pivot, or meet again.
@@ -51,13 +52,15 @@ from wordmill.llm.links import components
 SHINGLE = 5
 #: Similarity of linked documents, in hundredths.
 PERCENT = 80
-#: Buckets of the count of shingles that finds hot ones (fixed size: 2 MB).
-BUCKETS = 1 << 18
+#: Buckets of the count of shingles that finds hot ones (fixed size: 8 MB in a task). More
+#: buckets tell shingles of medium frequency apart in a larger corpus.
+BUCKET_BITS = 22
+BUCKETS = 1 << BUCKET_BITS
 _PART = 1 << 12
 #: Bits of the filter that names the points of shared regions (fixed size: 4 MB).
 FILTER_BITS = 1 << 25
-#: Pivots of a region in the first round; each round takes twice as many.
-PIVOTS = 4
+#: Pivots of a region in the first round; each round takes four times as many.
+PIVOTS = 2
 #: A task does not emit a point again while its id is among this many.
 SEEN = 500_000
 
@@ -102,8 +105,8 @@ def _counting(text_column: str, size: int):
         counts = np.zeros(BUCKETS, dtype=np.int64)
         for batch in pieces(batches, text_column):
             found = np.concatenate([*shingle_sets(batch.column(text_column), size), np.zeros(0, np.uint64)])
-            counts += np.bincount((found >> np.uint64(46)).astype(np.int64), minlength=BUCKETS)
-        parts = counts.reshape(-1, _PART)
+            counts += np.bincount((found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=BUCKETS)
+        parts = np.minimum(counts, 65535).astype(np.uint16).reshape(-1, _PART)
         some = np.flatnonzero(parts.any(axis=1))
         yield pa.record_batch(
             [pa.array(some, pa.int64()), pa.array([parts[k].tobytes() for k in some], pa.binary())],
@@ -117,7 +120,7 @@ def _summing(batches: Batches) -> Batches:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, raw in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            own = np.frombuffer(raw, dtype=np.int64)
+            own = np.frombuffer(raw, dtype=np.uint16).astype(np.int64)
             total[part] = total[part] + own if part in total else own
     yield pa.record_batch(
         [pa.array(list(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())],
@@ -149,7 +152,7 @@ def _placing(hot: Broadcast, text_column: str, size: int, percent: int):
         marks = hot.value
         seen: set[int] = set()
         for batch in pieces(batches, text_column):
-            tokens, points, sizes = [], [], []
+            tokens, points, sizes, places = [], [], [], []
             for own in shingle_sets(batch.column(text_column), size):
                 if not len(own):
                     continue
@@ -160,50 +163,88 @@ def _placing(hot: Broadcast, text_column: str, size: int, percent: int):
                     seen.clear()
                 seen.add(point)
                 n = reach(len(own), percent)
-                late = marks[(own >> np.uint64(46)).astype(np.int64)]
+                late = marks[(own >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
                 order = own[:n] if not late[:n].any() else np.concatenate([own[~late], own[late]])[:n]
                 tokens.append(order)
                 points.append(point)
                 sizes.append(len(own))
+                places.append(np.arange(n, dtype=np.int32))
             counts = [len(t) for t in tokens]
             yield pa.record_batch(
                 [
                     pa.array(np.concatenate([*tokens, np.zeros(0, np.uint64)]).view(np.int64)),
                     pa.array(np.repeat(np.array(points, np.int64), counts)),
                     pa.array(np.repeat(np.array(sizes, np.int32), counts)),
+                    pa.array(np.concatenate([*places, np.zeros(0, np.int32)])),
                 ],
-                names=["region", "point", "n"],
+                names=["region", "point", "n", "i"],
             )
 
     return step
 
 
+def _of_row(points: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """One number for a point and the key of the row that stands for it."""
+    return (mixed(points.view(np.uint64).copy()) + keys.view(np.uint64)).view(np.int64)
+
+
 def _bits(points: np.ndarray) -> np.ndarray:
     h = mixed(points.view(np.uint64).copy())
     return np.stack([(h >> np.uint64(s)) % np.uint64(FILTER_BITS) for s in (0, 13, 26, 39)]).astype(np.int64)
 
 
-def _reading(wanted: Broadcast, text_column: str, size: int):
+def _reading(wanted: Broadcast, size: int):
+    """Step: the sets of the rows that stand for a wanted point (and a few more: it is a filter)."""
+
     def step(batches: Batches) -> Batches:
         marks = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool)
-        seen: set[int] = set()
-        for batch in pieces(batches, text_column):
-            sets = [x for x in shingle_sets(batch.column(text_column), size) if len(x)]
+        for batch in pieces(batches, "_text"):
+            sets = list(shingle_sets(batch.column("_text"), size))
             points = np.array([point_id(x) for x in sets], dtype=np.int64)
-            take = np.flatnonzero(marks[_bits(points)].all(axis=0)) if len(points) else []
-            out = []
-            for k in take:
-                if int(points[k]) not in seen:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(int(points[k]))
-                    out.append(k)
+            rows = _of_row(points, batch.column("_key").to_numpy())
+            take = [k for k in np.flatnonzero(marks[_bits(rows)].all(axis=0)) if len(sets[k])]
             yield pa.record_batch(
                 [
-                    pa.array(points[out] if len(points) else points, pa.int64()),
-                    pa.array([sets[k].tobytes() for k in out], pa.binary()),
+                    pa.array(points[take], pa.int64()),
+                    pa.array([_sketch(sets[k]) for k in take], pa.binary()),
+                    pa.array([sets[k].tobytes() for k in take], pa.binary()),
                 ],
-                names=["point", "shingles"],
+                names=["point", "sketch", "shingles"],
+            )
+
+    return step
+
+
+def _sketch(own: np.ndarray) -> bytes:
+    """How many shingles fall into each of 256 classes; 255 stands for any number from there on."""
+    return np.minimum(np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
+def _bounding(percent: int):
+    """Step: at most how many shingles a pair shares, class by class, and whether that is enough.
+
+    Classes map sets to counts; no pair is further apart as counts than as sets, so what is
+    too far by its sketches is too far.
+    """
+
+    def step(batches: Batches) -> Batches:
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, 256) for c in ("x", "y")
+            )
+            n, m = batch.column("n").to_numpy().astype(np.int64), batch.column("m").to_numpy().astype(np.int64)
+            most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            most = np.where((x == 255).any(axis=1) | (y == 255).any(axis=1), np.minimum(n, m), most)
+            most = np.minimum(most, np.minimum(n, m))
+            yield pa.record_batch(
+                [
+                    batch.column("a"),
+                    batch.column("b"),
+                    pa.array(most),
+                    pa.array(n + m),
+                    pa.array(100 * most >= percent * (n + m - most)),
+                ],
+                names=["a", "b", "common", "total", "maybe"],
             )
 
     return step
@@ -229,13 +270,18 @@ def _measuring(batches: Batches) -> Batches:
 
 
 def _filter_of(points: DataFrame, spark) -> Broadcast:
-    """A filter of fixed size that holds all given points, made by the tasks and united here."""
+    """A filter of fixed size that holds all given points (with their rows' keys, if any).
+
+    The tasks make it in parts, which are united here.
+    """
 
     def step(batches: Batches) -> Batches:
         marks = np.zeros(FILTER_BITS, dtype=bool)
         some = False
         for batch in batches:
             own = batch.column("point").to_numpy()
+            if "_key" in batch.schema.names:
+                own = _of_row(own, batch.column("_key").to_numpy())
             marks[_bits(own).ravel()] = True
             some = some or len(own) > 0
         if some:
@@ -257,7 +303,7 @@ def _filter_of(points: DataFrame, spark) -> Broadcast:
             names=["part", "marks"],
         )
 
-    made = fused(points, ["point"], [step], "part long, marks binary")
+    made = fused(points, points.columns, [step], "part long, marks binary")
     out = np.zeros((FILTER_BITS >> 15, 1 << 12), dtype=np.uint8)
     for row in fused(made.repartition("part"), ["part", "marks"], [unite], "part long, marks binary").collect():
         out[row["part"]] |= np.frombuffer(row["marks"], np.uint8)
@@ -268,38 +314,81 @@ def _near(percent: int):
     return F.expr(f"100 * common >= {percent} * (total - common)")
 
 
-def linked_points(docs: DataFrame, text_column: str, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def _meeting(placed: DataFrame, percent: int) -> DataFrame:
+    """The members of regions that can hold a pair, by what sizes and places alone tell.
+
+    A pair within the radius that first meets at place i of a set of n shingles shares at most
+    n - i of them. For every member the next smaller and the next larger one are looked at; the
+    filter runs twice, since a member that goes may leave another one alone.
+    """
+    by_size = Window.partitionBy("region").orderBy("n", "point")
+    # copies of a point that several tasks have placed stand together
+    rows = placed.withColumn("_before", F.lag("point").over(by_size))
+    rows = rows.where("_before IS NULL OR _before != point").drop("_before")
+    for _ in range(2):
+        rows = rows.withColumns({"_less": F.lag("n").over(by_size), "_more": F.lead("n").over(by_size)})
+        rows = rows.where(
+            f"100 * _less >= {percent} * n OR (100 * n >= {percent} * _more "
+            f"AND {percent} * (n + _more) <= {100 + percent} * (n - i))"
+        ).drop("_less", "_more")
+    return rows
+
+
+def linked_points(
+    docs: DataFrame, about: DataFrame, id_column: str, text_column: str, size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """Links (a, b) between points within the radius that connect all points so linked."""
     spark = docs.sparkSession
     folder = scratch(spark)
     radius = 1 - percent / 100
     hot = spark.sparkContext.broadcast(hot_buckets(docs, text_column, size))
-    placed = fused(docs, [text_column], [_placing(hot, text_column, size, percent)], "region long, point long, n int")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = placed.repartition(partitions, "region")
-    shared = placed.groupBy("region").agg(F.min("point").alias("lo"), F.max("point").alias("hi")).where("lo != hi")
-    members = written(placed.join(shared.select("region"), "region").distinct(), f"{folder}/members")
-
-    wanted = _filter_of(members.select("point").distinct(), spark)
-    sets = fused(docs, [text_column], [_reading(wanted, text_column, size)], "point long, shingles binary")
-    sets = written(sets.dropDuplicates(["point"]), f"{folder}/sets")
-
+    schema = "region long, point long, n int, i int"
+    placed = fused(docs, [text_column], [_placing(hot, text_column, size, percent)], schema)
+    members = written(_meeting(placed, percent), f"{folder}/members")
+
+    # one row stands for each point, so that sets are read once
+    key = F.xxhash64(id_column)
+    stands = about.where("point IS NOT NULL").groupBy("point").agg(F.min(key).alias("_key"))
+    stands = stands.join(members.select("point").distinct(), "point")
+    wanted = _filter_of(stands, spark)
+    texts = docs.select(key.alias("_key"), F.col(text_column).alias("_text"))
+    sets = fused(texts, ["_key", "_text"], [_reading(wanted, size)], "point long, sketch binary, shingles binary")
+    sets = written(sets, f"{folder}/sets")
+
+    # the original of a group of near copies shares most with the others: a pivot near to all
+    central = written(members.groupBy("point").agg(F.count("*").alias("regions")), f"{folder}/central")
     known: DataFrame | None = None
     turn = 0
     while members.take(1):
-        pivots = PIVOTS << turn
-        order = Window.partitionBy("region").orderBy(F.xxhash64("point", F.lit(turn)), "point")
-        ranked = members.withColumn("rank", F.row_number().over(order))
+        pivots = PIVOTS * 4**turn
+        order = Window.partitionBy("region").orderBy(F.desc("regions"), "point")
+        ranked = members.join(central, "point").withColumn("rank", F.row_number().over(order)).drop("regions")
         chosen = written(ranked.where(F.col("rank") <= pivots).drop("rank"), f"{folder}/pivots{turn}")
-        pairs = members.join(chosen.select("region", F.col("point").alias("pivot"), F.col("n").alias("pn")), "region")
+        pairs = members.join(chosen.select("region", F.col("point").alias("pivot"), F.col("n").alias("pn"), F.col("i").alias("pi")), "region")
         pairs = pairs.where("point != pivot")
-        fits = F.expr(f"100 * least(n, pn) >= {percent} * greatest(n, pn)")
-        new = pairs.where(fits).select(F.least("point", "pivot").alias("a"), F.greatest("point", "pivot").alias("b")).distinct()
+        fits = F.expr(
+            f"100 * least(n, pn) >= {percent} * greatest(n, pn) "
+            f"AND {percent} * (n + pn) <= {100 + percent} * least(n - i, pn - pi)"
+        )
+        new = pairs.where(fits).select(
+            F.least("point", "pivot").alias("a"),
+            F.greatest("point", "pivot").alias("b"),
+            F.when(F.col("point") < F.col("pivot"), F.col("n")).otherwise(F.col("pn")).alias("n"),
+            F.when(F.col("point") < F.col("pivot"), F.col("pn")).otherwise(F.col("n")).alias("m"),
+        ).distinct()
         if known is not None:
             new = new.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        full = new.join(sets.select(F.col("point").alias("a"), F.col("shingles").alias("x")), "a")
-        full = full.join(sets.select(F.col("point").alias("b"), F.col("shingles").alias("y")), "b")
-        measured = fused(full, ["a", "b", "x", "y"], [_measuring], "a long, b long, common long, total long")
+
+        def sides(frame: DataFrame, column: str) -> DataFrame:
+            frame = frame.join(sets.select(F.col("point").alias("a"), F.col(column).alias("x")), "a")
+            return frame.join(sets.select(F.col("point").alias("b"), F.col(column).alias("y")), "b")
+
+        schema = "a long, b long, common long, total long"
+        bounded = fused(sides(new, "sketch"), ["a", "b", "n", "m", "x", "y"], [_bounding(percent)], f"{schema}, maybe boolean")
+        bounded = written(bounded, f"{folder}/bounds{turn}")
+        measured = fused(sides(bounded.where("maybe").select("a", "b"), "shingles"), ["a", "b", "x", "y"], [_measuring], schema)
+        # the filter may have let through a second copy of a set
+        measured = measured.unionAll(bounded.where("NOT maybe").drop("maybe")).dropDuplicates(["a", "b"])
         measured = written(measured, f"{folder}/pairs{turn}")
         known = measured if known is None else known.unionAll(measured)
 
@@ -309,17 +398,18 @@ def linked_points(docs: DataFrame, text_column: str, size: int = SHINGLE, percen
             "region",
             "point",
             "n",
+            "i",
             "pivot",
             F.coalesce(_near(percent), F.lit(False)).alias("near"),
             F.expr("coalesce(1 - common / (total - common), 1 - least(n, pn) / greatest(n, pn))").alias("d"),
         )
         seen = written(seen, f"{folder}/seen{turn}")
         edge = seen.where("not near").groupBy("region", "pivot").agg(F.min("d").alias("m"))
-        rest = seen.join(edge, ["region", "pivot"], "left").groupBy("region", "point", "n").agg(
+        rest = seen.join(edge, ["region", "pivot"], "left").groupBy("region", "point", "n", "i").agg(
             F.max("near").alias("_near"),
             F.max(F.expr(f"near AND d >= m - {radius} - 1e-9")).alias("_window"),
         )
-        rest = rest.where("NOT _near OR _window").select("region", "point", "n")
+        rest = rest.where("NOT _near OR _window").select("region", "point", "n", "i")
         rest = rest.join(chosen.select("region", "point"), ["region", "point"], "left_anti")
         several = rest.groupBy("region").agg(F.count("*").alias("c")).where("c > 1").select("region")
         turn += 1
@@ -329,6 +419,23 @@ def linked_points(docs: DataFrame, text_column: str, size: int = SHINGLE, percen
     return known.where(_near(percent)).select("a", "b")
 
 
+def classes(about: DataFrame, docs: DataFrame, id_column: str, text_column: str, size: int, percent: int) -> DataFrame:
+    """(point, least, root): the least id of every point, and the component that it is in."""
+    # one row per point before anything is joined, so that copies are not carried along
+    points = about.where("point IS NOT NULL").groupBy("point").agg(F.min(id_column).alias("least"))
+    roots = components(linked_points(docs, about, id_column, text_column, size, percent))
+    return points.join(roots, points["point"] == roots["node"], "left").select(
+        "point", "least", F.coalesce("root", "point").alias("root")
+    )
+
+
+def describe(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
+    """Id, point (null: no shingles) and number of shingles of every row."""
+    kind = docs.schema[id_column].dataType.simpleString()
+    step = _describing(id_column, text_column, size)
+    return fused(docs, [id_column, text_column], [step], f"`{id_column}` {kind}, point long, n_shingles long")
+
+
 def join(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -343,25 +450,52 @@ def join(
     their component is their own id. Equal texts are one point, so repeated rows get equal
     results. Null ids never name a component that holds another id.
     """
-    folder = scratch(docs.sparkSession)
-    kind = docs.schema[id_column].dataType.simpleString()
-    about = fused(
-        docs,
-        [id_column, text_column],
-        [_describing(id_column, text_column, size)],
-        f"`{id_column}` {kind}, point long, n_shingles long",
-    )
-    about = written(about, f"{folder}/about")
-    # one row per point before anything is joined, so that copies are not carried along
-    points = about.where("point IS NOT NULL").groupBy("point").agg(F.min(id_column).alias("least"))
-    roots = components(linked_points(docs, text_column, size, percent))
-    rooted = points.join(roots, points["point"] == roots["node"], "left").select(
-        "point", "least", F.coalesce("root", "point").alias("root")
-    )
+    about = written(describe(docs, id_column, text_column, size), f"{scratch(docs.sparkSession)}/about")
+    rooted = classes(about, docs, id_column, text_column, size, percent)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select("point", "component_id")
-    return about.join(classes, "point", "left").select(
+    by_point = rooted.join(named, "root").select("point", "component_id")
+    return about.join(by_point, "point", "left").select(
         id_column,
         "n_shingles",
         F.when(F.col("point").isNull(), F.col(id_column)).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def keep_one(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The rows, with all their columns, without all but one of every component of `join`.
+
+    The row with the least id stays (a null id only where no other is; of rows that share it,
+    one). Rows without shingles stay.
+    """
+    folder = scratch(docs.sparkSession)
+    about = written(describe(docs, id_column, text_column, size), f"{folder}/about")
+    rooted = classes(about, docs, id_column, text_column, size, percent)
+    best = F.min(F.struct(F.col("least").isNull().alias("n"), F.col("least").alias("i"), F.col("point").alias("p")))
+    chosen = rooted.groupBy("root").agg(best.alias("b")).select(F.col("b.i").alias("_i"), F.col("b.p").alias("_point"))
+
+    name = "_point"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+
+    def step(batches: Batches) -> Batches:
+        describing = _describing("_id", "_text", size)
+        for batch in pieces(batches, text_column):
+            texts = batch.column(text_column)
+            own = pa.record_batch([pa.nulls(len(texts), pa.int64()), texts], names=["_id", "_text"])
+            for found in describing(iter([own])):
+                yield pa.record_batch(
+                    [*batch.columns, found.column("point")], names=[*batch.schema.names, name]
+                )
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    placed = fused(docs, [f"`{c}`" for c in docs.columns], [step], f"{schema}, {name} long")
+    chosen = chosen.withColumnsRenamed({"_i": f"{name}_i", "_point": f"{name}_p"})
+    same = (placed[name] == chosen[f"{name}_p"]) & placed[id_column].eqNullSafe(chosen[f"{name}_i"])
+    stay = placed.where(placed[name].isNotNull()).join(chosen, same, "left_semi").dropDuplicates([name, id_column])
+    return stay.unionAll(placed.where(placed[name].isNull())).drop(name)
