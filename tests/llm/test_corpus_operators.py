@@ -193,3 +193,21 @@ def test_chains_are_the_best():
         )
         x, y = np.array([p[0] for p in points]), np.array([p[1] for p in points])
         assert abs(max(map(value, passages.chains(x, y))) - best) < 1e-9
+
+
+def test_passages_of_stock_lines(spark):
+    """Runs of a shared passage stand in many other documents, too: before the earliest holder and between."""
+    random.seed(12)
+
+    def some(n):
+        return [f"v{random.randrange(10**6)}" for _ in range(n)]
+
+    passage = some(60)
+    changed = [w if k % 10 != 7 else "edit" for k, w in enumerate(passage)]
+    docs = [(100, some(40) + passage + some(20)), (300, some(10) + passage + some(40)), (400, some(30) + changed + some(9))]
+    for k in [*range(40), *range(200, 260)]:
+        start = k * 8 % 44
+        docs.append((k, some(20) + passage[start : start + random.randint(13, 20)] + some(20)))
+    frame = spark.createDataFrame([(k, " ".join(words)) for k, words in docs], "doc_id long, text string")
+    found = {(r.doc_id, r.ref_id) for r in passages.find(frame).collect()}
+    assert (300, 100) in found and {d for d, _ in found} == {300, 400}
