@@ -211,3 +211,31 @@ def test_passages_of_stock_lines(spark):
     frame = spark.createDataFrame([(k, " ".join(words)) for k, words in docs], "doc_id long, text string")
     found = {(r.doc_id, r.ref_id) for r in passages.find(frame).collect()}
     assert (300, 100) in found and {d for d, _ in found} == {300, 400}
+
+
+@pytest.mark.parametrize("shared", [0, 20])
+def test_recall_by_identity(spark, shared):
+    """Passages with a fifth or less of changed words, beside many holders of the changed copy's lines."""
+    random.seed(21)
+
+    def some(n):
+        return [f"u{random.randrange(10**6)}" for _ in range(n)]
+
+    docs, planted = [], {}
+    for every in (5, 6, 10):
+        for k in range(20):
+            passage = some(60)
+            copy = list(passage)
+            for block in range(0, 60, every):
+                # one word of every block, at its end or anywhere
+                copy[block + (every - 1 if k % 2 else random.randrange(every))] = "edit"
+            docs.append(some(30) + passage + some(30))
+            docs.append(some(25) + copy + some(35))
+            planted[len(docs) - 1] = (every, len(docs) - 2)
+            for _ in range(shared):
+                start = random.randrange(45)
+                docs.append(some(20) + passage[start : start + 15] + some(20))
+    frame = spark.createDataFrame([(k, " ".join(words)) for k, words in enumerate(docs)], "doc_id long, text string")
+    found = {(r.doc_id, r.ref_id) for r in passages.find(frame).collect()}
+    missed = [every for key, (every, ref) in planted.items() if (key, ref) not in found]
+    assert {every: missed.count(every) for every in set(missed)} == {}
