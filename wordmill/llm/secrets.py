@@ -1,9 +1,10 @@
 """Secret scans: base patterns, and a linear-chain conditional random field that adds spans.
 
 The field tags runs of secret characters as begin, inside or outside of a secret, from their
-shape, their neighbours and the file they stand in, and is decoded by Viterbi. It is trained
-here, on windows of a bounded sample of documents: places that the base patterns find are
-secrets, and further secrets of common kinds are planted beside neighbours of common kinds.
+shape, their neighbours, the signs between them and the file they stand in, and is decoded by Viterbi.
+It is trained here, on windows of a bounded sample of documents: places that the base patterns
+find are secrets, and further secrets of common kinds, of one run and of several, are planted
+beside neighbours of common kinds.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.common import (
+    IS_SPACE,
     Batches,
     fused,
     joined_bytes,
@@ -116,6 +118,14 @@ def _codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.nda
                 out[-step:] = np.where(row[:step] == row[-step:], values[:step], -1)
         return out
 
+    # what stands between a token and the one before, at most its last four bytes
+    inner = np.append(False, row[1:] == row[:-1])[:n]
+    since = np.where(inner, np.append(0, ends[:-1])[:n], starts)
+    gap = (span_hash(prefix_hash(data), np.maximum(since, starts - 4), starts) >> np.uint64(40)).astype(np.int64)
+    gap = np.where(inner, gap, 0)
+    total = np.append(0, np.cumsum(IS_SPACE[data]))
+    apart = np.where(inner, 1 + (total[starts] > total[since]) * 4 + np.minimum(starts - since, 4) - 1, 0)
+
     columns = [
         np.zeros(n, dtype=np.int64),
         shape,
@@ -128,6 +138,11 @@ def _codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.nda
         near(shape, -1),
         near(shape, 1),
         file[row] * 32 + mask if n else np.zeros(0, dtype=np.int64),
+        gap,
+        near(gap, 1),
+        apart,
+        near(apart, 1),
+        apart * 1024 + mask,
     ]
     out = np.empty((n, len(columns)), dtype=np.int64)
     for k, values in enumerate(columns):
@@ -191,7 +206,10 @@ _START = np.array([0, 0, _NEVER], dtype=np.float32)
 
 
 def _planted(rng: np.random.Generator, words: list[str]) -> tuple[list[str], list[int]]:
-    """Words with a secret of a common kind among them; the tags of the words put in."""
+    """Words with a secret of a common kind among them; the tags of the words put in.
+
+    A word holds what stands before it, as in the windows.
+    """
 
     def draw(alphabet: str, low: int, high: int) -> str:
         return "".join(rng.choice(list(alphabet), int(rng.integers(low, high))))
@@ -210,32 +228,79 @@ def _planted(rng: np.random.Generator, words: list[str]) -> tuple[list[str], lis
         lambda: [draw(alnum + "+/", 32, 65)],
     ]
     names = ["token", "secret", "key", "apikey", "api_key", "password", "passwd", "auth", "Bearer", "credentials"]
-    secret = kinds[int(rng.integers(len(kinds)))]()
+
+    def password() -> list[str]:
+        """Parts with signs between them."""
+        parts = [draw(alnum, 1, 3 if rng.random() < 0.5 else 10) for _ in range(int(rng.integers(2, 6)))]
+        parts[0] = draw(string.ascii_letters, 1, 3) + draw(alnum, 3, 9)
+        return [parts[0], *(draw("!@#$%^&*~", 1, 3) + x for x in parts[1:])]
+
+    def address() -> list[str]:
+        """A connection string with a password."""
+        scheme = str(rng.choice(["postgres", "postgresql", "mysql", "mongodb", "redis", "amqp", "https", "ftp"]))
+        user, own = draw(string.ascii_lowercase, 3, 9), password() if rng.random() < 0.6 else [draw(alnum, 6, 20)]
+        host = str(rng.choice(["db", "localhost", "10.0.0.5", "db.example.com", "cache.internal"]))
+        port = [f":{rng.integers(1000, 9999)}/{draw(string.ascii_lowercase, 2, 8)}"] if rng.random() < 0.6 else []
+        return [scheme, "://" + user, ":" + own[0], *own[1:], "@" + host, *port]
+
+    def block() -> list[str]:
+        """A block of a private key."""
+        kind = [[" RSA"], [" EC"], [" OPENSSH"], []][int(rng.integers(4))]
+        around = [*kind, " PRIVATE", " KEY-----"]
+        lines = ["\n" + draw(alnum + "+/", 64, 65) for _ in range(int(rng.integers(1, 8)))]
+        return ["-----BEGIN", *around, *lines, "\n" + draw(alnum + "+/", 10, 64) + "==", "\n-----END", *around]
+
+    choice = rng.random()
     lead: list[str] = []
-    if rng.random() < 0.7:
-        lead = [str(rng.choice(names))] + ([str(rng.choice(["=", "="]))] if rng.random() < 0.6 else [])
-    if lead and rng.random() < 0.25:
-        secret = [draw(alnum + "-_", 10, 24) + str(rng.integers(10, 99))]
+    if choice < 0.25:
+        secret = password()
+        sign = str(rng.choice([" =", "=", ":", ": ", '="', '": "']))
+        lead = [" " + str(rng.choice(names))]
+        if sign == " =":
+            lead, secret[0] = [*lead, sign], " " + secret[0]
+        elif "=" in sign and '"' not in sign:
+            lead, secret[0] = [], lead[0] + sign + secret[0]
+        elif "=" in sign:
+            lead, secret[0] = [lead[0] + "="], '"' + secret[0]
+        else:
+            secret[0] = sign + secret[0]
+    elif choice < 0.45:
+        secret = address() if choice < 0.35 else block()
+        secret[0] = " " + secret[0]
+    else:
+        secret = [" " + x for x in kinds[int(rng.integers(len(kinds)))]()]
+        if rng.random() < 0.7:
+            lead = [" " + str(rng.choice(names))] + ([" ="] if rng.random() < 0.6 else [])
+        if lead and rng.random() < 0.25:
+            secret = [" " + draw(alnum + "-_", 10, 24) + str(rng.integers(10, 99))]
     place = int(rng.integers(len(words) + 1))
-    out = words[:place] + lead + secret + words[place:]
+    after = words[place:]
+    if after and after[0][:1] not in (" ", "\n", "\t"):
+        after = [" " + after[0], *after[1:]]
+    out = words[:place] + lead + secret + after
     tags = [OUTSIDE] * len(out)
-    tags[place + len(lead)] = BEGIN
+    begin = place + len(lead)
+    tags[begin : begin + len(secret)] = [BEGIN] + [INSIDE] * (len(secret) - 1)
     return out, tags
 
 
 def _decoy(rng: np.random.Generator, words: list[str]) -> list[str]:
     """Words with something among them that resembles a secret and is none."""
     digits = "".join(rng.choice(list(string.digits), int(rng.integers(4, 20))))
+    plain = [x for word in words for x in _TOKEN.findall(word)]
     kinds = [
         digits,
         "-".join(digits[k : k + 4] for k in range(0, len(digits), 4)),
-        "".join(rng.choice(words, 3)) if words else "word",
-        f"https//www.example.org/{'-'.join(rng.choice(words, 3)) if words else 'page'}.html",
+        "".join(rng.choice(plain, 3)) if plain else "word",
+        f"https//www.example.org/{'-'.join(rng.choice(plain, 3)) if plain else 'page'}.html",
         f"{rng.integers(1900, 2030)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d}",
         str(rng.choice(["token", "secret", "password", "key", "api_key"])),
     ]
     place = int(rng.integers(len(words) + 1))
-    return words[:place] + [kinds[int(rng.integers(len(kinds)))]] + words[place:]
+    after = words[place:]
+    if after and after[0][:1] not in (" ", "\n", "\t"):
+        after = [" " + after[0], *after[1:]]
+    return words[:place] + [" " + kinds[int(rng.integers(len(kinds)))]] + after
 
 
 def train(windows: list[tuple[list[str], list[int]]], epochs: int = EPOCHS, seed: int = 11) -> Field:
@@ -244,12 +309,12 @@ def train(windows: list[tuple[list[str], list[int]]], epochs: int = EPOCHS, seed
     if not windows:
         return Field(np.zeros((SLOTS, 3), np.float32), np.zeros((3, 3), np.float32))
     long = max(len(w) for w, _ in windows)
-    codes = np.zeros((len(windows), long, 11), dtype=np.int64)
     gold = np.zeros((len(windows), long), dtype=np.int64)
     live = np.zeros((len(windows), long), dtype=bool)
-    data, offsets = joined_bytes(pa.array([" ".join(w) for w, _ in windows]))
+    data, offsets = joined_bytes(pa.array(["".join(w) for w, _ in windows]))
     starts, ends, first = words(data, offsets, IS_TOKEN)
     found = _codes(data, starts, ends, first)
+    codes = np.zeros((len(windows), long, found.shape[1]), dtype=np.int64)
     for k, (tokens, tags) in enumerate(windows):
         own = found[first[k] : first[k + 1]]
         n = min(len(own), len(tokens))
@@ -328,12 +393,18 @@ def _windows(text_column: str):
                     if k >= 0 and tokens[k][0] >= a:
                         tags[k] = BEGIN
                         centres.append(k)
+                        # a password goes on behind signs
+                        while kind == 0 and k + 1 < len(tokens) and _GOES_ON.fullmatch(text, tokens[k][1], tokens[k + 1][1]):
+                            k += 1
+                            tags[k] = INSIDE
                 rng = np.random.default_rng(len(text))
                 centres = centres[:WINDOWS_PER_DOC] + rng.integers(0, len(tokens), WINDOWS_PER_DOC).tolist()
                 for centre in centres:
                     low = max(0, min(centre - WINDOW_TOKENS // 2, len(tokens) - WINDOW_TOKENS))
                     own = slice(low, low + WINDOW_TOKENS)
-                    out_tokens.append([text[a:b][:200] for a, b in tokens[own]])
+                    # every token with what stands before it
+                    since = [tokens[low - 1][1] if low else 0, *(b for _, b in tokens[own])]
+                    out_tokens.append([text[max(c, a - 8) : a] + text[a:b][:200] for c, (a, b) in zip(since, tokens[own], strict=False)])
                     out_tags.append(tags[own])
             yield pa.record_batch(
                 [pa.array(out_tokens, pa.list_(pa.string())), pa.array(out_tags, pa.list_(pa.int32()))],
@@ -343,6 +414,7 @@ def _windows(text_column: str):
     return step
 
 
+_GOES_ON = re.compile(r"[!@#$%^&*~]{1,3}[A-Za-z0-9+/_.-]+")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_.=\-\u0080-\U0010ffff]+")
 
 
@@ -368,6 +440,20 @@ def fit(
     return train(windows)
 
 
+def _outside(text: str, a: int, b: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """What the spans, in order of start, leave of a range; parts of blanks and signs alone are dropped."""
+    out = []
+    for x, y, _ in [*spans, (b, b, 0)]:
+        if y <= a and x < b:
+            continue
+        if x > a and any(c.isalnum() for c in text[a : min(x, b)]):
+            out.append((a, min(x, b)))
+        a = max(a, y)
+        if a >= b:
+            break
+    return out
+
+
 def _scanning(field: Broadcast, id_column: str, text_column: str):
     """Step: the spans of every text as (start, end, kind), in code points."""
 
@@ -401,9 +487,7 @@ def _scanning(field: Broadcast, id_column: str, text_column: str):
                         if not core:
                             continue
                         a = len(raw[:a].decode("utf-8", "ignore")) + found.index(core)
-                        b = a + len(core)
-                        if not any(x < b and a < y for x, y, _ in own):
-                            extra.append((a, b, 3))
+                        extra += [(x, y, 3) for x, y in _outside(text, a, a + len(core), own)]
                     own = sorted(own + extra, key=lambda s: (s[0], s[2]))
                 spans.append([{"start": a, "end": b, "kind": KINDS[k]} for a, b, k in own])
             yield pa.record_batch(
