@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import bpe, decontam, html, idcoder, jaccard, lattice, passages, quality, repeats, secrets
+from wordmill.llm import (
+    bpe,
+    collocations,
+    counts,
+    decontam,
+    html,
+    idcoder,
+    jaccard,
+    lattice,
+    middle,
+    passages,
+    quality,
+    repeats,
+    secrets,
+)
 from wordmill.llm.common import scratch, table
 
 #: Vocabulary of the token queries; the operators take the path as a parameter.
@@ -70,6 +84,21 @@ def op10_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut and arranged by a piece table, and rebuilt from the outputs."""
+    return middle.digests(table(spark, folder, "documents"))
+
+
+def op12_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of all documents, counted by joins."""
+    return counts.count(table(spark, folder, "documents"), PIECES)
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first phrases of every language of all documents."""
+    return collocations.mine(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_jaccard": op2_jaccard,
@@ -81,6 +110,9 @@ QUERIES = {
     "op8_lattice": op8_lattice,
     "op9_suffix": op9_suffix,
     "op10_decontam": op10_decontam,
+    "op11_middle": op11_middle,
+    "op12_counts": op12_counts,
+    "op13_collocations": op13_collocations,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -126,4 +158,57 @@ ORACLE = {
             sha256(coalesce(ids, '')) AS items_sha256,
             coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
         FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id""",
+    "op11_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+        ), u AS (
+            SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us,
+                CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d
+        ), c AS (
+            SELECT doc_id, t, us, len(us) AS n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u
+        ), p AS (
+            SELECT doc_id, t, n, form, array_to_string(us[1:a], '') AS p, array_to_string(us[a + 1:b], '') AS m,
+                array_to_string(us[b + 1:], '') AS s FROM c
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+        FROM p""",
+    "op13_collocations": rf"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents WHERE text IS NOT NULL
+        ), w AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p
+        ), grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS g
+            FROM w, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(ws) >= k
+        ), f AS (
+            SELECT lang, k, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM grams GROUP BY lang, k, phrase
+        ), n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+        often AS MATERIALIZED (SELECT * FROM f WHERE f >= 10),
+        parts AS MATERIALIZED (
+            SELECT lang, k, phrase, f AS a, cut, array_to_string(g[1:cut], ' ') AS first, array_to_string(g[cut + 1:], ' ') AS rest
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM often WHERE k > 1)
+        ), cuts AS (
+            SELECT p.lang, p.k, p.phrase, a, l.f AS l, r.f AS r, cut,
+                CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+            FROM parts AS p JOIN often AS l ON l.lang = p.lang AND l.phrase = p.first
+                JOIN often AS r ON r.lang = p.lang AND r.phrase = p.rest
+        ), c AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        longer AS (
+            SELECT lang, phrase, max(a) AS f FROM (
+                SELECT lang, rest AS phrase, a FROM parts WHERE k = 3 AND cut = 1
+                UNION ALL SELECT lang, first, a FROM parts WHERE k = 3 AND cut = 2) GROUP BY lang, phrase
+        ), alone AS (
+            SELECT c.* FROM c LEFT JOIN longer ON longer.lang = c.lang AND longer.phrase = c.phrase
+            WHERE longer.f IS NULL OR 100 * longer.f < 50 * c.a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+            CAST(n.n AS BIGINT) AS n, score
+        FROM alone JOIN n USING (lang) QUALIFY rank <= 2000""",
 }
