@@ -24,12 +24,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import Batches, fused, joined_bytes, lowered, mixed, scratch, words, written
+from wordmill.llm.common import Batches, fused, joined_bytes, lowered, mixed, pieces, scratch, words, written
 
 #: Phrases have up to so many words.
 LONGEST = 3
-#: Bytes of text that a task counts at once; a longer text is cut between pieces.
-COUNT_BYTES = 24 << 20
+#: Bytes of text that a task counts at once; a longer text is cut between pieces. They hold 2 ** 20
+#: words at most, so that a phrase is a number of 60 bits.
+COUNT_BYTES = 2 << 20
 #: Bits of the filters of frequent words and pairs. They are the only thing broadcast; where they
 #: are too few, phrases are counted in vain, and none is lost.
 FILTER_BITS = 1 << 25
@@ -74,7 +75,7 @@ def _parts(text: bytes, limit: int) -> list[bytes]:
 def _gathered(batches: Batches, limit: int):
     """Pairs of languages and texts of about `limit` bytes together; null texts are left out."""
     langs, texts, held = [], [], 0
-    for batch in batches:
+    for batch in pieces(batches, "text", limit):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if not text:
                 continue
@@ -97,8 +98,9 @@ class _Words:
         data, offsets = joined_bytes(pa.array(texts, pa.binary()))
         data = lowered(data)
         starts, ends, first = words(data, offsets, _IS_WORD)
-        row = np.repeat(np.arange(len(texts)), np.diff(first))
-        cuts = np.cumsum(np.concatenate([[0], _CUTS[data]]))
+        row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(first))
+        cuts = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(_CUTS[data], out=cuts[1:], dtype=np.int32)
         #: whether the word is followed by the next one in the same piece
         self.joins = (row[1:] == row[:-1]) & (cuts[starts[1:]] == cuts[ends[:-1]])
         sizes = ends - starts
@@ -108,7 +110,7 @@ class _Words:
             [
                 None,
                 pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64).tobytes()),
-                pa.py_buffer(data[np.flatnonzero(_IS_WORD[data])].tobytes()),
+                pa.py_buffer(data[_IS_WORD[data]].tobytes()),
             ],
         )
         coded = kept.dictionary_encode()
@@ -116,12 +118,14 @@ class _Words:
         n_words = max(len(coded.dictionary), 1)
         both = lang.indices.to_numpy().astype(np.int64)[row] * n_words + coded.indices.to_numpy()
         kinds, self.ids = np.unique(both, return_inverse=True)
+        self.ids = self.ids.astype(np.int32)
         self.lang = lang.dictionary.take(pa.array(kinds // n_words))
         self.word = coded.dictionary.take(pa.array(kinds % n_words))
 
-    def hashes(self) -> np.ndarray:
-        """A hash of every (language, word) here, as `_hashes` makes it."""
-        return _hashes(self.lang, [self.word])
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of every word here, and of every (language, word) as `_hashes` makes it."""
+        word = _raw_hashes(self.word)
+        return word, _chained(_hashes(self.lang, []), word)
 
     def runs(self, size: int) -> np.ndarray:
         """Places at which `size` words follow each other in one piece."""
@@ -136,14 +140,18 @@ class _Words:
 
 def _hashes(lang: pa.Array, columns: Sequence[pa.Array]) -> np.ndarray:
     """Hashes of phrases of a language, given by columns of words in UTF-8."""
-    seeds = {x: xxhash.xxh3_64_intdigest(x.encode()) for x in lang.unique().to_pylist()}
-    out = np.array([seeds[x] for x in lang.to_pylist()], dtype=np.uint64)
+    coded = lang.dictionary_encode()
+    out = _raw_hashes(coded.dictionary)[coded.indices.to_numpy()]
     for column in columns:
-        found = map(xxhash.xxh3_64_intdigest, column.cast(pa.large_binary()).to_pylist())
-        out = _chained(out, np.fromiter(found, np.uint64, len(column)))
+        out = _chained(out, _raw_hashes(column))
     return out
 
 
+def _raw_hashes(strings: pa.Array) -> np.ndarray:
+    found = map(xxhash.xxh3_64_intdigest, strings.cast(pa.large_binary()).to_pylist())
+    return np.fromiter(found, np.uint64, len(strings))
+
+
 def _chained(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
@@ -163,43 +171,55 @@ def _counting(size: int, frequent: Broadcast | None, limit: int):
     def step(batches: Batches) -> Batches:
         for langs, texts in _gathered(batches, limit):
             told = _Words(langs, texts)
-            ids, places = told.ids, told.runs(size)
+            places = told.runs(size)
             if frequent is not None and len(places):
                 places = places[_hopeful(told, places, size, frequent.value)]
-            if not len(places):
-                continue
-            # numbers of the beginnings, then of the phrases: products stay below 2 ** 62
-            key, sample = ids[places], places
-            for k in range(1, size):
-                if k > 1:
-                    _, key = np.unique(key, return_inverse=True)
-                key = key.astype(np.int64) * len(told.word) + ids[places + k]
-            _, sample, counts = np.unique(key, return_index=True, return_counts=True)
-            at = places[sample]
-            for a in range(0, len(at), BATCH_ROWS):
-                mine = at[a : a + BATCH_ROWS]
-                columns = [told.word.take(pa.array(ids[mine + k])).cast(pa.string()) for k in range(size)]
+            phrases, counts = _counted(told, places, size)
+            for a in range(0, len(counts), BATCH_ROWS):
+                mine = [pa.array(numbers[a : a + BATCH_ROWS]) for numbers in phrases]
+                said = [told.word.take(numbers).cast(pa.string()) for numbers in mine]
                 yield pa.record_batch(
                     [
-                        told.lang.take(pa.array(ids[mine])),
-                        *columns,
-                        pa.array(counts[a : a + BATCH_ROWS].astype(np.int64)),
+                        told.lang.take(mine[0]),
+                        pc.binary_join_element_wise(*said, " "),
+                        pa.array(counts[a : a + BATCH_ROWS]),
                     ],
-                    names=["lang", *_NAMES[:size], "f"],
+                    names=["lang", "phrase", "f"],
                 )
+            del told, places, phrases, counts
+            pa.default_memory_pool().release_unused()
 
     return step
 
 
+def _counted(told: _Words, places: np.ndarray, size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct phrases at the places, as columns of word numbers, and their counts."""
+    base = max(len(told.word), 1)
+    if base**size < 1 << 63:
+        key = told.ids[places].astype(np.int64)
+        for k in range(1, size):
+            key = key * base + told.ids[places + k]
+        key.sort()
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        counts = np.diff(first, append=len(key))
+        rest, columns = key[first], []
+        for _ in range(size):
+            rest, last = np.divmod(rest, base)
+            columns.insert(0, last)
+        return columns, counts
+    # a text without separators may hold more words than three of them fit 63 bits
+    rows = np.stack([told.ids[places + k] for k in range(size)], axis=1)
+    rows, counts = np.unique(rows, axis=0, return_counts=True)
+    return list(rows.T), counts
+
+
 def _hopeful(told: _Words, places: np.ndarray, size: int, bits: np.ndarray) -> np.ndarray:
     """Whether both parts with one word less pass the filter."""
+    word, said = told.hashes()
     if size == 2:
-        passed = _passes(bits, told.hashes())
+        passed = _passes(bits, said)
         return passed[told.ids[places]] & passed[told.ids[places + 1]]
-    single = np.fromiter(
-        map(xxhash.xxh3_64_intdigest, told.word.to_pylist()), np.uint64, len(told.word)
-    )
-    begins, follow = told.hashes()[told.ids], single[told.ids]
+    begins, follow = said[told.ids], word[told.ids]
     ok = np.ones(len(places), bool)
     for shift in (0, 1):
         run = begins[places + shift]
@@ -214,7 +234,9 @@ def _bits_set(size: int, n_bits: int):
 
     def step(batches: Batches) -> Batches:
         for batch in batches:
-            hashes = _hashes(batch.column("lang"), [batch.column(c) for c in _NAMES[:size]])
+            said = pc.split_pattern(batch.column("phrase"), " ")
+            columns = [pc.list_element(said, k) for k in range(size)]
+            hashes = _hashes(batch.column("lang"), columns)
             at = (hashes % np.uint64(n_bits)).astype(np.int64)
             yield pa.record_batch(
                 [pa.array(at >> 6), pa.array(np.left_shift(np.int64(1), at & 63))], names=["at", "bits"]
@@ -226,7 +248,7 @@ def _bits_set(size: int, n_bits: int):
 def _filter(spark: SparkSession, counted: DataFrame, size: int) -> Broadcast:
     """The filter of a table of phrases: FILTER_BITS bits, however many phrases there are."""
     steps = [_bits_set(size, FILTER_BITS)]
-    rows = fused(counted, ["lang", *_NAMES[:size]], steps, "at long, bits long")
+    rows = fused(counted, ["lang", "phrase"], steps, "at long, bits long")
     found = rows.groupBy("at").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()
     bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     bits[found.column("at").to_numpy()] = found.column("bits").to_numpy()
@@ -245,24 +267,23 @@ def count(docs: DataFrame, least: int = 10, folder: str | None = None) -> DataFr
     told = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
     out, frequent = [], None
     for size in range(1, LONGEST + 1):
-        names = _NAMES[:size]
-        schema = ", ".join(["lang string", *(f"{c} string" for c in names), "f long"])
-        partial = fused(told, ["lang", "text"], [_counting(size, frequent, COUNT_BYTES)], schema)
-        whole = partial.groupBy("lang", *names).agg(F.sum("f").alias("f"))
+        steps = [_counting(size, frequent, COUNT_BYTES)]
+        partial = fused(told, ["lang", "text"], steps, "lang string, phrase string, f long")
+        whole = partial.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
         if size == 1:
             # all words are needed for the totals; they are few beside the pairs
             every = written(whole, f"{folder}/words")
-            spark_total = every.groupBy("lang").agg(F.sum("f").alias("total"))
-            written(spark_total, f"{folder}/totals")
+            written(every.groupBy("lang").agg(F.sum("f").alias("total")), f"{folder}/totals")
             kept = every.where(F.col("f") >= least)
         else:
             kept = written(whole.where(F.col("f") >= least), f"{folder}/phrases-{size}")
+        if frequent is not None:
+            frequent.unpersist()
         if size < LONGEST:
-            if frequent is not None:
-                frequent.unpersist()
             frequent = _filter(spark, kept, size)
-        empty = [F.lit(None).cast("string").alias(c) for c in _NAMES[size:]]
-        out.append(kept.select("lang", F.lit(size).alias("n"), *names, *empty, "f"))
+        # words hold no blanks
+        names = [F.get(F.split("phrase", " "), F.lit(k)).alias(c) for k, c in enumerate(_NAMES)]
+        out.append(kept.select("lang", F.lit(size).alias("n"), *names, "f"))
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
@@ -277,8 +298,7 @@ def _passed(stream: DataFrame, order: Sequence[Column], side: str, folder: str,
     `one_side` and `two_side` (counts of the parts) and `more_side` (count of the extension).
     """
     spark = stream.sparkSession
-    pieces = max(1, -(-rows // PIECE_ROWS))
-    dealt = stream.repartitionByRange(pieces, *order).sortWithinPartitions(*order)
+    dealt = stream.repartitionByRange(max(1, -(-rows // PIECE_ROWS)), *order).sortWithinPartitions(*order)
     # partition and place in it; neither may be made again, so the stream is written
     place = F.monotonically_increasing_id()
     dealt = dealt.withColumn("_at", place).withColumn("_piece", F.shiftright("_at", 33).cast("int"))
