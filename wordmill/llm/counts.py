@@ -5,8 +5,9 @@ first is joined, the leftmost of equals, until no two neighbours make a piece. E
 one symbol away, so the count is the symbols at the start less the joins; ids are never made.
 A character that no piece holds counts as its UTF-8 bytes.
 
-Where no piece has a blank after another character, no join crosses the place before a blank.
-Texts are cut there, and the counts of the units, which recur, are kept in a bounded table.
+Where no piece has two characters next to each other, no join ever crosses the place between
+them. Texts are cut before blanks, if the vocabulary allows it, and units again at all such
+places; the counts of units and of their parts, which recur, are kept in bounded tables.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from wordmill.llm.common import Batches, fused, pieces
 
 #: Units whose counts a worker keeps during a task; the table is emptied when full (memory bound).
-TABLE_UNITS = 200_000
+TABLE_UNITS = 300_000
 #: Longer units are counted every time (memory bound of the table: both bounds multiplied).
 TABLE_CHARS = 64
 
@@ -69,16 +70,29 @@ class Merger:
         self.ranks = {piece: order[score] for piece, score in scores.items()}
         self._single = {piece for piece in scores if len(piece) == 1}
         self.normalize = model.normalize
-        inside = {c for piece in scores for c in piece[1:]}
-        #: whether every blank can be cut before, and whether line ends are tokens of their own
-        self._cut_blanks = all(BLANK not in piece.lstrip(BLANK) for piece in scores)
-        self._cut_lines = "\n" not in inside and not any(piece.startswith("\n") for piece in scores)
-        self._blank_units = _Table(lambda unit: self.merge(BLANK + unit))
-        self._units = _Table(self.merge)
+        #: the characters that stand next to each other in a piece
+        self._pairs = {piece[i : i + 2] for piece in scores for i in range(len(piece) - 1)}
+        self._cut_blanks = not any(pair[1] == BLANK and pair[0] != BLANK for pair in self._pairs)
+        self._cut_lines = not any("\n" in pair for pair in self._pairs) and "\n" not in scores
+        self._parts = _Table(self.merge)
+        self._units = _Table(self._cut)
+        self._blank_units = _Table(lambda unit: self._cut(BLANK + unit))
+
+    def _cut(self, unit: str) -> int:
+        """The number of tokens of a unit, from the parts that no piece connects."""
+        pairs, parts = self._pairs, self._parts
+        total = start = 0
+        for end in range(1, len(unit)):
+            if unit[end - 1 : end + 1] not in pairs:
+                total += parts[unit[start:end]]
+                start = end
+        return total + parts[unit[start:]]
 
     def merge(self, text: str) -> int:
         """The number of tokens of a normalized text, in n log n steps for n characters."""
         n = len(text)
+        if n == 1:
+            return 1 if text in self._single else len(text.encode())
         ranks = self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         pair: list[int | None] = [ranks(text[i : i + 2]) for i in range(n - 1)]
@@ -137,9 +151,9 @@ class Merger:
         return total
 
     def forget(self) -> None:
-        """Empty the tables of units."""
-        self._blank_units.clear()
-        self._units.clear()
+        """Empty the tables."""
+        for kept in (self._blank_units, self._units, self._parts):
+            kept.clear()
 
 
 @functools.cache
