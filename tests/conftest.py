@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import shelf  # noqa: E402
 
 from wordmill import FieldSpec, Mapping, build_index  # noqa: E402
 
@@ -27,67 +30,10 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-# Four book descriptions, after FIXTURES.md F1. The name of a product is replaced by
-# another single word, which changes no score.
-BOOKS = [
-    (
-        1,
-        "Searchlight: The Definitive Guide",
-        ["clinton gormley", "zachary tong"],
-        "A distibuted real-time search and analytics engine",
-        "2015-02-07",
-        20,
-        "oreilly",
-    ),
-    (
-        2,
-        "Taming Text: How to Find, Organize, and Manipulate It",
-        ["grant ingersoll", "thomas morton", "drew farris"],
-        "organize text using approaches such as full-text search, proper name recognition, "
-        "clustering, tagging, information extraction, and summarization",
-        "2013-01-24",
-        12,
-        "manning",
-    ),
-    (
-        3,
-        "Searchlight in Action",
-        ["radu gheorge", "matthew lee hinman", "roy russo"],
-        "build scalable search applications using Searchlight without having to do complex "
-        "low-level programming or understand advanced data science algorithms",
-        "2015-12-03",
-        18,
-        "manning",
-    ),
-    (
-        4,
-        "Solr in Action",
-        ["trey grainger", "timothy potter"],
-        "Comprehensive guide to implementing a scalable search engine using Apache Solr",
-        "2014-04-05",
-        23,
-        "manning",
-    ),
-]
-BOOK_SCHEMA = (
-    "_id bigint, title string, authors array<string>, summary string, "
-    "publish_date string, num_reviews bigint, publisher string"
-)
-
-
 @pytest.fixture(scope="session")
 def books(spark):
-    docs = spark.createDataFrame(BOOKS, BOOK_SCHEMA)
+    docs = spark.createDataFrame(shelf.ROWS, shelf.SCHEMA)
     mapping = Mapping(
         (FieldSpec("title"), FieldSpec("summary"), FieldSpec("publisher", analyzer=None)), "_id"
     ).with_catch_all(docs.schema)
     return build_index(spark, "bookdb", docs, mapping, shards=2)
-
-
-def scores(result, key="_id", digits=4):
-    """Hits in order as (key, rounded score)."""
-    return [(r[key], round(r["score"], digits)) for r in result.hits.collect()]
-
-
-def as_dict(df, key="_id"):
-    return {r[key]: r["score"] for r in df.collect()}

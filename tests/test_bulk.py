@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import BOOK_SCHEMA, BOOKS
+from shelf import ROWS, SCHEMA
 
 from wordmill import FieldSpec, Mapping, bulk_lines, index_all, open_index, read_bulk
 
@@ -18,11 +18,11 @@ def pairs(rows):
 
 
 def test_books_round_trip(spark, tmp_path):
-    books = spark.createDataFrame(BOOKS, BOOK_SCHEMA)
+    books = spark.createDataFrame(ROWS, SCHEMA)
     path = str(tmp_path / "books")
     bulk_lines(books, "_id").coalesce(1).write.text(path)
     back = read_bulk(spark, path)
-    assert {r["_id"]: r["title"] for r in back.collect()} == {str(b[0]): b[1] for b in BOOKS}
+    assert {r["_id"]: r["title"] for r in back.collect()} == {str(b[0]): b[1] for b in ROWS}
     assert dict(back.dtypes)["authors"] == "array<string>"
     assert dict(back.dtypes)["num_reviews"] == "bigint"
 

@@ -1,9 +1,9 @@
 """Laws that hold for any documents and queries."""
 
 import pytest
-from conftest import as_dict
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from shelf import as_dict
 
 from wordmill import Bool, FieldSpec, Mapping, Match, MultiMatch, build_index, explain, hits, search
 

@@ -1,8 +1,8 @@
 import uuid
 
 import pytest
-from conftest import as_dict
 from pyspark.sql import functions as F
+from shelf import as_dict
 
 from wordmill import (
     Bool,
