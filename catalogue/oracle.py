@@ -283,9 +283,11 @@ DISPATCHED = {
 # ---- many queries ------------------------------------------------------------------------
 
 PLAIN = r"string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')"
+# Runs of all words of the passages, by the place of the first.
 REQUESTS = (
-    f"r AS (SELECT item_id AS query_id, text, coalesce(w[1], 'the') AS w1, coalesce(w[2], 'the') AS w2, "
-    f"coalesce(w[3], 'the') AS w3, coalesce(w[4], 'the') AS w4 FROM (SELECT *, {PLAIN} AS w FROM benchmark))"
+    "r AS (SELECT item_id * 1000000 + place AS query_id, place, w[place + 1] AS w1, coalesce(w[place + 2], 'the') AS w2, "
+    "coalesce(w[place + 3], 'the') AS w3, coalesce(w[place + 4], 'the') AS w4 "
+    f"FROM (SELECT *, unnest(range(len(w))) AS place FROM (SELECT *, {PLAIN} AS w FROM benchmark)))"
 )
 RANKED = (
     "SELECT query_id, rank, doc_id, score FROM (SELECT *, "
@@ -312,11 +314,12 @@ WORD_SCORES = (
     "JOIN dic USING (field, term) JOIN st USING (field) GROUP BY term, doc_id)"
 )
 MANY_PHRASES = (
-    f"WITH e AS (SELECT left(w2, 2) AS p, count(DISTINCT doc_id) AS df FROM (SELECT DISTINCT left(w2, 2) AS w2 FROM r) "
+    "WITH r2 AS (SELECT * FROM r WHERE place % 2 = 0), "
+    "e AS (SELECT left(w2, 2) AS p, count(DISTINCT doc_id) AS df FROM (SELECT DISTINCT left(w2, 2) AS w2 FROM r2) "
     "JOIN tok ON starts_with(token, w2) GROUP BY ALL), "
     f"i AS (SELECT query_id, e.p, {IDF.replace('df', 'e.df')} + {IDF.replace('df', 'dic.df')} AS idf_sum "
-    "FROM r JOIN e ON e.p = left(w2, 2) JOIN dic ON dic.term = w1 JOIN st USING (field)), "
-    "o AS (SELECT query_id, a.doc_id, count(*) AS tf FROM r JOIN tok a ON a.token = w1 "
+    "FROM r2 JOIN e ON e.p = left(w2, 2) JOIN dic ON dic.term = w1 JOIN st USING (field)), "
+    "o AS (SELECT query_id, a.doc_id, count(*) AS tf FROM r2 JOIN tok a ON a.token = w1 "
     "JOIN tok b ON a.doc_id = b.doc_id AND a.position = b.position - 1 AND starts_with(b.token, left(w2, 2)) GROUP BY ALL) "
     f"SELECT query_id, doc_id, round(idf_sum * {tf_norm()}, 4) AS score FROM o JOIN i USING (query_id) "
     "JOIN len USING (doc_id) JOIN st USING (field)"
@@ -325,7 +328,7 @@ MANY_REQUESTS = (
     "SELECT query_id, doc_id, round(sum(s), 4) AS score FROM ("
     "SELECT query_id, doc_id, term, s, term IN (w1, w2) AS req, term = w3 AS exc, "
     "(CASE WHEN w1 = w2 AND term = w1 THEN 2 ELSE CASE WHEN term IN (w1, w2) THEN 1 ELSE 0 END END "
-    "+ CASE WHEN term = w4 THEN 1 ELSE 0 END) AS times FROM r JOIN b ON term IN (w1, w2, w3, w4)) "
+    "+ CASE WHEN term = w4 THEN 1 ELSE 0 END) AS times FROM (SELECT DISTINCT * FROM (SELECT *, unnest([w1, w2, w3, w4]) AS term FROM r WHERE place % 4 = 0) AS r) JOIN b USING (term)) "
     "GROUP BY query_id, doc_id HAVING bool_or(req) AND NOT bool_or(exc)"
 ).replace("sum(s)", "sum(s * times)")
 
@@ -538,8 +541,8 @@ ORACLE: dict[str, str] = {
     "search_many_query_string": many(BOTH, MANY_REQUESTS, WORD_SCORES),
     "search_many_wildcard": many(
         ("text",),
-        "SELECT DISTINCT query_id, doc_id, CAST(1.0 AS DOUBLE) AS score FROM r "
-        "JOIN dic ON contains(term, w3) JOIN post USING (field, term)",
+        "SELECT query_id, doc_id, CAST(1.0 AS DOUBLE) AS score FROM r JOIN (SELECT DISTINCT word, doc_id FROM "
+        "(SELECT DISTINCT w1 AS word FROM r) JOIN dic ON contains(term, word) JOIN post USING (field, term)) ON word = w1",
     ),
     "search_many_term": many(
         ("text",), "SELECT query_id, doc_id, round(s, 4) AS score FROM r JOIN b ON term = w1", WORD_SCORES
@@ -579,3 +582,37 @@ ORACLE: dict[str, str] = {
         + ")"
     ),
 }
+ORACLE |= {f"{name}_pruned": ORACLE[name] for name in ("search_many", "search_many_best")}
+
+_WORD_PIECE = r"regexp_matches(piece, '^[\p{L}\p{N}_]')"
+
+#: What explains and marks phrases and query strings.
+ORACLE |= {
+    "explain_phrase": (
+        f"WITH {corpus()}, o AS (SELECT a.doc_id, count(*) AS tf FROM tok a JOIN tok b ON b.doc_id = a.doc_id "
+        "AND b.position = a.position + 1 WHERE a.token = 'of' AND starts_with(b.token, 'th') GROUP BY a.doc_id), "
+        "w AS (SELECT term, df FROM dic WHERE term = 'of' UNION ALL SELECT 'th*', count(DISTINCT doc_id) FROM tok "
+        f"WHERE starts_with(token, 'th')) SELECT doc_id, term, tf, df, round({IDF} * {tf_norm()}, 4) AS contribution "
+        "FROM o JOIN w ON TRUE JOIN len USING (doc_id) JOIN st USING (field)"
+    ),
+    "explain_query_string": bm25(
+        best_words("the", "que", "en"),
+        "SELECT doc_id, 'must 0' AS clause, field, slot AS term, round(s, 4) AS contribution FROM (SELECT *, "
+        "row_number() OVER (PARTITION BY slot, doc_id ORDER BY s DESC, field) AS k FROM f) WHERE k = 1 "
+        "AND slot IN ('the', 'que') AND doc_id NOT IN (SELECT doc_id FROM b WHERE slot = 'en')",
+        more=WORDS,
+    ),
+    "highlight_phrase": (
+        "WITH p AS (SELECT doc_id, generate_subscripts(t, 1) AS n, unnest(t) AS piece FROM (SELECT doc_id, "
+        f"regexp_extract_all(text, {PIECES}) AS t FROM documents)), "
+        "w AS (SELECT doc_id, n, coalesce(lower(piece) = 'of' AND starts_with(lead(lower(piece)) OVER o, 'th'), FALSE) AS b "
+        f"FROM p WHERE {_WORD_PIECE} WINDOW o AS (PARTITION BY doc_id ORDER BY n)), "
+        "m AS (SELECT doc_id, n, b OR coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY n), FALSE) AS m FROM w) "
+        "SELECT doc_id, string_agg(CASE WHEN coalesce(m, FALSE) THEN '<em>' || piece || '</em>' ELSE piece END, '' ORDER BY n) "
+        "AS highlight FROM p LEFT JOIN m USING (doc_id, n) GROUP BY doc_id HAVING bool_or(coalesce(m, FALSE))"
+    ),
+    "highlight_query_string": (
+        ORACLE["highlight"].replace("'and'", "'que'")
+        + f" AND doc_id NOT IN (SELECT doc_id FROM ({tokens()}) WHERE token = 'en')"
+    ),
+}

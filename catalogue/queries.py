@@ -271,6 +271,9 @@ QUERY_STRING = w.QueryString(BOTH, "+(the | que) -en")
 SIMPLE_QUERY_STRING = w.QueryString(BOTH, "+(from das | la) -der", default_operator="and")
 
 
+PHRASE = w.PhrasePrefix(("text",), "of th")
+
+
 def explain(spark, folder):
     parts = w.explain(documents(spark, folder), w.MultiMatch(("text", "head^2"), "the and and"))
     rounded = [F.round(c, DIGITS).alias(c) for c in ("idf", "tf_norm", "boost", "contribution")]
@@ -287,6 +290,19 @@ def explain_bool(spark, folder):
     return parts.select("doc_id", "clause", "field", "term", F.round("contribution", DIGITS).alias("contribution"))
 
 
+def explain_phrase(spark, folder):
+    """The words of a phrase, as parts of its score."""
+    parts = w.explain(documents(spark, folder), PHRASE).where("counted")
+    figures = [F.col(c).cast("bigint").alias(c) for c in ("tf", "df")]
+    return parts.select("doc_id", "term", *figures, F.round("contribution", DIGITS).alias("contribution"))
+
+
+def explain_query_string(spark, folder):
+    """The words of a query string that count, by clause and field."""
+    parts = w.explain(documents(spark, folder), QUERY_STRING).where("counted")
+    return parts.select("doc_id", "clause", "field", "term", F.round("contribution", DIGITS).alias("contribution"))
+
+
 def totals(spark, folder):
     row = w.search(documents(spark, folder), MATCH, size=0).totals
     return row.select(
@@ -332,6 +348,14 @@ def highlight(spark, folder):
     return w.highlight(index, w.hits(index, MATCH), MATCH, "text")
 
 
+def _marked(query):
+    def run(spark, folder):
+        index = documents(spark, folder)
+        return w.highlight(index, w.hits(index, query), query, "text")
+
+    return run
+
+
 def date_fallback(spark, folder):
     """Orders with a creation date, a fallback, or neither."""
     read = table(spark, folder, "orders")
@@ -372,31 +396,39 @@ def dispatch(spark, folder):
 # ---- many queries in one job ---------------------------------------------------------
 
 
-def _benchmark(spark, folder) -> DataFrame:
-    """Each benchmark passage, and query texts made of its words."""
+def _passages(spark, folder) -> DataFrame:
+    return table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+def _runs(spark, folder, step: int) -> DataFrame:
+    """Query texts made of all words of the benchmark passages, one row for every `step` words.
+
+    The id is that of the passage and the place of the first word; words are missing at its end.
+    """
     read = table(spark, folder, "benchmark")
     words = F.split(F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " ")), " ")
-    read = read.select(F.col("item_id").alias("query_id"), "text", words.alias("words"))
+    read = read.select("item_id", words.alias("words"))
+    read = read.select("item_id", "words", F.posexplode("words").alias("place", "first")).where(F.col("place") % step == 0)
 
     def word(n):
-        return F.coalesce(F.try_element_at("words", F.lit(n)), F.lit("the"))
+        return F.coalesce(F.try_element_at("words", F.col("place") + n), F.lit("the"))
 
     return read.select(
-        "query_id",
-        "text",
+        (F.col("item_id") * 1_000_000 + F.col("place")).alias("query_id"),
         F.concat_ws(" ", word(1), F.substring(word(2), 1, 2)).alias("phrase"),
         F.concat(F.lit("+("), word(1), F.lit(" | "), word(2), F.lit(") -"), word(3), F.lit(" "), word(4)).alias(
             "request"
         ),
-        F.concat(F.lit("*"), word(3), F.lit("*")).alias("pattern"),
+        F.concat(F.lit("*"), word(1), F.lit("*")).alias("pattern"),
         word(1).alias("word"),
     )
 
 
-def _many(column, make):
+def _many(column, make, step=0, **options):
     def run(spark, folder):
-        asked = _benchmark(spark, folder).select("query_id", column)
-        found = w.search_many(documents(spark, folder), asked, make(F.col(column)), size=5, digits=DIGITS)
+        asked = _runs(spark, folder, step) if step else _passages(spark, folder)
+        asked = asked.select("query_id", column)
+        found = w.search_many(documents(spark, folder), asked, make(F.col(column)), size=5, digits=DIGITS, **options)
         return found.withColumn("rank", F.col("rank").cast("bigint"))
 
     return run
@@ -514,6 +546,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bool_should": _every(BOOL_SHOULD),
     "explain": explain,
     "explain_bool": explain_bool,
+    "explain_phrase": explain_phrase,
+    "explain_query_string": explain_query_string,
     "min_score": _page(MATCH, size=100, min_score=1.5),
     "match_all": _every(w.MatchAll()),
     "totals": totals,
@@ -524,16 +558,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_filter": source_filter,
     "hit_shape": hit_shape,
     "highlight": highlight,
+    "highlight_phrase": _marked(PHRASE),
+    "highlight_query_string": _marked(QUERY_STRING),
     "date_fallback": date_fallback,
     "latest": latest,
     "type_filter": _page(w.Match("text", "the and"), size=50, name="conversations", doc_type="user"),
     "dispatch": dispatch,
     "search_many": _many("text", lambda t: w.Match("text", t)),
     "search_many_best": _many("text", lambda t: w.MultiMatch(BOTH, t)),
-    "search_many_phrase": _many("phrase", lambda t: w.PhrasePrefix(("text",), t)),
-    "search_many_query_string": _many("request", lambda t: w.QueryString(BOTH, t)),
-    "search_many_wildcard": _many("pattern", lambda t: w.Wildcard("text", t)),
-    "search_many_term": _many("word", lambda t: w.Term("text", t)),
+    "search_many_pruned": _many("text", lambda t: w.Match("text", t), prune=True),
+    "search_many_best_pruned": _many("text", lambda t: w.MultiMatch(BOTH, t), prune=True),
+    "search_many_phrase": _many("phrase", lambda t: w.PhrasePrefix(("text",), t), step=2),
+    "search_many_query_string": _many("request", lambda t: w.QueryString(BOTH, t), step=4),
+    "search_many_wildcard": _many("pattern", lambda t: w.Wildcard("text", t), step=1),
+    "search_many_term": _many("word", lambda t: w.Term("text", t), step=1),
     "terms_stats": terms_stats,
     "terms_array": terms_array,
     "stats": stats,

@@ -2,7 +2,21 @@ import random
 
 from pyspark.sql import functions as F
 
-from wordmill import FieldSpec, Mapping, Match, build_index, requests, search_and_suggest, stats, suggest, terms
+from wordmill import (
+    FieldSpec,
+    Mapping,
+    Match,
+    Spelling,
+    build_index,
+    delete_index,
+    index_all,
+    open_index,
+    requests,
+    search_and_suggest,
+    stats,
+    suggest,
+    terms,
+)
 
 
 def distance(a, b):
@@ -14,12 +28,12 @@ def distance(a, b):
     return row[-1]
 
 
-def brute_force(dictionary, token, size=5):
+def brute_force(dictionary, token, size=5, edits=2, least=4, first=1):
     if token in dictionary:
         return []
     found = []
     for word, df in dictionary.items():
-        if word[0] == token[0] and len(word) >= 4 and (d := distance(token, word)) <= 2:
+        if word[:first] == token[:first] and len(word) >= least and (d := distance(token, word)) <= edits:
             found.append((-(1 - d / min(len(token), len(word))), -df, word))
     return [word for _, _, word in sorted(found)[:size]]
 
@@ -59,18 +73,68 @@ def test_suggestions_equal_brute_force(spark, monkeypatch):
     expected = {k: v for k, v in expected.items() if v}
     assert len(expected) > 50
 
-    def answer():
+    def answer(**rule):
         got = {}
-        for r in suggest(index, asked).orderBy("name", "token", "rank").collect():
+        for r in suggest(index, asked, spelling=Spelling(**rule)).orderBy("name", "token", "rank").collect():
             got.setdefault((r["name"], r["token"]), []).append(r["suggestion"])
         return got
 
     assert answer() == expected
+    loose = {("s", t): brute_force(dictionary, t, 5, 3, 2, 0) for t in tokens}
+    loose["t", tokens[0]] = loose["s", tokens[0]]
+    assert answer(edits=3, least_length=2, same_first=0) == {k: v for k, v in loose.items() if v}
     # the same without any broadcast
     from wordmill.operators import scoring
 
     monkeypatch.setattr(scoring, "BROADCAST_ROWS", 0)
     assert answer() == expected
+    strict = {k: v for k in expected if (v := brute_force(dictionary, k[1], 5, 1, 5, 2))}
+    found = answer(edits=1, least_length=5, same_first=2)
+    assert {k: found[k] for k in strict} == strict and not any(brute_force(dictionary, t, 5, 1, 5, 2) for n, t in found if (n, t) not in strict)
+
+
+def test_neighbours(spark):
+    """Long words have few neighbours, and words that differ beyond their beginnings still meet."""
+    rule = Spelling()
+    row = spark.createDataFrame([("a" * 20 + "b" * 5000, "tie", "x", "")], "long string, short string, one string, none string")
+    made = row.select(*(rule.neighbours(F.col(c)).alias(c) for c in row.columns)).first()
+    assert sorted(made["short"]) == ["t", "te", "ti", "tie"] and made["one"] == ["x"] and made["none"] == [""]
+    assert max(map(len, made)) <= rule.most_neighbours == 67
+    words = ["internationalization", "internationalisations", "internationaleezation", "i" * 3000 + "a", "i" * 2999 + "ab"]
+    docs = spark.createDataFrame([(k, w) for k, w in enumerate(words[1:])], "id bigint, text string")
+    index = build_index(spark, "long_words", docs, Mapping((FieldSpec("text"),), "id"), shards=2)
+    found = suggest(index, requests(index, {"a": ("text", words[0])})).orderBy("rank").collect()
+    assert [r["suggestion"] for r in found] == ["internationaleezation", "internationalisations"]
+
+
+def test_joined_rows_are_few(spark):
+    """Rows that the join makes, against the pairs that it finds."""
+    from wordmill.operators import suggest as module
+
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(5, 9))) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(words)), "id bigint, text string")
+    index = build_index(spark, "few_rows", docs, Mapping((FieldSpec("text"),), "id"), shards=2)
+    rule = Spelling()
+    asked = spark.createDataFrame([("text", w[:2] + w[3:] + "a") for w in words[:300]], "field string, token string")
+    probes = asked.select("field", "token", F.explode(rule.neighbours(F.col("token"))).alias("left"))
+    met = module.joined(index, "text", probes.select("field", "token", F.xxhash64("left").alias("near")), 20_000, rule)
+    pairs = met.distinct().where("levenshtein(token, suggestion, 2) >= 0").count()
+    assert pairs > 300 and met.count() <= 5 * pairs
+
+
+def test_derived_tables_go_with_their_version(spark):
+    docs = spark.createDataFrame([(1, "winter")], "id bigint, text string")
+    index_all(spark, "derived", docs, Mapping((FieldSpec("text"),), "id"), shards=2)
+    index = open_index(spark, "derived")
+    assert [r["suggestion"] for r in suggest(index, requests(index, {"a": ("text", "wintr")})).collect()] == ["winter"]
+    assert spark.catalog.tableExists(index.table_name("near_0_2_4_1"))
+    for n in (2, 3):
+        index_all(spark, "derived", spark.createDataFrame([(n, "wintry")], "id bigint, text string"))
+    assert not spark.catalog.tableExists(index.table_name("near_0_2_4_1"))
+    new = open_index(spark, "derived")
+    assert [r["suggestion"] for r in suggest(new, requests(new, {"a": ("text", "wintr")})).orderBy("rank").collect()] == ["wintry", "winter"]
+    delete_index(spark, "derived")
 
 
 def test_search_and_named_suggesters(spark):

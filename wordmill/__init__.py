@@ -18,7 +18,7 @@ from wordmill.operators.aggs import aggregate, scope, stats, terms
 from wordmill.operators.explaining import explain
 from wordmill.operators.search import SearchResult, hits, search, search_many, search_named
 from wordmill.operators.shaping import extract, highlight, normalized, totals
-from wordmill.operators.suggest import requests, search_and_suggest, suggest
+from wordmill.operators.suggest import Spelling, requests, search_and_suggest, suggest
 from wordmill.plans.mapping import FieldSpec, Mapping, entry_mapping
 from wordmill.plans.query import (
     Bool,

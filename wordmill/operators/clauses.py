@@ -8,6 +8,7 @@ and the boolean structure is an expression over the slots' columns.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -15,16 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordmill.functions.bm25 import idf, tf_norm
 from wordmill.functions.chains import Chain, analyzer
 from wordmill.functions.folding import lower_ascii
 from wordmill.operators.scoring import (
     contributions,
-    idf,
     measure,
     meet_postings,
     row_units,
     small,
-    tf_norm,
     weigh,
 )
 from wordmill.plans.mapping import FieldSpec
@@ -39,7 +39,7 @@ from wordmill.plans.query import (
     boosted,
     field_and_boost,
 )
-from wordmill.sources.store import Index
+from wordmill.sources.store import Index, kept_table
 
 
 @dataclass
@@ -173,12 +173,12 @@ class Slots:
         if self.batch.single:
             rows = _literal_query_terms(self.batch, self.terms)
             literal = sorted({row["term"] for row in rows})
-            query_terms = literal_rows(index, rows, TERM_SCHEMA)
-            weights = weigh(index, query_terms, len(rows), literal)
+            asked = literal_rows(index, rows, TERM_SCHEMA)
+            weights = weigh(index, asked, len(rows), literal)
             return contributions(index, weights, len(rows), fields, literal)
-        query_terms = _query_terms(self.batch, self.terms)
-        count = measure(query_terms)
-        return contributions(index, weigh(index, query_terms, count), count, fields)
+        asked = query_terms(self.batch, self.terms)
+        count = measure(asked)
+        return contributions(index, weigh(index, asked, count), count, fields)
 
 
 def _constant(slot: int, score: float) -> list[Column]:
@@ -224,7 +224,7 @@ def literal_rows(index: Index, rows: list[dict], schema: str) -> DataFrame:
     return index.spark.createDataFrame(rows, schema)
 
 
-def _query_terms(batch: Batch, slots: list[TermSlot]) -> DataFrame:
+def query_terms(batch: Batch, slots: list[TermSlot]) -> DataFrame:
     """Query terms of a DataFrame of queries, repeated words counted together."""
     parts = []
     for s in slots:
@@ -299,10 +299,10 @@ def column_predicate(index: Index, query: Term) -> Column:
 # ---- wildcard ---------------------------------------------------------------------
 
 
-def like_pattern(pattern: str) -> str:
-    """`*` and `?` as SQL `LIKE`."""
+def like_pattern(pattern: str, wild: str = "*?") -> str:
+    """`*` and `?` as SQL `LIKE`; only the signs in `wild` are wild."""
     escaped = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-    return escaped.replace("*", "%").replace("?", "_")
+    return escaped.translate({ord(sign): {"*": "%", "?": "_"}[sign] for sign in wild})
 
 
 def wildcard_hits(batch: Batch, query: Wildcard) -> DataFrame:
@@ -361,29 +361,58 @@ def phrase_hits(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float
     if batch.single:
         return _literal_phrase(batch, query, spec, boost)
     keys, index = batch.keys, batch.index
-    words = _phrase_words(batch, query.text, spec.chain)
+    # both tables are read in every step
+    words = kept_table(index, _phrase_words(batch, query.text, spec.chain))
     size = F.when(F.col("slot_no") == F.col("n") - 1, F.length("token"))
-    count, sizes = words.agg(row_units(words), F.collect_set(size)).first()
+    count, sizes, ones, longest = words.agg(
+        row_units(words), F.collect_set(size), F.count_if(F.col("n") == 1), F.max("n")
+    ).first()
+    count = count or 0
     fixed = words.where("slot_no < n - 1").select(*keys, "n", "offset", F.col("token").alias("term"))
-    last = words.where("slot_no = n - 1").select(*keys, "n", "offset", "token")
-    last = last.withColumns({"boost": F.lit(boost), "field": F.lit(spec.name)})
+    last = words.where("slot_no = n - 1").select(*keys, "n", F.col("offset").alias("last"), "token")
+    prefixes = small(last.select("token").distinct(), count)
+    ending = _under_prefixes(index, prefixes, sizes or [], spec.name, query.max_expansions)
 
-    expanded = _expansions(index, small(last.select("token").distinct(), count or 0), sizes, spec.name, query.max_expansions)
-    met = meet_postings(index, expanded, measure(expanded), ["tf", "dl", "positions"], [spec.name])
-    held = _as_one_term(met, ["token", index.key])
+    # the documents of a prefix, reduced in their buckets; then one number a prefix and task
+    met = ending(["tf", "dl"])
+    held = met.groupBy("token", index.key).agg(F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
     frequency = held.groupBy("token").agg(F.count("*").alias("df"))
     # one row per field: bounded by the mapping
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
-    asked = last.join(frequency, "token").join(stats, "field")
+    last = last.withColumns({"boost": F.lit(boost), "field": F.lit(spec.name)})
+    asked = last.join(small(frequency, count), "token").join(stats, "field")
     asked = asked.withColumn("idf", idf(F.col("df"), F.col("n_docs"))).drop("df", "n_docs", "field")
-    ends = held.join(asked, "token")
-    one = ends.where("n = 1").select(*keys, index.key, _bm25("tf", "idf").alias("score"))
 
+    # the words before the prefix first: where they stand in order, a phrase is begun
     looked_up = fixed.withColumns({"field": F.lit(spec.name), "boost": F.lit(boost), "qtf": F.lit(1)})
-    weights = weigh(index, looked_up, count or 0)
-    starts = meet_postings(index, weights, count or 0, ["tf", "dl", "positions"], [spec.name])
-    columns = [*keys, index.key, "n", "offset", "boost", "idf", "avgdl", "dl", "positions"]
-    return one.unionByName(_occurrences(batch, starts.select(*columns).unionByName(ends.where("n > 1").select(*columns))))
+    starts = meet_postings(index, weigh(index, looked_up, count), count, ["dl", "positions"], [spec.name])
+    columns = [*keys, index.key, (F.col("n") - 1).alias("n"), "offset", "boost", "idf", "avgdl", "dl", "positions"]
+    starts = starts.select(*columns)
+    # one word before the prefix stands where it stands
+    alone = starts.where("n = 1").withColumns({"idf_sum": F.col("idf"), "common": F.col("positions")})
+    begun = alone.drop("n", "offset", "idf", "positions")
+    if (longest or 0) > 2:
+        begun = begun.unionByName(_aligned([*keys, index.key], starts.where("n > 1")))
+    # one row a query at most
+    ends = small(asked.where("n > 1").select(*keys, "token", "last", F.col("idf").alias("_idf")), count)
+    begun = begun.join(ends, keys)
+    # each begun phrase meets the terms of its prefix in its document: dealt by both, so that a
+    # prefix that many queries and documents share is many tasks
+    places = ending(["positions"])
+    ended = begun.join(places.hint("merge"), ["token", index.key])
+    here = F.transform("positions", lambda p: p - F.col("last"))
+    # the terms of a prefix stand at different places
+    found = ended.withColumn("tf", F.size(F.array_intersect("common", here))).where("tf > 0")
+    found = found.groupBy(*keys, index.key).agg(
+        F.sum("tf").alias("tf"),
+        F.max(F.col("idf_sum") + F.col("_idf")).alias("idf_sum"),
+        *(F.max(c).alias(c) for c in ("avgdl", "dl", "boost")),
+    )
+    found = found.select(*keys, index.key, _bm25("tf", "idf_sum").alias("score"))
+    if not ones:
+        return found
+    one = held.join(small(asked.where("n = 1"), count), "token")
+    return found.unionByName(one.select(*keys, index.key, _bm25("tf", "idf").alias("score")))
 
 
 def _as_one_term(postings: DataFrame, keys: list[str]) -> DataFrame:
@@ -400,10 +429,20 @@ def _bm25(tf: str, idf: str) -> Column:
 
 
 def _literal_phrase(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float) -> DataFrame:
+    found = phrase_occurrences(batch, query, spec, boost)
+    return found.select(batch.index.key, _bm25("tf", "idf_sum").alias("score"))
+
+
+def phrase_occurrences(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: float) -> DataFrame:
+    """Documents holding a literal phrase: the key, `tf` (occurrences), `idf_sum`, `avgdl`, `dl`,
+    `boost`, and `words`, the phrase's words with their `df` and `idf`."""
     index = batch.index
     tokens = batch.literal_tokens(query.text, spec.chain)
     if not tokens:
-        return index.docs.where(F.lit(False)).select(index.key, F.lit(0.0).alias("score"))
+        nothing = "cast(null as array<struct<place:int,term:string,df:bigint,idf:double>>) AS words"
+        numbers = [f"cast(1 as {kind}) AS {c}" for c, kind in (("tf", "int"), ("dl", "int"), ("idf_sum", "double"),
+                                                               ("avgdl", "double"), ("boost", "double"))]
+        return index.docs.where(F.lit(False)).selectExpr(f"`{index.key}`", *numbers, nothing)
     start = tokens[0][0]
     *fixed, (position, prefix) = tokens
     # the range of the prefix reaches the file scan; postings are sorted by term
@@ -417,6 +456,8 @@ def _literal_phrase(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: f
     frequency = held.agg(F.count("*")).scalar()
     ends = held.withColumns(
         {
+            "term": F.lit(prefix + "*"),
+            "df": frequency,
             "idf": idf(frequency, stats.select("n_docs").scalar()),
             "avgdl": stats.select("avgdl").scalar(),
             "boost": F.lit(boost),
@@ -424,15 +465,18 @@ def _literal_phrase(batch: Batch, query: PhrasePrefix, spec: FieldSpec, boost: f
             "offset": F.lit(position - start),
         }
     )
-    if not fixed:
-        return ends.select(index.key, _bm25("tf", "idf").alias("score"))
-    constants = {"field": spec.name, "n": len(tokens), "boost": boost, "qtf": 1}
-    rows = [{"term": t, "offset": p - start, **constants} for p, t in fixed]
-    literal = sorted({row["term"] for row in rows})
-    weights = weigh(index, literal_rows(index, rows, PHRASE_SCHEMA), len(rows), literal)
-    starts = meet_postings(index, weights, len(rows), ["dl", "positions"], [spec.name], literal)
-    columns = [index.key, "n", "offset", "boost", "idf", "avgdl", "dl", "positions"]
-    return _occurrences(batch, starts.select(*columns).unionByName(ends.select(*columns)))
+    columns = [index.key, "term", "df", "n", "offset", "boost", "idf", "avgdl", "dl", "positions"]
+    rows = ends.select(*columns)
+    if fixed:
+        constants = {"field": spec.name, "n": len(tokens), "boost": boost, "qtf": 1}
+        words = [{"term": t, "offset": p - start, **constants} for p, t in fixed]
+        literal = sorted({row["term"] for row in words})
+        weights = weigh(index, literal_rows(index, words, PHRASE_SCHEMA), len(words), literal)
+        starts = meet_postings(index, weights, len(words), ["dl", "positions"], [spec.name], literal)
+        rows = starts.select(*columns).unionByName(rows)
+    word = F.struct(F.col("offset").alias("place"), "term", "df", "idf")
+    found = _aligned([index.key], rows, F.array_sort(F.collect_list(word)).alias("words"))
+    return found.withColumn("tf", F.size("common")).drop("common")
 
 
 PHRASE_SCHEMA = "term string, offset int, field string, n int, boost double, qtf int"
@@ -451,13 +495,38 @@ def _phrase_words(batch: Batch, text: Text, chain: Chain) -> DataFrame:
     )
 
 
+#: Up to so many lengths of prefixes are cut from every posting; for more, the dictionary is asked.
+FEW_SIZES = 2
+
+
+def _under_prefixes(
+    index: Index, prefixes: DataFrame, sizes: list[int], name: str, limit: int | None
+) -> Callable[[list[str]], DataFrame]:
+    """The postings of all terms that begin with a prefix: `token`, the key and the columns asked for."""
+    if limit is None and len(sizes) <= FEW_SIZES:
+
+        def cut(columns: list[str]) -> DataFrame:
+            postings = index.postings.where(F.col("field") == name).select("term", index.key, *columns)
+            return _beginnings(postings, sizes).join(prefixes, "token").select("token", index.key, *columns)
+
+        return cut
+    expanded = kept_table(index, _expansions(index, prefixes, sizes, name, limit))
+    rows = measure(expanded)
+    return lambda columns: meet_postings(index, expanded, rows, columns, [name]).select("token", index.key, *columns)
+
+
+def _beginnings(terms: DataFrame, sizes: list[int]) -> DataFrame:
+    """Every term with its beginnings (`token`) of the lengths that are asked."""
+    offered = F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>")
+    held = terms.withColumn("_size", F.explode(offered)).where(F.col("_size") <= F.length("term"))
+    return held.withColumn("token", F.substring(F.col("term"), F.lit(1), F.col("_size"))).drop("_size")
+
+
 def _expansions(index: Index, prefixes: DataFrame, sizes: list[int], name: str, limit: int | None) -> DataFrame:
     """The dictionary terms that begin with a prefix (`token`), or the first `limit` in binary order."""
     terms = index.terms.where(F.col("field") == name).select("field", "term", "df")
     # an equality join: every term offers its beginnings of the lengths that are asked
-    offered = F.array(*[F.lit(n) for n in sorted(sizes)]).cast("array<int>")
-    held = terms.withColumn("_size", F.explode(offered)).where(F.col("_size") <= F.length("term"))
-    held = held.withColumn("token", F.substring(F.col("term"), F.lit(1), F.col("_size")))
+    held = _beginnings(terms, sizes)
     found = held.join(prefixes, "token")
     if limit is not None:
         ranked = F.row_number().over(Window.partitionBy("token").orderBy("term"))
@@ -465,20 +534,19 @@ def _expansions(index: Index, prefixes: DataFrame, sizes: list[int], name: str,
     return found.select("token", "field", "term", "df")
 
 
-def _occurrences(batch: Batch, met: DataFrame) -> DataFrame:
-    """A phrase occurs at a start where every one of its words stands at its offset."""
-    keys = [*batch.keys, batch.index.key]
+def _aligned(keys: list[str], met: DataFrame, *more: Column) -> DataFrame:
+    """The places (`common`) at which all `n` words of a phrase stand at their offsets, per document."""
     starts = F.transform("positions", lambda p: p - F.col("offset"))
     # one list per query and document, of the phrase's words
     words = met.groupBy(*keys).agg(
         F.collect_list(starts).alias("starts"),
         F.sum("idf").alias("idf_sum"),
         *(F.max(c).alias(c) for c in ("n", "avgdl", "dl", "boost")),
+        *more,
     )
     words = words.where(F.size("starts") == F.col("n"))
     common = F.aggregate("starts", F.element_at("starts", 1), lambda kept, own: F.array_intersect(kept, own))
-    found = words.withColumn("tf", F.size(common)).where("tf > 0")
-    return found.select(*keys, _bm25("tf", "idf_sum").alias("score"))
+    return words.withColumn("common", common).where(F.size("common") > 0).drop("starts", "n")
 
 
 # ---- query strings ------------------------------------------------------------------
@@ -491,16 +559,27 @@ PIECE = r"\||[^\s()|]+"
 def query_string_hits(batch: Batch, query: QueryString) -> DataFrame:
     """Read query strings with string functions, score every word, and fold the clauses
     of each document from left to right."""
+    joined, _ = _words_of_documents(batch, query)
+    return _folded(joined, [*batch.keys, batch.index.key], query.default_operator.lower())
+
+
+def query_string_parts(batch: Batch, query: QueryString) -> tuple[DataFrame, DataFrame]:
+    """What the hits of one query string are made of: `parts`, the words that count for each hit
+    (`clause`, its place; `sign`; `word`; `score`), and every scored term, with its `word` and field.
+
+    The parts go through the same fold as the scores, as lists that are joined instead of numbers
+    that are added.
+    """
+    joined, scored = _words_of_documents(batch, query)
+    return _folded(joined, [batch.index.key], query.default_operator.lower(), _PARTS), scored
+
+
+def _words_of_documents(batch: Batch, query: QueryString) -> tuple[DataFrame, DataFrame]:
+    """Per document the `scores` of the words that it holds, with the `clauses`; and the terms scored."""
     index, keys = batch.index, batch.keys
     batch.check(query.text)
     text = F.lit(query.text) if isinstance(query.text, str) else query.text
-    # a group within a group, or one that is not closed, is refused rather than misread
-    flat = F.regexp_replace(text, r"\([^()]*\)", "")
-    text = F.when(
-        flat.rlike(r"[()]"), F.raise_error(F.concat(F.lit("parentheses are nested or not closed: "), text))
-    ).otherwise(text)
-    raw = F.regexp_extract_all(text, F.lit(CLAUSE), F.lit(0))
-    read = batch.rows.select(*keys, F.transform(raw, _clause).alias("clauses"))
+    read = batch.rows.select(*keys, _cut(text).alias("clauses"))
     words = F.flatten(F.transform("clauses", lambda c: c["pieces"]))
     words = read.select(*keys, F.explode(F.array_distinct(words)).alias("word")).where("word != '|'")
     terms, values = _word_terms(batch, query, words)
@@ -524,16 +603,60 @@ def query_string_hits(batch: Batch, query: QueryString) -> DataFrame:
     if batch.single:
         seen = sorted({row["word"] for row in known.collect()})
         seen = F.array(*[F.lit(word) for word in seen]).cast("array<string>")
-        joined = by_doc.withColumn("clauses", _seen_clauses(F.transform(raw, _clause), seen))
+        joined = by_doc.withColumn("clauses", _seen_clauses(_cut(text), seen))
     else:
         known = known.groupBy(*keys).agg(F.collect_set("word").alias("known"))
         read = read.join(known, keys).select(*keys, _seen_clauses(F.col("clauses"), F.col("known")).alias("clauses"))
         joined = by_doc.join(read, keys)
-    operator = query.default_operator.lower()
+    columns = [*keys, index.key, "word", "field", "term", "tf", "df", "dl", "idf", "tf_norm", "boost", "score"]
+    rows = [scored.select(*columns)]
+    for _, hits in values:
+        rows.append(hits.select(*[F.col(c) if c in hits.columns else F.lit(None).alias(c) for c in columns]))
+    return joined.select(*keys, index.key, "scores", "clauses"), reduce(DataFrame.unionByName, rows)
+
+
+@dataclass(frozen=True)
+class _Adding:
+    """What a fold adds up: the scores of words, or lists of the words that count."""
+
+    kind: str
+    add: Callable[[Column, Column], Column]
+    nothing: str
+
+    def of(self, clause: Column, sign: Column, word: Column) -> Column:
+        score = F.try_element_at(F.col("scores"), word)
+        if self.kind == "double":
+            return score
+        part = F.struct(clause.alias("clause"), sign.alias("sign"), word.alias("word"), score.alias("score"))
+        return F.when(score.isNotNull(), F.array(part).cast(self.kind))
+
+
+_SCORES = _Adding("double", Column.__add__, "0.0D")
+_PART = "array<struct<clause:int,sign:string,word:string,score:double>>"
+_PARTS = _Adding(_PART, lambda a, b: F.concat(a, b), f"CAST(array() AS {_PART})")
+
+
+def _folded(joined: DataFrame, keys: list[str], operator: str, sums: _Adding = _SCORES) -> DataFrame:
     # bound one after the other: a lambda would compute them again at every use
-    joined = joined.select(*keys, index.key, _clause_scores(operator).alias("found"))
-    joined = joined.select(*keys, index.key, "found", _rest(operator).alias("rest"))
-    return joined.where(_clauses_match(operator)).select(*keys, index.key, _clauses_score().alias("score"))
+    joined = joined.select(*keys, _clause_scores(operator, sums).alias("found"))
+    joined = joined.select(*keys, "found", _rest(operator, sums).alias("rest"))
+    return joined.where(_clauses_match(operator)).select(*keys, _clauses_score(sums).alias("score"))
+
+
+def _cut(text: Column) -> Column:
+    """The clauses of a query string. A group within a group, or one that is not closed, is
+    refused rather than misread."""
+    flat = F.regexp_replace(text, r"\([^()]*\)", "")
+    text = F.when(
+        flat.rlike(r"[()]"), F.raise_error(F.concat(F.lit("parentheses are nested or not closed: "), text))
+    ).otherwise(text)
+    return F.transform(F.regexp_extract_all(text, F.lit(CLAUSE), F.lit(0)), _clause)
+
+
+def literal_clauses(index: Index, text: str) -> list[tuple[str, list[str]]]:
+    """Sign and pieces of the clauses of one query string, as many as a caller wrote."""
+    row = index.spark.range(0, 1, 1, 1).select(_cut(F.lit(text)).alias("clauses")).first()
+    return [(clause["sign"], list(clause["pieces"])) for clause in row["clauses"]]
 
 
 def _clause(raw: Column) -> Column:
@@ -618,7 +741,7 @@ def _seen_clauses(clauses: Column, known: Column) -> Column:
     return F.filter(F.transform(clauses, keep), lambda c: F.size(c["pieces"]) > 0)
 
 
-def _fold(items: Column, operator: str) -> Column:
+def _fold(items: Column, operator: str, sums: _Adding) -> Column:
     """Join `(bar, score)` items from left to right; a null score stands for no match."""
 
     def state(bar, seen, score):
@@ -626,35 +749,36 @@ def _fold(items: Column, operator: str) -> Column:
 
     def combine(acc, x):
         a, b = acc["score"], x["score"]
-        either, both = F.coalesce(a + b, a, b), a + b
+        both = sums.add(a, b)
+        either = F.coalesce(both, a, b)
         joined = either if operator == "or" else F.when(acc["bar"], either).otherwise(both)
         value = F.when(acc["seen"], joined).otherwise(b)
         return F.when(x["bar"], state(F.lit(True), acc["seen"], a)).otherwise(
             state(F.lit(False), F.lit(True), value)
         )
 
-    start = state(F.lit(False), F.lit(False), F.lit(None).cast("double"))
+    start = state(F.lit(False), F.lit(False), F.lit(None).cast(sums.kind))
     return F.aggregate(items, start, combine)
 
 
-def _clause_scores(operator: str) -> Column:
+def _clause_scores(operator: str, sums: _Adding) -> Column:
     """`sign` and `score` of each clause for one document; null where it does not match."""
 
-    def piece(p):
-        return F.struct((p == "|").alias("bar"), F.try_element_at(F.col("scores"), p).alias("score"))
+    def clause(c, place):
+        def piece(p):
+            return F.struct((p == "|").alias("bar"), sums.of(place, c["sign"], p).alias("score"))
 
-    def clause(c):
-        score = _fold(F.transform(c["pieces"], piece), operator)["score"]
+        score = _fold(F.transform(c["pieces"], piece), operator, sums)["score"]
         return F.struct(c["sign"].alias("sign"), score.alias("score"))
 
     return F.transform("clauses", clause)
 
 
-def _rest(operator: str) -> Column:
+def _rest(operator: str, sums: _Adding) -> Column:
     """The clauses without a sign, joined."""
     plain = F.filter("found", lambda v: v["sign"].isin("", "|"))
     items = F.transform(plain, lambda v: F.struct((v["sign"] == "|").alias("bar"), v["score"].alias("score")))
-    return _fold(items, operator)
+    return _fold(items, operator, sums)
 
 
 def _clauses_match(operator: str) -> Column:
@@ -667,6 +791,6 @@ def _clauses_match(operator: str) -> Column:
     return ~failed & (F.col("rest.score").isNotNull() | optional)
 
 
-def _clauses_score() -> Column:
+def _clauses_score(sums: _Adding) -> Column:
     signed = F.filter("found", lambda v: v["sign"] == "+")
-    return F.aggregate(signed, F.coalesce("rest.score", F.lit(0.0)), lambda acc, v: acc + v["score"])
+    return F.aggregate(signed, F.coalesce("rest.score", F.expr(sums.nothing)), lambda acc, v: sums.add(acc, v["score"]))

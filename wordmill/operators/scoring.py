@@ -14,12 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordmill.functions.bm25 import idf, tf_norm
 from wordmill.sources.store import Index
 
-# The customary BM25 parameters.
-K1 = 1.2
-B = 0.75
-
 # A table is broadcast up to this size, measured or proven. A long string counts as
 # several rows, one more for every ROW_BYTES.
 BROADCAST_ROWS = 500_000
@@ -28,14 +25,6 @@ ROW_BYTES = 64
 SLICE_ROWS = 1_000_000
 
 
-def idf(df: Column, n_docs: Column) -> Column:
-    return F.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-
-
-def tf_norm(tf: Column, dl: Column, avgdl: Column) -> Column:
-    return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
-
-
 def row_units(df: DataFrame) -> Column:
     """The rows of a table as a sum, with long strings counted by their bytes."""
     strings = [F.col(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)]
@@ -55,15 +44,19 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def weigh(
-    index: Index, query_terms: DataFrame, rows: int, literal_terms: Sequence[str] | None = None
+    index: Index,
+    query_terms: DataFrame,
+    rows: int,
+    literal_terms: Sequence[str] | None = None,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """Add `df`, `idf` and `avgdl` to query terms; terms not in the index drop out.
 
-    `rows` is the size of the query terms, measured or known.
+    `rows` is the size of the query terms, measured or known; `more` names further columns of `terms`.
     """
     # one row per field: bounded by the mapping
     stats = F.broadcast(index.stats.select("field", "n_docs", "avgdl"))
-    terms = index.terms.select("field", "term", "df")
+    terms = index.terms.select("field", "term", "df", *more)
     if literal_terms is not None:
         # reaches the file scan, which then reads only the buckets of these terms
         terms = terms.where(F.col("term").isin(list(literal_terms)))

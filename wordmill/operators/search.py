@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wordmill.operators.clauses import Batch, Slots, column_predicate
 from wordmill.operators.shaping import totals
+from wordmill.operators.topk import BestMatches, prunable
 from wordmill.plans.query import (
     Bool,
     Match,
@@ -308,17 +309,24 @@ def search_many(
     min_score: float | None = None,
     id_column: str = "query_id",
     digits: int | None = None,
+    prune: bool | None = None,
 ) -> DataFrame:
     """Answer a DataFrame of queries in one job: query id, `rank`, the key, `score`.
 
     `query` is the template, with Columns of `queries` as texts. Equal queries are
-    answered once.
+    answered once. For match queries `prune` says whether only documents that can reach the
+    page are scored in full (`topk`); by default the number of postings decides.
     """
     texts = [c for c in queries.columns if c != id_column]
     # the ids of equal queries; an aggregate, so copies are reduced before the shuffle
     groups = queries.groupBy(*texts).agg(F.min(id_column).alias("_first"))
     distinct = groups.withColumnRenamed("_first", id_column)
-    found = hits(index, query, distinct, id_column)
+    if prunable(index, query):
+        # scores that are equal when rounded are ties
+        slack = 10.0 ** -min(RANK_DIGITS, RANK_DIGITS if digits is None else digits)
+        found = BestMatches(index, query, distinct, id_column, offset + size, slack).hits(prune)
+    else:
+        found = hits(index, query, distinct, id_column)
     if digits is not None:
         found = found.withColumn("score", F.round("score", digits))
     if min_score is not None:

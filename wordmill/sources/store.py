@@ -3,7 +3,7 @@
     docs      the documents, one row per key, bucketed by the key
     postings  field, term, key, tf, dl, positions: partitioned by field, bucketed by
               the key, sorted by term inside each file
-    terms     field, term, df, cf: bucketed by term
+    terms     field, term, df, cf, top (the highest tf_norm): bucketed by term
     lengths   field, key, dl: bucketed by the key
     stats     field, n_docs, avgdl, n_postings: one row per field
 
@@ -15,6 +15,8 @@ A file is sorted by term, so a lookup reads only the pages that hold the term.
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordmill.functions.bm25 import tf_norm
 from wordmill.plans.mapping import Mapping, entry_mapping
 
 TABLES = ("docs", "postings", "terms", "lengths", "stats")
@@ -47,6 +50,20 @@ def workspace(spark: SparkSession) -> str:
     return name
 
 
+def beside(index: Index, kind: str, rows: Callable[[], DataFrame], bucket_by: str) -> DataFrame:
+    """A table derived from a version of an index, written when it is first asked for."""
+    if not index.spark.catalog.tableExists(index.table_name(kind)):
+        _save(index, kind, rows(), bucket_by=bucket_by)
+    return index.table(kind)
+
+
+def kept_table(index: Index, rows: DataFrame) -> DataFrame:
+    """Rows that several steps of a job read, written to a table of the workspace."""
+    name = f"{index.database}.kept_{uuid.uuid4().hex}"
+    rows.write.format("parquet").saveAsTable(name)
+    return index.spark.table(name)
+
+
 def clear_workspace(spark: SparkSession) -> None:
     """Drop every index of this application."""
     spark.sql(f"DROP DATABASE IF EXISTS {workspace(spark)} CASCADE")
@@ -321,16 +338,20 @@ def _write(index: Index, docs: DataFrame | None, postings: DataFrame) -> None:
         _save(index, "docs", docs, bucket_by=key, in_place=True)
     _save(index, "postings", postings, key, ("term",), partition_by="field", in_place=True)
     read = index.postings
-    terms = read.groupBy("field", "term").agg(
-        F.count("*").alias("df"), F.sum("tf").cast("bigint").alias("cf")
-    )
-    _save(index, "terms", terms, bucket_by="term", sort_by=("field", "term"))
     lengths = read.groupBy(key, "field").agg(F.max("dl").alias("dl"), F.count("*").alias("n"))
     _save(index, "lengths", lengths, key, ("field", key), in_place=True)
     stats = index.lengths.groupBy("field").agg(
         F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"), F.sum("n").alias("n_postings")
     )
     _save(index, "stats", stats)
+    # one row per field: bounded by the mapping
+    average = F.broadcast(index.stats.select("field", "avgdl"))
+    terms = read.join(average, "field").groupBy("field", "term").agg(
+        F.count("*").alias("df"),
+        F.sum("tf").cast("bigint").alias("cf"),
+        F.max(tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"))).alias("top"),
+    )
+    _save(index, "terms", terms, bucket_by="term", sort_by=("field", "term"))
     _publish(index)
 
 
@@ -386,5 +407,7 @@ def _publish(index: Index) -> None:
 
 
 def _drop(index: Index, version: int) -> None:
-    for kind in TABLES:
-        index.spark.sql(f"DROP TABLE IF EXISTS {index.database}.{index.name}_v{version}_{kind}")
+    stem = f"{index.name}_v{version}"
+    derived = index.spark.sql(f"SHOW TABLES IN {index.database} LIKE '{stem}_near_*'").collect()
+    for name in [*(f"{stem}_{kind}" for kind in TABLES), *(row["tableName"] for row in derived)]:
+        index.spark.sql(f"DROP TABLE IF EXISTS {index.database}.{name}")
