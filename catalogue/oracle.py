@@ -586,6 +586,12 @@ ORACLE |= {f"{name}_pruned": ORACLE[name] for name in ("search_many", "search_ma
 
 _WORD_PIECE = r"regexp_matches(piece, '^[\p{L}\p{N}_]')"
 
+ORACLE["search_many_typed"] = (
+    f"WITH {corpus(('text',), TURNS)}, {PASSAGES}, h AS (SELECT query_id, doc_id, round(s, 4) AS score "
+    f"FROM ({PASSAGE_PARTS}) JOIN {TURNS} AS t USING (doc_id) WHERE role = 'user'), "
+    f"top AS ({RANKED}) SELECT query_id, rank, doc_id, score, 'user' AS role FROM top"
+)
+
 #: What explains and marks phrases and query strings.
 ORACLE |= {
     "explain_phrase": (

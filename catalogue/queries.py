@@ -434,6 +434,14 @@ def _many(column, make, step=0, **options):
     return run
 
 
+def search_many_typed(spark, folder):
+    """The passages against turns of one role, with that role."""
+    index, asked = conversations(spark, folder), _passages(spark, folder)
+    query = w.Match("text", F.col("text"))
+    found = w.search_many(index, asked, query, size=5, digits=DIGITS, doc_type="user", source=["role"])
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
 # ---- aggregations --------------------------------------------------------------------
 
 
@@ -566,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dispatch": dispatch,
     "search_many": _many("text", lambda t: w.Match("text", t)),
     "search_many_best": _many("text", lambda t: w.MultiMatch(BOTH, t)),
+    "search_many_typed": search_many_typed,
     "search_many_pruned": _many("text", lambda t: w.Match("text", t), prune=True),
     "search_many_best_pruned": _many("text", lambda t: w.MultiMatch(BOTH, t), prune=True),
     "search_many_phrase": _many("phrase", lambda t: w.PhrasePrefix(("text",), t), step=2),

@@ -7,6 +7,8 @@ from shelf import best, match, most, ranked, scores
 
 from wordmill import (
     Bool,
+    FieldSpec,
+    Mapping,
     Match,
     MatchAll,
     MultiMatch,
@@ -14,6 +16,7 @@ from wordmill import (
     QueryString,
     Term,
     Wildcard,
+    build_index,
     contains,
     explain,
     extract,
@@ -332,3 +335,44 @@ def test_highlights_mark_what_matched(books):
     query = QueryString(("title",), "summary:moon | (tides knots) -(gardens boats)")
     assert marked(books, query, "summary") == {5: "tables of <em>moon</em> and wind; shore and small boats"}
     assert marked(books, query, "title") == {2: "<em>Knots</em>: Hitches, Bends and Splices", 5: "Small Guide to <em>Tides</em>"}
+
+
+def test_batch_wildcards_equal_trying_every_term(spark, books):
+    """Patterns with whole grams, with short parts only, with none, with signs of LIKE, and null."""
+    import fnmatch
+
+    patterns = ["*int*", "gui?e", "*oat*s", "*", "?", "a*", "*xyz*", "wi*", "*o*", "t??es", "100%", "g_ide", "boats", "*rdens", "", None, "*in*er"]
+    queries = spark.createDataFrame(list(enumerate(patterns)), "query_id bigint, text string")
+    got = {}
+    for r in hits(books, Wildcard("title", F.col("text")), queries).collect():
+        got.setdefault(r["query_id"], set()).add(r["_id"])
+    want = {}
+    for n, pattern in enumerate(patterns):
+        if pattern is None:
+            continue
+        held = {i for i, said in shelf.field_words("title").items() if any(fnmatch.fnmatchcase(word, pattern) for word in said)}
+        if held:
+            want[n] = held
+    assert got == want and len(want) == 12
+
+
+def test_batches_by_type_and_with_source(spark, books):
+    typed = Mapping((FieldSpec("title"), FieldSpec("summary")), "_id", type_column="publisher")
+    index = build_index(spark, "typed_books", spark.createDataFrame(shelf.ROWS, shelf.SCHEMA), typed, shards=2)
+    queries = spark.createDataFrame([(7, "boats guide"), (8, "moon"), (9, "boats guide")], "q long, text string")
+    found = search_many(index, queries, Match("summary", F.col("text")), id_column="q", doc_type="harbour", source=["title", "num_reviews"])
+    assert found.columns == ["q", "rank", "_id", "score", "title", "num_reviews"]
+    want = [(i, s) for i, s in ranked(match("summary", "boats guide")) if i in (2, 3, 4)]
+    title = {row[0]: (row[1], row[5]) for row in shelf.ROWS}
+    for q in (7, 9):
+        rows = [tuple(r) for r in found.where(F.col("q") == q).orderBy("rank").collect()]
+        assert [(r[2], round(r[3], 4)) for r in rows] == want and all(r[4:] == title[r[2]] for r in rows)
+    assert found.where("q = 8").count() == 0
+    with pytest.raises(ValueError, match="name of the key"):
+        search_many(index, queries.withColumnRenamed("q", "_id"), Match("summary", F.col("text")), id_column="_id")
+
+
+def test_sorting_a_filter_reads_the_documents_once(books):
+    page = search(books, Term("publisher", "harbour"), sort=[("num_reviews", "desc")], size=2).hits
+    assert page._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [r["_id"] for r in page.collect()] == [3, 4]

@@ -39,7 +39,7 @@ from wordmill.plans.query import (
     boosted,
     field_and_boost,
 )
-from wordmill.sources.store import Index, kept_table
+from wordmill.sources.store import Index, beside, kept_table
 
 
 @dataclass
@@ -318,33 +318,76 @@ def wildcard_hits(batch: Batch, query: Wildcard) -> DataFrame:
         batch.check(query.pattern)
         found = terms.where(F.col("term").like(like_pattern(query.pattern)))
     else:
-        found = _batch_wildcard_terms(batch, query, terms)
+        found = _batch_wildcard_terms(batch, query, terms, spec.name)
     hits = meet_postings(index, found, measure(found), [], [spec.name])
     # a document may hold several of the terms
     return hits.groupBy(*batch.keys, index.key).agg(F.max(F.lit(1.0)).alias("score"))
 
 
+#: Letters of a stored gram.
 GRAM = 3
 
 
-def _batch_wildcard_terms(batch: Batch, query: Wildcard, terms: DataFrame) -> DataFrame:
-    """Dictionary terms for many patterns: an equality join on the first letters of the
-    pattern's longest literal part, then the pattern itself."""
+def _grams(text: Column, size: int) -> Column:
+    """The distinct runs of `size` letters of a text."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    runs = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
+    return F.when(F.length(text) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+
+def gram_table(index: Index, name: str) -> DataFrame:
+    """`gram`, `term`, `df` for every gram of the dictionary of a field; made when first asked for."""
+
+    def rows() -> DataFrame:
+        terms = index.terms.where(F.col("field") == name)
+        return terms.select(F.explode(_grams(F.col("term"), GRAM)).alias("gram"), "term", "df")
+
+    return beside(index, f"grams_{_number(index, name)}", rows, "gram")
+
+
+def gram_counts(index: Index, name: str) -> DataFrame:
+    """`gram` and `n`, the number of dictionary terms that hold it."""
+    table = gram_table(index, name)
+    kind = f"grams_{_number(index, name)}_counts"
+    return beside(index, kind, lambda: table.groupBy("gram").agg(F.count("*").alias("n")), "gram")
+
+
+def _number(index: Index, name: str) -> int:
+    return [spec.name for spec in index.mapping.text_fields].index(name)
+
+
+def _batch_wildcard_terms(batch: Batch, query: Wildcard, terms: DataFrame, name: str) -> DataFrame:
+    """Dictionary terms for many patterns. A pattern meets the terms that hold its rarest gram, by
+    equality, and is then tried on them; one without a whole gram is tried on the terms that hold
+    its longest part, whose beginnings are made on the way."""
+    index, keys = batch.index, batch.keys
     pattern = query.pattern if isinstance(query.pattern, Column) else F.lit(query.pattern)
-    asked = batch.rows.select(*batch.keys, pattern.alias("_pattern"))
-    literals = F.split("_pattern", "[*?]+")
-    longest = F.array_max(F.transform(literals, lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))
-    asked = asked.withColumn("_gram", F.substring(longest["p"], 1, GRAM))
-    like = F.regexp_replace("_pattern", r"([%_\\])", r"\\$1")
-    asked = asked.withColumn("_like", F.translate(like, "*?", "%_"))
-    # patterns without any letter match every term: the empty gram
-    sizes = F.sequence(F.lit(1), F.lit(GRAM))
-    starts = F.sequence(F.lit(1), F.length("term"))
-    grams = F.flatten(
-        F.transform(starts, lambda i: F.transform(sizes, lambda n: F.substring(F.col("term"), i, n)))
+    like = F.translate(F.regexp_replace("_pattern", r"([%_\\])", r"\\$1"), "*?", "%_")
+    parts = F.filter(F.split("_pattern", "[*?]+"), lambda p: F.length(p) >= GRAM)
+    asked = batch.rows.select(*keys, pattern.alias("_pattern")).where("_pattern IS NOT NULL")
+    asked = asked.select(
+        *keys, "_pattern", like.alias("_like"), F.flatten(F.transform(parts, lambda p: _grams(p, GRAM))).alias("_grams")
     )
-    held = terms.withColumn("_gram", F.explode(F.array_append(F.array_distinct(grams), F.lit(""))))
-    return held.join(small(asked, measure(asked)), "_gram").where("term LIKE _like").select(*batch.keys, "field", "term", "df")
+    # read in every step
+    asked = kept_table(index, asked)
+    count, short = asked.agg(row_units(asked), F.count_if(F.size("_grams") == 0)).first()
+    whole = asked.select(*keys, "_like", F.explode("_grams").alias("gram"))
+    grams = measure(whole)
+    counts = gram_counts(index, name).join(small(whole.select("gram").distinct(), grams), "gram")
+    # a gram that no term holds is the rarest of all
+    rarest = F.min_by("gram", F.coalesce("n", F.lit(0)))
+    chosen = whole.join(small(counts, grams), "gram", "left").groupBy(*keys, "_like").agg(rarest.alias("gram"))
+    met = gram_table(index, name).join(small(chosen, count or 0), "gram").where("term LIKE _like")
+    found = met.select(*keys, F.lit(name).alias("field"), "term", "df")
+    if not short:
+        return found
+    # the longest part of a short pattern, or none at all: the empty gram
+    longest = F.array_max(F.transform(F.split("_pattern", "[*?]+"), lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))))
+    brief = asked.where(F.size("_grams") == 0).select(*keys, "_like", longest["p"].alias("gram"))
+    runs = F.concat(F.array(F.lit("")), *(_grams(F.col("term"), n) for n in range(1, GRAM)))
+    held = terms.withColumn("gram", F.explode(runs))
+    met = held.join(small(brief, count or 0), "gram").where("term LIKE _like")
+    return found.unionByName(met.select(*keys, "field", "term", "df"))
 
 
 # ---- phrase prefix -----------------------------------------------------------------

@@ -229,19 +229,32 @@ def search(
     `source` names the document columns to return. With `digits`, scores are rounded
     before they are ranked. Totals count all matches, before paging and `min_score`.
     """
-    found = _of_type(index, hits(index, query), doc_type)
+    order = ranking(index.key)
+    # a query about document columns is a filter: its hits have the columns to sort by already
+    on_docs = _document_filter(index, query) if sort else None
+    columns, by = _sort_columns(sort)
+    if on_docs is not None:
+        docs = index.docs.where(on_docs.matched)
+        if doc_type is not None:
+            docs = docs.where(F.col(index.mapping.type_column) == doc_type)
+        found = docs.select(index.key, on_docs.score.alias("score"), *columns)
+    else:
+        found = _of_type(index, hits(index, query), doc_type)
     if digits is not None:
         found = found.withColumn("score", F.round("score", digits))
     wanted = found if min_score is None else found.where(F.col("score") >= min_score)
-    order = ranking(index.key)
     if sort:
-        wanted, order = _sort_columns(index, wanted, sort)
+        order = [*by, F.col(index.key).asc()]
+        if on_docs is None:
+            # both sides lie in the buckets of the key
+            wanted = wanted.join(index.docs.select(index.key, *columns).hint("merge"), index.key)
     page = wanted.orderBy(*order)
     page = page.offset(offset).limit(size) if offset else page.limit(size)
     if source is None:
         page = page.select(index.key, "score")
     else:
         page = _with_source(index, page, source, size, order)
+    found = found.select(index.key, "score")
     return SearchResult(page, totals(found), found)
 
 
@@ -257,16 +270,14 @@ def _of_type(index: Index, found: DataFrame, doc_type: str | None) -> DataFrame:
     return found.join(of_type.hint("shuffle_hash"), index.key, "left_semi")
 
 
-def _sort_columns(index: Index, found: DataFrame, sort: Sequence[tuple[str, str]]):
-    """Hits with the document columns to sort by, and the order."""
+def _sort_columns(sort: Sequence[tuple[str, str]]) -> tuple[list[Column], list[Column]]:
+    """The document columns to sort by, under names of their own, and the order."""
     columns = [F.col(name).alias(f"_sort{n}") for n, (name, _) in enumerate(sort)]
     order = []
     for n, (_, direction) in enumerate(sort):
         column = F.col(f"_sort{n}")
         order.append(column.desc_nulls_last() if direction == "desc" else column.asc_nulls_last())
-    documents = index.docs.select(index.key, *columns)
-    # both sides lie in the buckets of the key
-    return found.join(documents.hint("merge"), index.key), [*order, F.col(index.key).asc()]
+    return columns, order
 
 
 def _with_source(index: Index, page: DataFrame, source: Sequence[str], size: int, order: list[Column]) -> DataFrame:
@@ -310,13 +321,20 @@ def search_many(
     id_column: str = "query_id",
     digits: int | None = None,
     prune: bool | None = None,
+    doc_type: str | None = None,
+    source: Sequence[str] | None = None,
 ) -> DataFrame:
     """Answer a DataFrame of queries in one job: query id, `rank`, the key, `score`.
 
     `query` is the template, with Columns of `queries` as texts. Equal queries are
     answered once. For match queries `prune` says whether only documents that can reach the
-    page are scored in full (`topk`); by default the number of postings decides.
+    page are scored in full (`topk`); by default the number of postings decides. `doc_type` keeps
+    documents of one type (every document that matches is scored then); `source` adds columns.
     """
+    if id_column == index.key:
+        raise ValueError(f"the id of the queries has the name of the key, {index.key!r}: rename it")
+    if doc_type is not None and prune:
+        raise ValueError("the floor of a query is that of all types: prune without doc_type")
     texts = [c for c in queries.columns if c != id_column]
     # the ids of equal queries; an aggregate, so copies are reduced before the shuffle
     groups = queries.groupBy(*texts).agg(F.min(id_column).alias("_first"))
@@ -324,9 +342,11 @@ def search_many(
     if prunable(index, query):
         # scores that are equal when rounded are ties
         slack = 10.0 ** -min(RANK_DIGITS, RANK_DIGITS if digits is None else digits)
-        found = BestMatches(index, query, distinct, id_column, offset + size, slack).hits(prune)
+        found = BestMatches(index, query, distinct, id_column, offset + size, slack)
+        found = found.hits(prune if doc_type is None else False)
     else:
         found = hits(index, query, distinct, id_column)
+    found = _of_type(index, found, doc_type)
     if digits is not None:
         found = found.withColumn("score", F.round("score", digits))
     if min_score is not None:
@@ -337,4 +357,10 @@ def search_many(
     same = [queries[c].eqNullSafe(groups[c]) for c in texts]
     members = queries.join(groups, reduce(Column.__and__, same)).select(queries[id_column], "_first")
     answers = ranked.withColumnRenamed(id_column, "_first")
-    return answers.join(members, "_first").select(id_column, "rank", index.key, "score")
+    answers = answers.join(members, "_first").select(id_column, "rank", index.key, "score")
+    if source is None:
+        return answers
+    names = [c for c in (index.docs.columns if list(source) == ["*"] else source) if c != index.key]
+    docs = index.docs.select(index.key, *[F.col(c).alias(f"_source{n}") for n, c in enumerate(names)])
+    shown = [F.col(f"_source{n}").alias(c) for n, c in enumerate(names)]
+    return answers.join(docs, index.key).select(id_column, "rank", index.key, "score", *shown)

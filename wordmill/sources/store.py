@@ -408,6 +408,6 @@ def _publish(index: Index) -> None:
 
 def _drop(index: Index, version: int) -> None:
     stem = f"{index.name}_v{version}"
-    derived = index.spark.sql(f"SHOW TABLES IN {index.database} LIKE '{stem}_near_*'").collect()
+    derived = index.spark.sql(f"SHOW TABLES IN {index.database} LIKE '{stem}_near_*|{stem}_grams_*'").collect()
     for name in [*(f"{stem}_{kind}" for kind in TABLES), *(row["tableName"] for row in derived)]:
         index.spark.sql(f"DROP TABLE IF EXISTS {index.database}.{name}")
