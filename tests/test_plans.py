@@ -180,3 +180,48 @@ def test_copies_of_a_query_are_answered_once(index):
 
 def test_top_k_is_limited_before_the_shuffle(index):
     assert "WindowGroupLimit" in plan(search_many(index, queries(index), Match("text", F.col("text")), size=2))
+
+
+def test_only_probes_move_to_the_neighbours(index, monkeypatch):
+    """The stored deletions stay in their buckets; with many probes those are shuffled to them."""
+    from wordmill.operators import suggest
+
+    rule = suggest.Spelling()
+    probes = index.spark.range(10).select(F.lit("text").alias("field"), F.lit("hott").alias("token"), F.col("id").alias("near"))
+    text = plan(suggest.joined(index, "text", probes, suggest.BROADCAST_ROWS + 1, rule))
+    assert "Bucketed: true" in text and text.count("Exchange hashpartitioning(near") == 1
+    assert "ShuffledHashJoin" in text and "Sort" not in text
+    few = plan(suggest.joined(index, "text", probes, 10, rule))
+    assert "BroadcastHashJoin" in few and "Exchange hashpartitioning" not in few
+
+
+def test_prefixes_are_dealt_with_their_documents(index):
+    """Postings under a prefix move by prefix and document; by the prefix alone only one row a prefix
+    and task moves."""
+    queries = index.spark.createDataFrame([(1, "hot w"), (2, "hot v1")], "query_id bigint, text string")
+    text = plan(hits(index, PhrasePrefix(("text",), F.col("text")), queries))
+    lines = [line.strip() for line in text.splitlines()]
+    moved = [n for n, line in enumerate(lines) if "Exchange hashpartitioning(token" in line]
+    alone = [n for n in moved if "doc_id" not in lines[n].split("hashpartitioning(")[1].split(")")[0]]
+    assert len(moved) > len(alone)
+    assert all("HashAggregate(keys=[token" in lines[n + 1] for n in alone)
+
+
+def test_whole_grams_explode_no_dictionary(index):
+    """Patterns with three letters in a row meet the stored grams; the dictionary is not read."""
+    queries = index.spark.createDataFrame([(1, "*hot*"), (2, "ho?"), (3, "w1*")], "query_id bigint, text string")
+    whole = plan(hits(index, Wildcard("text", F.col("text")), queries.where("query_id = 1")))
+    mixed = plan(hits(index, Wildcard("text", F.col("text")), queries))
+    assert "_terms[" not in whole and "_grams_" in whole
+    assert "_terms[" in mixed
+    found = {(r["query_id"], r["doc_id"]) for r in hits(index, Wildcard("text", F.col("text")), queries).collect()}
+    assert {q for q, _ in found} == {1, 2, 3} and len([q for q, _ in found if q == 1]) == 2000
+
+
+def test_only_survivors_are_scored(index):
+    """A pruned batch reads the postings of documents that can reach the page, in their buckets."""
+    queries = index.spark.createDataFrame([(n, f"hot w{n}") for n in range(20)], "query_id bigint, text string")
+    found = search_many(index, queries, Match("text", F.col("text")), size=3, prune=True)
+    assert {r["query_id"] for r in found.collect()} == set(range(20))
+    text = plan(found)
+    assert "ShuffledHashJoin [doc_id" in text
