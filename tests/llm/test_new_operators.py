@@ -208,3 +208,16 @@ def test_collocations_of_nothing(spark):
 
 def test_vocabulary_is_a_parameter():
     assert public_tokenizers.path("piece_bpe_32k.model") == PIECES
+
+
+def test_an_open_drawing_does_not_hide_the_page():
+    from wordmill.llm.html import leaf_blocks
+
+    def texts(page):
+        return [block.text for block in leaf_blocks(page)]
+
+    page = "<article><p>one</p><svg><path/><g><text>label</text><p>two</p><p>three</p></article>"
+    assert texts(page) == ["one", "two", "three"]
+    assert texts("<p>a</p><math><mi>x</mi><div>b</div><SVG><rect/></SVG><p>c") == ["a", "b", "c"]
+    assert texts("<p>a</p><svg><title>t</title><path d='<p>'/></svg>tail<p>b</p>")[0] == "a"
+    assert texts("<p>a</p><script>if (x) { '<p>no</p>' }</script><p>b</p><script><p>open") == ["a", "b"]

@@ -52,6 +52,13 @@ INLINE = set(
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_ELEMENTS = set("head script style noscript template svg math iframe object select textarea title".split())
+# Start tags that end foreign content (HTML standard, parsing of foreign content).
+FOREIGN = {"svg", "math"}
+ENDS_FOREIGN = (
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var"
+).split()
+_ENDS_FOREIGN = rf"|<(?:{'|'.join(ENDS_FOREIGN)})(?=[\s/>])"
 ENDS = {"li": {"li"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 ENDS |= {"dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 ENDS |= {name: {"p"} for name in "div ul ol table section article aside nav footer header form h1 h2 h3 h4".split()}
@@ -130,13 +137,14 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         flush()
         if name in HIDDEN_ELEMENTS and not found[0].endswith("/>"):
-            close = re.compile(rf"</{re.escape(name)}\s*>" + (r"|<body\b" if name == "head" else ""), re.I)
-            over = close.search(page, end)
+            # the body ends an open head, and an ordinary start tag a drawing or a formula
+            more = r"|<body\b" if name == "head" else _ENDS_FOREIGN if name in FOREIGN else ""
+            over = re.compile(rf"</{re.escape(name)}\s*>{more}", re.I).search(page, end)
             if over is None:
                 if name != "head":
                     break
             else:
-                end = over.start() if over[0].lower().startswith("<body") else over.end()
+                end = over.end() if over[0].startswith("</") else over.start()
             continue
         if name in VOID or found[0].endswith("/>"):
             continue
