@@ -135,7 +135,9 @@ def highlight(
     spec, key = index.mapping.field(field), index.key
     marks = _marks(index, query, field)
     docs = index.docs.select(key, F.expr(spec.expression).alias("_text"))
-    wanted = docs.join(found.select(key).hint("shuffle_hash"), key, "left_semi")
+    # keys move to the buckets of the documents: texts stay there, a shard in each task
+    ids = found.select(key).repartition(index.shards, key)
+    wanted = docs.join(ids.hint("shuffle_hash"), key, "left_semi")
     if isinstance(docs.schema["_text"].dataType, T.ArrayType):
         texts = F.filter("_text", lambda e: e.isNotNull())
         wanted = wanted.select(key, F.posexplode(texts).alias("element", "_text"))
