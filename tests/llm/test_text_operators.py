@@ -334,3 +334,23 @@ def test_lattice_is_the_sum_over_all_cuts():
     uses = lattice.expected(tool, tool.first_weights, pa.array(texts), counts)
     assert np.isclose(sum(len(t) * u for t, u in zip(tool.texts, uses, strict=True)), sum(c * (len(t.encode()) + 1) for t, c in zip(texts, counts, strict=True)))
     assert pd.notna(found).all()
+
+
+def test_lattice_uses_every_piece():
+    """Pieces of any length stand in the lattice: a word that is one long piece is found as that."""
+    import sentencepiece
+
+    from wordmill.llm import lattice
+    from wordmill.llm.queries import PIECES
+
+    tool = lattice.vocabulary(PIECES)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    kinds = (model.is_control, model.is_unknown, model.is_byte)
+    plain = [model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size()) if not any(k(i) for k in kinds)]
+    plain = {t for t in plain if b" " not in t[1:]}
+    assert plain <= set(tool.texts) and max(map(len, plain)) > 16
+    long = [t for t in plain if len(t) > 16 and t[:1] == b" "]
+    weights = np.full(tool.count, -1000.0)
+    weights[[tool.texts.index(t) for t in long]] = -1.0
+    found = lattice.forward(tool, weights, pa.array([t[1:].decode() for t in long]))
+    assert np.allclose(found, -1.0)

@@ -38,8 +38,8 @@ from wordmill.llm.common import (
 
 #: Words that the tasks look up without a join, at most (some 40 MB).
 FREQUENT = 1 << 20
-#: Bytes of the longest piece that is used.
-LONGEST = 16
+#: Bytes of the longest piece; a vocabulary with a longer one is refused.
+LONGEST = 64
 #: Added to the expected count of every piece.
 SMOOTHING = 0.1
 #: Rounds of expected counts.
@@ -61,8 +61,10 @@ class Pieces:
                 continue
             text = model.id_to_piece(i).replace("▁", " ").encode()
             # a blank stands only at the start of a word
-            if len(text) > LONGEST or b" " in text[1:]:
+            if b" " in text[1:]:
                 continue
+            if len(text) > LONGEST:
+                raise ValueError(f"a piece of {len(text)} bytes: raise lattice.LONGEST")
             if text in known:
                 scores[known[text]] = model.get_score(i)
             else:
@@ -71,6 +73,8 @@ class Pieces:
                 scores.append(model.get_score(i))
         self.texts = texts
         self.count = len(texts)
+        #: Lengths that occur, in bytes.
+        self.lengths = np.unique([len(t) for t in texts])
         # the scores rank the pieces; a rank gives a weight by the law of Zipf
         order = np.argsort(np.argsort(-np.array(scores), kind="stable"), kind="stable")
         weight = 1 / (order + 2.7)
@@ -126,7 +130,7 @@ def _length_groups(sizes: np.ndarray) -> Iterator[np.ndarray]:
     level = np.ceil(np.log2(np.maximum(sizes, 8))).astype(int)
     for k in np.unique(level):
         own = np.flatnonzero(level == k)
-        step = max(1, (8 << 20) >> int(k) >> 2)
+        step = max(1, (8 << 20) >> int(k) >> 3)
         for a in range(0, len(own), step):
             yield own[a : a + step]
 
@@ -138,16 +142,20 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
         return safe + np.log(np.exp(x - safe).sum(axis=0))
 
 
-def _arcs(tool: Pieces, data: np.ndarray, starts: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
-    """Pieces by length and place, [length - 1, word, place], -1 where there is none."""
+def _arcs(
+    tool: Pieces, data: np.ndarray, starts: np.ndarray, size: int, sizes: np.ndarray
+) -> list[tuple[int, np.ndarray]]:
+    """Lengths that fit, rising, with the pieces by [word, place], -1 where there is none."""
     prefix = prefix_hash(data)
-    long = min(LONGEST, size)
     place = starts[:, None] + np.arange(size)
-    out = np.full((long, len(starts), size), -1, np.int32)
-    for n in range(1, long + 1):
+    out = []
+    for n in tool.lengths[tool.lengths <= size].tolist():
+        ids = np.full((len(starts), size), -1, np.int32)
         fit = np.arange(size) + n <= sizes[:, None]
         at = place[fit]
-        out[n - 1][fit] = tool.find(span_hash(prefix, at, at + n))
+        ids[fit] = tool.find(span_hash(prefix, at, at + n))
+        if n == 1 or (ids >= 0).any():
+            out.append((n, ids))
     return out
 
 
@@ -169,8 +177,7 @@ def _ahead(tool: Pieces, table: np.ndarray, data: np.ndarray, starts: np.ndarray
     alpha = np.full((size + 1, len(starts)), -np.inf)
     alpha[0] = 0
     for end in range(1, size + 1):
-        long = min(end, len(arcs))
-        alpha[end] = _log_sum(np.stack([alpha[end - n] + table[arcs[n - 1, :, end - n]] for n in range(1, long + 1)]))
+        alpha[end] = _log_sum(np.stack([alpha[end - n] + table[ids[:, end - n]] for n, ids in arcs if n <= end]))
     return alpha, arcs
 
 
@@ -186,12 +193,12 @@ def expected(tool: Pieces, weights: np.ndarray, texts: pa.Array, counts: np.ndar
         beta = np.full_like(alpha, -np.inf)
         beta[sizes[own], np.arange(len(own))] = 0
         for start in range(size - 1, -1, -1):
-            long = min(len(arcs), size - start)
-            found = _log_sum(np.stack([beta[start + n] + table[arcs[n - 1, :, start]] for n in range(1, long + 1)]))
+            ways = [beta[start + n] + table[ids[:, start]] for n, ids in arcs if n <= size - start]
+            found = _log_sum(np.stack(ways))
             beta[start] = np.where(start < sizes[own], found, beta[start])
         whole = alpha[sizes[own], np.arange(len(own))]
-        for n in range(1, len(arcs) + 1):
-            ids = arcs[n - 1, :, : size - n + 1]
+        for n, ids in arcs:
+            ids = ids[:, : size - n + 1]
             log = alpha[: size - n + 1].T + table[ids] + beta[n:].T - whole[:, None]
             use = (np.exp(log) * counts[own, None]).ravel()
             total += np.bincount(np.where(ids < 0, tool.count, ids).ravel(), weights=use, minlength=tool.count + 1)
