@@ -3,7 +3,21 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wordmill import FieldSpec, Mapping, Match, build_index, create_index, highlight, hits, index_all, open_index, requests, suggest
+from wordmill import (
+    FieldSpec,
+    Mapping,
+    Match,
+    QueryString,
+    build_index,
+    create_index,
+    highlight,
+    hits,
+    index_all,
+    open_index,
+    requests,
+    suggest,
+)
+from wordmill.operators import clauses
 from wordmill.operators import suggest as suggesting
 from wordmill.sources import store
 
@@ -58,3 +72,15 @@ def test_few_words_need_no_table_of_neighbours(spark, monkeypatch, same_first):
     assert not spark.sql(f"SHOW TABLES IN {index.database} LIKE '*{index.name}*near*'").collect()
     monkeypatch.setattr(suggesting, "FEW_WORDS", 0)
     assert direct and direct == sorted(map(tuple, suggest(index, asked, spelling=rule).collect()))
+
+
+def test_rows_of_query_strings_stay_with_the_documents(spark, monkeypatch):
+    """Where the queries are few, what they find in the documents is folded without a shuffle."""
+    index = build_index(spark, "folded", texts(spark, 0, 50), TEXT, shards=3)
+    asked = spark.createDataFrame([(k, f"+(w{k} | w{k + 1}) -w7 some") for k in range(9)], "query_id bigint, q string")
+    found = hits(index, QueryString(("text",), F.col("q")), asked)
+    got = sorted((r["query_id"], r["id"]) for r in found.collect())
+    assert got == [(k, d) for k in range(9) for d in (k, k + 1) if d != 7]
+    assert "SortMergeJoin" not in plan(found)
+    monkeypatch.setattr(clauses, "small", lambda df, rows: df.hint("merge"))
+    assert got == sorted((r["query_id"], r["id"]) for r in hits(index, QueryString(("text",), F.col("q")), asked).collect())
