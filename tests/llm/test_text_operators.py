@@ -354,3 +354,41 @@ def test_lattice_uses_every_piece():
     weights[[tool.texts.index(t) for t in long]] = -1.0
     found = lattice.forward(tool, weights, pa.array([t[1:].decode() for t in long]))
     assert np.allclose(found, -1.0)
+
+
+def test_the_forest_counts_all_rows(spark):
+    rng = np.random.default_rng(3)
+    x = rng.random((500, 9))
+    feature, split = quality.planted(x.min(axis=0), x.max(axis=0), trees=5, levels=4)
+    counts = np.bincount(quality.leaves(feature, split, x).ravel(), minlength=5 * 16)
+    assert counts.sum() == 5 * 500
+    forest = quality.grown(feature, split, counts)
+    # every row by hand: down to a node of one row at most, or the last level
+    own = np.zeros(500)
+    for tree in range(5):
+        for k in range(500):
+            rows, node, level = np.arange(500), 0, 0
+            while level < 4 and len(rows) > 1:
+                right = x[rows, feature[tree, node]] >= split[tree, node]
+                side = bool(x[k, feature[tree, node]] >= split[tree, node])
+                rows, node, level = rows[right == side], 2 * node + 1 + side, level + 1
+            own[k] += level + quality._mean_depth(len(rows))
+    assert np.allclose(forest.score(x), np.exp2(-own / 5 / quality._mean_depth(500)))
+
+
+def test_the_threshold_is_that_of_all_rows(spark):
+    rng = np.random.default_rng(4)
+    values = sorted([*rng.random(300).tolist(), *[0.5] * 40, 1.0, *(0.3 + rng.random(50) * 1e-12).tolist()])
+    scores = spark.createDataFrame([(v,) for v in values], "score double")
+    for k in (0, 1, 120, 200, len(values) - 1):
+        assert quality.kth(scores, k) == values[k]
+
+
+def test_every_label_counts(spark):
+    """The forest of a table is that of its rows in any number: labels past the first thousands change it."""
+    texts = [(k, " ".join(f"w{(k * 7 + j) % 97}" for j in range(60 + k % 50))) for k in range(9000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    forest = quality.fit(docs, labels)
+    halves = docs.selectExpr("pmod(xxhash64(doc_id), 2L) AS odd").where("odd = 0").count()
+    assert forest.unit == quality._mean_depth(halves) and halves > 4100
