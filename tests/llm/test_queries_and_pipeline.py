@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_lattice": "doc_id held_out n_tokens n_known train_tokens base_score score",
     "op9_suffix": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10_decontam": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op11_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12_counts": "doc_id n_bytes n_tokens over_limit",
+    "op13_collocations": "lang rank phrase a l r n score",
 }
 
 
@@ -30,7 +33,7 @@ def test_all_are_registered():
 def test_rows(spark, folder, name):
     found = queries.QUERIES[name](spark, folder)
     assert found.columns == COLUMNS[name].split()
-    if name != "op6_chaining":
+    if name not in ("op6_chaining", "op13_collocations"):
         source = "pages" if name == "op1_html" else "documents"
         assert found.count() == spark.read.parquet(f"{folder}/{source}.parquet").count()
     else:
