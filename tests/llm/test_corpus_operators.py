@@ -69,6 +69,30 @@ def test_many_unrelated_documents_in_one_region(spark):
     assert sorted(map(tuple, jaccard.join(frame).collect()), key=repr) == plain.components(docs)
 
 
+def test_near_copies_are_not_compared_in_all_pairs(spark, monkeypatch):
+    """Copies about as far from each other as the radius: what links join is not measured again."""
+    random.seed(4)
+    base = [f"b{k}" for k in range(150)]
+    docs = []
+    for k in range(240):
+        own = list(base)
+        for _ in range(random.randint(1, 4)):
+            own[random.randrange(150)] = f"x{random.randrange(10**6)}"
+        docs.append((k, " ".join(own)))
+    measured = []
+
+    def counted(frame, folder, plainly=jaccard.written):
+        out = plainly(frame, folder)
+        if "/pairs" in folder:
+            measured.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.join(frame).collect()), key=repr) == plain.components(docs)
+    assert sum(measured) < 12 * len(docs)
+
+
 def repeating_docs():
     random.seed(5)
     parts = ["".join(random.choice("abcdeé \n") for _ in range(random.choice([60, 99, 100, 101, 130, 300]))) for _ in range(12)]
