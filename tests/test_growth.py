@@ -8,6 +8,7 @@ from wordmill import (
     Mapping,
     Match,
     QueryString,
+    Wildcard,
     build_index,
     create_index,
     highlight,
@@ -15,6 +16,7 @@ from wordmill import (
     index_all,
     open_index,
     requests,
+    search_many,
     suggest,
 )
 from wordmill.operators import clauses
@@ -84,3 +86,27 @@ def test_rows_of_query_strings_stay_with_the_documents(spark, monkeypatch):
     assert "SortMergeJoin" not in plan(found)
     monkeypatch.setattr(clauses, "small", lambda df, rows: df.hint("merge"))
     assert got == sorted((r["query_id"], r["id"]) for r in hits(index, QueryString(("text",), F.col("q")), asked).collect())
+
+
+def test_pages_of_wildcards_need_few_postings(spark, monkeypatch):
+    """What a pattern finds is not all met when its first documents are asked; pages are those of all hits."""
+    rows = spark.range(0, 60).selectExpr("id", "concat('common w', id, ' x', id % 7, if(id > 40, ' late', '')) AS text")
+    index = build_index(spark, "first_wildcards", rows, TEXT, shards=3)
+    patterns = ["*w*", "*w5*", "*m*", "late", "*x3*", "w?", "*", "*nosuch*", "*ate*", "x?"]
+    asked = spark.createDataFrame([(k, p) for k, p in enumerate([*patterns, "*w*", None])], "query_id bigint, q string")
+    query = Wildcard("text", F.col("q"))
+    every = {}
+    for row in hits(index, query, asked).collect():
+        every.setdefault(row["query_id"], []).append(row["id"])
+    met = []
+    whole = clauses.meet_postings
+    monkeypatch.setattr(clauses, "meet_postings", lambda *a, **k: met.append(a[1].count()) or whole(*a, **k))
+    for offset, size in ((0, 4), (3, 5), (0, 100)):
+        found = search_many(index, asked, query, offset=offset, size=size).orderBy("query_id", "rank").collect()
+        got = {}
+        for row in found:
+            assert row["score"] == 1.0
+            got.setdefault(row["query_id"], []).append(row["id"])
+        want = {k: sorted(v)[offset : offset + size] for k, v in every.items()}
+        assert got == {k: v for k, v in want.items() if v}
+    assert met[0] < met[1] < met[2]
