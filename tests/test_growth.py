@@ -1,14 +1,18 @@
 """Work that must not grow faster than the tables."""
 
+import tempfile
+
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import queries
 from wordmill import (
     FieldSpec,
     Mapping,
     Match,
     QueryString,
     Wildcard,
+    analyze_stages,
     build_index,
     create_index,
     highlight,
@@ -110,3 +114,17 @@ def test_pages_of_wildcards_need_few_postings(spark, monkeypatch):
         want = {k: sorted(v)[offset : offset + size] for k, v in every.items()}
         assert got == {k: v for k, v in want.items() if v}
     assert met[0] < met[1] < met[2]
+
+
+def test_equal_words_pass_a_chain_once(spark):
+    """The stages of all words, counted, equal those of the words one by one."""
+    rows = spark.createDataFrame([(1, "Ties were things, the ties"), (2, "thing Thing O'Neil 3.14"), (3, None)], "doc_id long, text string")
+    stages = analyze_stages(rows, "text", queries.SAMPLE_CHAIN, ["doc_id"])
+    want = stages.groupBy("stage_no", "stage", "token").agg(F.count("*"), F.sum("position")).collect()
+    folder = tempfile.mkdtemp()
+    rows.write.parquet(f"{folder}/documents.parquet")
+    found = queries.analyze_explain(spark, folder)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want))
+    # the stages are listed from rows that were grouped before
+    text = plan(found)
+    assert text.index("Generate inline") < text.index("partial_count")
