@@ -1,5 +1,6 @@
 """Operators that look at one document at a time, against plain code."""
 
+import gc
 import hashlib
 import random
 
@@ -49,6 +50,32 @@ def test_bpe_tables_may_be_emptied(monkeypatch, library):
         assert codec.encode(text)[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_tables_are_no_work_for_the_collector(library):
+    """What a worker keeps of hundreds of thousands of words is passed over when garbage is looked for."""
+    codec = bpe.Codec(BYTE_BPE)
+    for text in texts_of_all_kinds()[:500]:
+        codec.encode(text)
+    gc.collect()
+    assert codec._units and not any(map(gc.is_tracked, codec._units.values()))
+    assert codec._pieces and not any(map(gc.is_tracked, codec._pieces.values()))
+
+
+def test_bpe_goes_back_like_the_library(library):
+    """Pieces whose longest tokens do not fit, from tokens put side by side."""
+    random.seed(5)
+    codec = bpe.Codec(BYTE_BPE)
+    short = sorted(t for t in codec.ids if len(t) < 6 and t.isascii() and t.isalpha())
+    back = 0
+    for _ in range(3000):
+        text = "".join(random.choice(short) for _ in range(random.randint(2, 6)))
+        assert codec.encode(text)[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        token = codec._longest(text, 0)
+        shorter = [codec.ids[text[:n]] for n in range(codec._size[token] - 1, 0, -1) if text[:n] in codec.ids]
+        assert codec._shorter[token] == (shorter[0] if shorter else None)
+        back += len(shorter) > 0
+    assert back
+
+
 def test_bpe_frames(spark, odd_docs, no_docs, library):
     rows = bpe.encode(odd_docs, BYTE_BPE).collect()
     given = odd_docs.collect()

@@ -71,6 +71,10 @@ class Codec:
         for text, i in self.ids.items():
             self._match.add_word(text, i)
         self._match.make_automaton()
+        # the longest token that a token begins with
+        self._shorter: list[int | None] = [None] * len(sizes)
+        for text, i in self.ids.items():
+            self._shorter[i] = next((self.ids[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in self.ids), None)
 
         self._merge: dict[tuple[int, int], int] = {}
         self._parts: dict[int, tuple[int, int, int]] = {}
@@ -81,7 +85,8 @@ class Codec:
             self._parts[vocab[left + right]] = (*parts, rank)
         self._fits: dict[tuple[int, int], bool] = {}
         self._units: dict[str, tuple[bytes, str]] = {}
-        self._pieces: dict[str, list[int]] = {}
+        # tuples of numbers, which the garbage collector passes over
+        self._pieces: dict[str, tuple[int, ...]] = {}
         self._cut = regex.compile(public_tokenizers.PATTERN).findall
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -133,30 +138,41 @@ class Codec:
 
     def _backtrack(self, text: str, taken: list[int]) -> list[int]:
         """Go on after the compatible tokens `taken`, trying shorter tokens where a border fails."""
-        size, known, fits = self._size, self.ids.get, self._fits.get
+        size, fits, shorter = self._size, self._fits.get, self._shorter
         place, end = sum(size[t] for t in taken), len(text)
         dead: set[int] = set()
-        length = self.longest
+        token = self._longest(text, place)
         while place < end:
-            for stop in range(min(place + length, end), place, -1):
-                token = known(text[place:stop])
-                if token is None or stop in dead:
-                    continue
-                if taken:
-                    fit = fits((taken[-1], token))
-                    if fit is None:
-                        fit = self.fits(taken[-1], token)
-                    if not fit:
-                        continue
+            last = taken[-1] if taken else None
+            while token is not None:
+                if place + size[token] not in dead:
+                    if last is None:
+                        break
+                    fit = fits((last, token))
+                    if self.fits(last, token) if fit is None else fit:
+                        break
+                token = shorter[token]
+            if token is not None:
                 taken.append(token)
-                place, length = stop, self.longest
-                break
+                place += size[token]
+                if place < end:
+                    token = self._longest(text, place)
             else:
                 dead.add(place)
-                n = size[taken.pop()]
-                place, length = place - n, n - 1
+                place -= size[taken.pop()]
+                token = shorter[last]
         return taken
 
+    def _longest(self, text: str, place: int) -> int | None:
+        """The longest token at a place."""
+        known = self.ids.get
+        rest = text[place : place + self.longest]
+        for stop in range(self._match.longest_prefix(rest), 0, -1):
+            token = known(rest[:stop])
+            if token is not None:
+                return token
+        return None
+
     def _unit(self, text: str) -> list[int]:
         """The tokens of a unit: special tokens first, then the pieces of what lies between."""
         if self._special and self._special.search(text):
@@ -173,7 +189,7 @@ class Codec:
         for piece in self._cut(text):
             tokens = self._pieces.get(piece)
             if tokens is None:
-                tokens = self._piece(piece.encode().decode("latin-1"))
+                tokens = tuple(self._piece(piece.encode().decode("latin-1")))
                 if len(piece) < 100:
                     if len(self._pieces) >= UNIT_TABLE:
                         self._pieces.clear()
@@ -196,6 +212,8 @@ class Codec:
                     first += " " + u
         known = self._units
         found = list(map(known.get, rest))
+        # a unit that holds a special token stands in a text that does
+        tokens = self._unit if self._special and self._special.search(text) else self._plain
         if None in found:
             for k, (unit, kept) in enumerate(zip(rest, found, strict=True)):
                 if kept is None:
@@ -203,12 +221,12 @@ class Codec:
                     if kept is None:
                         if len(known) >= UNIT_TABLE:
                             known.clear()
-                        kept = self._packed(self._unit(" " + unit))
+                        kept = self._packed(tokens(" " + unit))
                         if len(unit) < 200:
                             known[unit] = kept
                     found[k] = kept
         if first:
-            found.insert(0, self._packed(self._unit(first)))
+            found.insert(0, self._packed(tokens(first)))
         ids = np.frombuffer(b"".join([x[0] for x in found]), dtype="<i4")
         return ids, ",".join([x[1] for x in found])
 
