@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from wordmill.llm import bpe, decontam, html, idcoder, quality, secrets
+from wordmill.llm import bpe, common, decontam, html, idcoder, quality, secrets
 from wordmill.llm.queries import BYTE_BPE
 
 
@@ -60,6 +60,26 @@ def test_bpe_tables_are_no_work_for_the_collector(library):
     assert codec._pieces and not any(map(gc.is_tracked, codec._pieces.values()))
 
 
+def test_workers_let_go_of_the_tables_of_other_operators(spark, odd_docs):
+    """One worker runs the operators of a pipeline one after the other; their tables must not add up."""
+    own = bpe.encoding(BYTE_BPE, "doc_id", "text")
+    codec = bpe.codec(BYTE_BPE)
+    common.powers(1 << 17)
+    common.let_go([own])
+    assert bpe.codec(BYTE_BPE) is codec
+    common.let_go([quality._counting("doc_id", "text")])
+    assert bpe.codec.cache_info().currsize == 0 and len(common._POWER) == 1
+
+    def left(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([bpe.codec.cache_info().currsize] * batch.num_rows)], names=["n"])
+
+    one = odd_docs.coalesce(1)
+    bpe.encode(one, BYTE_BPE).collect()
+    rows = common.fused(one, ["doc_id"], [left], "n long").collect()
+    assert rows and {r.n for r in rows} == {0}
+
+
 def test_bpe_goes_back_like_the_library(library):
     """Pieces whose longest tokens do not fit, from tokens put side by side."""
     random.seed(5)

@@ -12,7 +12,6 @@ a new piece, so texts are first cut there and the units, which recur, are kept i
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -26,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from wordmill.llm.common import Batches, fused, pieces
+from wordmill.llm.common import Batches, fused, kept, pieces
 
 #: Entries of the table of units in a worker; it is emptied when full (memory bound).
 UNIT_TABLE = 300_000
@@ -243,7 +242,7 @@ class Codec:
         return self.blob[np.repeat(starts - ends + sizes, sizes) + np.arange(total)].tobytes()
 
 
-@functools.cache
+@kept
 def codec(path: str) -> Codec:
     """The codec of a file, made once in each worker."""
     return Codec(path)

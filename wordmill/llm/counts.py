@@ -12,7 +12,6 @@ places; the counts of units and of their parts, which recur, are kept in bounded
 
 from __future__ import annotations
 
-import functools
 import re
 from heapq import heapify, heappop, heappush
 
@@ -21,7 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from wordmill.llm.common import Batches, fused, pieces
+from wordmill.llm.common import Batches, fused, kept, pieces
 
 #: Units whose counts a worker keeps during a task; the table is emptied when full (memory bound).
 TABLE_UNITS = 300_000
@@ -156,7 +155,7 @@ class Merger:
             kept.clear()
 
 
-@functools.cache
+@kept
 def merger(path: str) -> Merger:
     """The merger of a file, made once in each worker."""
     return Merger(path)

@@ -15,7 +15,6 @@ block, first id of the block within its file, payload), so that Spark's writers
 
 from __future__ import annotations
 
-import functools
 import os
 import struct
 import zlib
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.bpe import _LOOSE_BLANK
-from wordmill.llm.common import Batches, fused, pieces
+from wordmill.llm.common import Batches, fused, kept, pieces
 
 MAGIC, VERSION = b"IDCM", 1
 #: Ids of a block, apart from its last document, which is never cut.
@@ -376,7 +375,7 @@ class Tokens:
         return np.diff(whole), ids
 
 
-@functools.cache
+@kept
 def tokens(path: str) -> Tokens:
     """The tokenizer of a file, made once in each worker."""
     return Tokens(path)

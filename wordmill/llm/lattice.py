@@ -12,7 +12,6 @@ what is gathered grows with the corpus and nothing unbounded is broadcast.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +26,7 @@ from wordmill.llm.common import (
     Batches,
     fused,
     joined_bytes,
+    kept,
     lowered,
     pieces,
     prefix_hash,
@@ -104,7 +104,7 @@ class Pieces:
         return out
 
 
-@functools.cache
+@kept
 def vocabulary(path: str) -> Pieces:
     """The pieces of a file, read once in each worker."""
     return Pieces(path)
