@@ -26,7 +26,7 @@ from wordmill import (
     search,
     search_many,
 )
-from wordmill.operators import scoring
+from wordmill.operators import clauses, scoring
 from wordmill.sources.store import postings_of
 
 
@@ -225,3 +225,32 @@ def test_only_survivors_are_scored(index):
     assert {r["query_id"] for r in found.collect()} == set(range(20))
     text = plan(found)
     assert "ShuffledHashJoin [doc_id" in text
+
+def test_batches_of_query_strings_fold_sets_of_words(index, monkeypatch):
+    """Each text as it is answered alone: by the columns of its words, by maps, and by both in one batch."""
+    texts = ["+(hot | w1) -v2 w3", "w1 | w2 group:2", "+w1 +group:1", "-hot w1", "(w1 v1) | (w2 v2)", "hot", "w1 w1", "...",
+             "+hot w1 | w2 | w3 | w4 | w5 | w6 | w7 -v1"]
+    query = QueryString(("text", "tail^2", "group"), F.col("text"), default_operator="and")
+    alone = {
+        (n, r.doc_id, round(r.score, 6))
+        for n, text in enumerate(texts)
+        for r in hits(index, QueryString(query.fields, text, default_operator="and")).collect()
+    }
+    assert {n for n, _, _ in alone} >= {0, 1, 4, 5, 6, 8}
+    # two texts with one id are answered one by one, under it
+    asked = [*enumerate(texts), (50, "hot"), (50, "w1 v1")]
+    queries = index.spark.createDataFrame(asked, "query_id int, text string")
+    twice = None
+    for few in (clauses.FEW_WORDS, 2, 0):
+        monkeypatch.setattr(clauses, "FEW_WORDS", few)
+        batch = hits(index, query, queries)
+        if few == 6:
+            # no list of words for every query and document
+            assert "collect_list(struct(word" not in plan(hits(index, query, queries.where("query_id < 8")))
+        found = [(r.query_id, r.doc_id, round(r.score, 6)) for r in batch.collect()]
+        assert {r for r in found if r[0] != 50} == alone
+        own = sorted(r for r in found if r[0] == 50)
+        assert own and own == (twice or own)
+        twice = own
+    none = hits(index, query, queries.where("false"))
+    assert none.collect() == [] and none.columns == batch.columns
