@@ -128,3 +128,29 @@ def test_equal_words_pass_a_chain_once(spark):
     # the stages are listed from rows that were grouped before
     text = plan(found)
     assert text.index("Generate inline") < text.index("partial_count")
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_catch_all_shares_the_tokens_of_a_column(spark, monkeypatch, first):
+    """A text is cut, sorted and grouped once for its own field and for the field of all columns."""
+    rows = [
+        (1, "red fish, red boat", "fish", 3, ["red", None]),
+        (2, None, "only a head", None, []),
+        (3, "", None, 7, None),
+        (4, "7 boats. O'Neil", "O", 7, ["Neil's"]),
+        (5, "alone", None, None, None),
+    ]
+    docs = spark.createDataFrame(rows, "id long, text string, head string, n int, tags array<string>")
+    if not first:
+        docs = docs.select("head", "tags", "id", "text", "n")
+    mapping = Mapping((FieldSpec("tags"), FieldSpec("text"), FieldSpec("head", analyzer="english")), "id").with_catch_all(docs.schema)
+    shared = store.postings_of(docs, mapping)
+    text = plan(shared)
+    monkeypatch.setattr(store, "_shared", lambda docs, mapping: None)
+    apart = store.postings_of(docs, mapping)
+    columns = ["field", "term", "id", "tf", "dl", "positions"]
+    key = lambda r: (r[0], r[1], r[2])
+    want = sorted(map(tuple, apart.select(columns).collect()), key=key)
+    assert sorted(map(tuple, shared.select(columns).collect()), key=key) == want
+    assert {r[0] for r in want} == {"tags", "text", "head", "_all"}
+    assert text.count("Window ") < plan(apart).count("Window ")
