@@ -254,3 +254,22 @@ def test_batches_of_query_strings_fold_sets_of_words(index, monkeypatch):
         twice = own
     none = hits(index, query, queries.where("false"))
     assert none.collect() == [] and none.columns == batch.columns
+
+
+def test_patterns_are_looked_for_before_they_are_read(index):
+    """A part that must be in a term is looked for before `LIKE`, and alone where nothing else is asked."""
+    spark = index.spark
+    words = ["aabc", "abc", "abcabc", "xabc", "ab_c", "ab%c", "a\\bc", "b", "abxc"]
+    docs = spark.createDataFrame([(k, word) for k, word in enumerate(words)], "id long, text string")
+    own = build_index(spark, "patterns", docs, Mapping((FieldSpec("text", analyzer=Chain()),), "id"), shards=2)
+    held = {r.term for r in own.terms.collect()}
+    asked = ["*abc*", "abc*", "*abc", "abc", "ab?c", "*ab*c*", "*a*", "*", "**", "?", "*ab_c*", "*bxc*", "a*bxc?", "***"]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, q string")
+    found = hits(own, Wildcard("text", F.col("q")), queries)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    for n, pattern in enumerate(asked):
+        assert got.get(n, set()) == {r.id for r in hits(own, Wildcard("text", pattern)).collect()}, (pattern, held)
+    assert "LIKE" in plan(found) and "isnull(_like" in plan(found)
+    spark.sql(f"DROP VIEW {own.database}.patterns")
