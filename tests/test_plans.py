@@ -256,6 +256,34 @@ def test_batches_of_query_strings_fold_sets_of_words(index, monkeypatch):
     assert none.collect() == [] and none.columns == batch.columns
 
 
+def test_places_of_phrases_are_looked_up(index):
+    """Against the words of the texts: one place or several on either side, one word or two before the prefix."""
+    spark = index.spark
+    rows = [(1, "a b a b c"), (2, "a c b"), (3, "a a a b b"), (4, "b a"), (5, "c a b c a b ba"), (6, "a x ba bb")]
+    own = build_index(spark, "places", spark.createDataFrame(rows, "id long, text string"), Mapping((FieldSpec("text"),), "id"), shards=2)
+    asked = ["a b", "b a", "a a", "a b c", "a a b", "c a b", "a x b", "b c"]
+    queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, q string")
+    found = hits(own, PhrasePrefix(("text",), F.col("q")), queries)
+    want = {}
+    for n, phrase in enumerate(asked):
+        *fixed, last = phrase.split()
+        for key, text in rows:
+            words = text.split()
+            size = len(fixed)
+            times = sum(words[i : i + size] == fixed and w.startswith(last) for i, w in enumerate(words[size:]))
+            if times:
+                want[n, key] = times
+    assert {(r.query_id, r.id) for r in found.collect()} == set(want)
+    # alone each text has the same score
+    for n, phrase in enumerate(asked):
+        single = {r.id: round(r.score, 9) for r in hits(own, PhrasePrefix(("text",), phrase)).collect()}
+        assert single == {r.id: round(r.score, 9) for r in found.where(F.col("query_id") == n).collect()}
+    # the lists of two are the last to be compared
+    text = plan(found)
+    assert text.index("array_contains") < text.index("array_intersect(common")
+    spark.sql(f"DROP VIEW {own.database}.places")
+
+
 def test_patterns_are_looked_for_before_they_are_read(index):
     """A part that must be in a term is looked for before `LIKE`, and alone where nothing else is asked."""
     spark = index.spark
