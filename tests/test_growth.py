@@ -1,6 +1,7 @@
 """Work that must not grow faster than the tables."""
 
 import tempfile
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,3 +155,21 @@ def test_catch_all_shares_the_tokens_of_a_column(spark, monkeypatch, first):
     assert sorted(map(tuple, shared.select(columns).collect()), key=key) == want
     assert {r[0] for r in want} == {"tags", "text", "head", "_all"}
     assert text.count("Window ") < plan(apart).count("Window ")
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+def test_neighbours_are_made_once_and_not_sorted(spark, edits):
+    """Every choice of letters is left out once; nothing reads the order of the table."""
+    rule = suggesting.Spelling(edits=edits)
+    words = ["aabb", "abcdefghijklmnop", "a", "ab", "", "mississippi", "zzzzzz"]
+    frame = spark.createDataFrame([(word,) for word in words], "word string")
+    for word, found in frame.select("word", rule.neighbours(F.col("word"))).collect():
+        start = word[: suggesting.BEGINNING]
+        left = [set(out) for n in range(edits + 1) for out in combinations(range(1, len(start)), n)]
+        want = {"".join(c for i, c in enumerate(start) if i not in out) for out in left}
+        assert len(found) == len(want) and set(found) == want
+    index = build_index(spark, f"near_{edits}", texts(spark, 0, 5), TEXT, shards=2)
+    suggesting.neighbour_table(index, "text", rule)
+    table = index.table_name(suggesting._kind(index, "text", rule))
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    assert told["Bucket Columns"] == "[`near`]" and told.get("Sort Columns", "[]") == "[]"
